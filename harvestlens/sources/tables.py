@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from harvestlens.functions import dates
 from harvestlens.operators.dimensions import date_dimension, number_keys
 from harvestlens.operators.fact import first_per_key
+from harvestlens.sources.lookups import name_pairs
 from harvestlens.sources.star_store import Star
 
 # Decides which of several quotes of one day, market and commodity comes first. Rows
@@ -18,6 +19,10 @@ from harvestlens.sources.star_store import Star
 QUOTE_ORDER = ["l_orderkey", "l_linenumber", "modal_price", "min_price", "max_price"]
 
 
+# How the five regions are spelled as states in the raw quotes.
+RAW_STATES = ["Orissa", "NCT of Delhi", "Jammu & Kashmir", " karnataka", "Keralam"]
+
+
 class TradeTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -61,6 +66,60 @@ class TradeTables:
         days = self.table("lineitem").select(F.to_date("l_shipdate").alias("arrival_date")).distinct()
         return date_dimension(days)
 
+    # -- raw quotes ---------------------------------------------------------------
+
+    def raw_quotes(self) -> DataFrame:
+        """lineitem as daily quotes in text form with the usual defects, plus `day`.
+
+        Every quote is kept; a quote's number decides its defect: unknown state, stray
+        blanks, missing variety, impossible date, mixed date layouts, negative price,
+        price order, outlier, or a second copy.
+        """
+        nation, region = self.table("nation"), self.table("region")
+        place = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+            F.col("n_nationkey").cast("int").alias("market_id"), "n_nationkey", "n_name", "r_regionkey", "r_name"
+        )
+        parts = self.table("part").select("p_partkey", "p_type", "p_brand", "p_size")
+        quotes = self.keyed(parts).join(place, "market_id")
+        number = F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(40))
+        quotes = quotes.withColumn("number", number)
+        case = F.col("number")
+        states = F.array(*[F.lit(name) for name in RAW_STATES])
+        district = F.concat("r_name", F.lit("-"), (F.col("n_nationkey") % 3).cast("string"))
+        size = F.col("p_size")
+        grade = F.when(size <= 16, "FAQ").when(size <= 33, "Medium").otherwise("premium")
+        layout = (
+            F.when(case == 14, F.date_format("arrival_date", "yyyy-MM-dd"))
+            .when(case % 3 == 0, F.date_format("arrival_date", "dd-MM-yyyy"))
+            .otherwise(F.date_format("arrival_date", "dd/MM/yyyy"))
+        )
+        minimum = F.when(case == 7, -F.col("min_price")).when(case == 8, F.col("max_price") + 1)
+        copies = F.sequence(F.lit(1), F.when(case == 10, 2).otherwise(1))
+        return quotes.select(
+            F.when(case == 1, "Atlantis").otherwise(F.get(states, F.col("r_regionkey"))).alias("State"),
+            F.when(case == 11, F.concat(F.lit("  "), F.lower(district), F.lit(" "))).otherwise(district).alias("District"),
+            F.lower("n_name").alias("Market"),
+            F.when(case % 2 == 0, F.concat(F.lower("p_type"), F.lit(" ("), "p_brand", F.lit(")(x)")))
+            .otherwise(F.concat("p_type", F.lit("("), "p_brand", F.lit(")"))).alias("Commodity"),
+            F.when(case != 5, F.col("p_brand")).alias("Variety"),
+            grade.alias("Grade"),
+            F.when(case == 6, "31/02/2025").otherwise(layout).alias("Arrival_Date"),
+            F.coalesce(minimum, "min_price").cast("decimal(16,4)").cast("string").alias("Min_Price"),
+            F.col("max_price").cast("string").alias("Max_Price"),
+            F.when(case == 9, F.col("modal_price") * 50).otherwise(F.col("modal_price"))
+            .cast("decimal(16,2)").cast("string").alias("Modal_Price"),
+            F.col("arrival_date").alias("day"),
+            F.explode(copies).alias("copy"),
+        ).drop("copy")
+
+    def name_map_json(self) -> DataFrame:
+        """JSON objects {name: English name} for the product types up to M."""
+        pair = F.create_map(F.initcap("p_type"), F.concat(F.lower("p_type"), F.lit(" goods")))
+        return self.table("part").filter(F.col("p_type") < "N").select(F.to_json(pair).alias("value"))
+
+    def name_map(self) -> DataFrame:
+        return self.name_map_json().select(name_pairs(F.col("value"))).distinct()
+
     # -- quotes and fact ----------------------------------------------------------
 
     def lineitem(self, since: Column | None = None) -> DataFrame:
