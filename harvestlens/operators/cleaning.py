@@ -29,6 +29,19 @@ def type_prices(quotes: DataFrame) -> DataFrame:
     return quotes.withColumns({c: F.col(c).try_cast(RAW_PRICE) for c in PRICE_COLUMNS})
 
 
+def type_quotes(quotes: DataFrame) -> DataFrame:
+    """Date and prices of renamed quotes, with every text parsed once.
+
+    Spark moves later filters on the date or the prices below a projection and would parse
+    the texts again for each of them. It does not move them below a generator, so the
+    typed row comes out of an array of one.
+    """
+    typed = {"arrival_date": dates.parse_day_first(F.col("arrival_date"))}
+    typed |= {c: F.col(c).try_cast(RAW_PRICE) for c in PRICE_COLUMNS}
+    row = F.struct(*[typed.get(c, F.col(c)).alias(c) for c in quotes.columns])
+    return quotes.select(F.explode(F.array(row)).alias("quote")).select("quote.*")
+
+
 def drop_bad_dates(quotes: DataFrame) -> DataFrame:
     return quotes.dropna(subset=["arrival_date"])
 
@@ -135,5 +148,4 @@ def clean_names(quotes: DataFrame, name_map: DataFrame) -> DataFrame:
 
 def clean_quotes(raw: DataFrame, name_map: DataFrame) -> DataFrame:
     """All cleaning steps on raw text quotes that share one header."""
-    dated = drop_bad_dates(type_prices(parse_arrival_date(rename_quotes(raw))))
-    return clean_names(clean_values(dated), name_map)
+    return clean_names(clean_values(drop_bad_dates(type_quotes(rename_quotes(raw)))), name_map)

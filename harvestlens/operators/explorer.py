@@ -85,7 +85,8 @@ def with_volume(history: DataFrame, keys: list[str]) -> DataFrame:
     })
 
 
-def _compared(star: Star) -> DataFrame:
+def compared(star: Star) -> DataFrame:
+    """Unrounded averages, highest and lowest prices per market and commodity id."""
     by_id = star.fact.groupBy("market_id", "commodity_id").agg(
         ratio_of(F.sum("modal_price"), F.count(F.lit(1))).alias("average"),
         F.max("max_price").alias("max_price"),
@@ -101,12 +102,12 @@ def _comparison_columns() -> list:
 
 def variety_comparison_by_market(star: Star) -> DataFrame:
     """Average, highest and lowest price per market, name, variety and grade."""
-    return _compared(star).select("market_id", "commodity", *_comparison_columns())
+    return compared(star).select("market_id", "commodity", *_comparison_columns())
 
 
 def variety_comparison(star: Star, market_id: int, commodity: str) -> DataFrame:
     """The comparison of one market and name, dearest first."""
-    one = _compared(star).filter((F.col("market_id") == market_id) & (F.col("commodity") == commodity))
+    one = compared(star).filter((F.col("market_id") == market_id) & (F.col("commodity") == commodity))
     return one.orderBy(F.desc("average"), "variety", "grade").select(*_comparison_columns())
 
 

@@ -24,12 +24,29 @@ def previous_date(star: Star) -> DataFrame:
     return earlier.agg(F.max("arrival_date").alias("previous_date"))
 
 
-def _latest_id(star: Star) -> Column:
-    return F.unix_date(latest_date(star).scalar())
+def _latest_id(star: Star, days_before: int = 0) -> Column:
+    """The latest date's id, or that of a day before, as a bare scalar subquery.
+
+    All arithmetic stays inside: Spark pushes `column >= subquery` into a Parquet scan, but
+    not a comparison with an expression around it.
+    """
+    return star.date_dim.select(F.date_sub(F.max("arrival_date"), days_before).alias("day")).select(
+        F.unix_date("day")
+    ).scalar()
+
+
+def previous_day(star: Star) -> DataFrame:
+    """previous_date as the first of the sorted dates: no row if there is none.
+
+    Not an aggregate, so that Spark does not merge it with the latest date's subquery into
+    one struct, whose fields it could not push into scans.
+    """
+    earlier = star.date_dim.filter(F.col("arrival_date") < latest_date(star).scalar())
+    return earlier.select("arrival_date").orderBy(F.desc("arrival_date")).limit(1)
 
 
 def _previous_id(star: Star) -> Column:
-    return F.unix_date(previous_date(star).scalar())
+    return previous_day(star).select(F.unix_date("arrival_date")).scalar()
 
 
 def _state_markets(star: Star, state: str | None) -> DataFrame:
@@ -134,7 +151,7 @@ def state_pricing(star: Star) -> DataFrame:
 
 def price_trend(star: Star, days: int = 14, state: str | None = None) -> DataFrame:
     """Daily average from `days` before the latest date on (days + 1 calendar days)."""
-    recent = star.fact.filter(F.col("date_id") >= _latest_id(star) - days)
+    recent = star.fact.filter(F.col("date_id") >= _latest_id(star, days))
     if state is None:
         totals = _totals(recent, "date_id")
     else:
@@ -167,7 +184,7 @@ def price_movers(star: Star, state: str | None = None) -> DataFrame:
     One scan with conditional sums instead of a join of two aggregates.
     """
     latest, previous = _latest_id(star), _previous_id(star)
-    both = star.fact.filter((F.col("date_id") == latest) | (F.col("date_id") == previous))
+    both = star.fact.filter(F.col("date_id") >= previous)
     by = ["commodity_id", "date_id"]
     if state is None:
         totals = _totals(both, *by)
@@ -206,7 +223,7 @@ def overview_by_state(star: Star) -> DataFrame:
         F.countDistinct("market_id").alias("total_markets"),
     )
 
-    two_days = star.fact.filter((F.col("date_id") == latest) | (F.col("date_id") == previous))
+    two_days = star.fact.filter(F.col("date_id") >= F.coalesce(previous, latest))
     days = _totals(two_days, "market_id", "commodity_id", "date_id").join(markets, "market_id")
     of_day = lambda day, c: F.sum(F.when(F.col("date_id") == day, F.col(c)))
     by_commodity = days.groupBy("state_id", "commodity_id").agg(

@@ -3,12 +3,18 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harvestlens.constants import PRICE_COLUMNS
+from harvestlens.functions.numeric import round_half_even
 from harvestlens.operators import explorer, overview
 from harvestlens.sources.star_store import Star
 
 _ISO = "yyyy-MM-dd"
 
 
+def _cents(columns: list[str]) -> list[Column]:
+    return [round_half_even(F.col(c).cast("double"), 2).alias(c) for c in columns]
+
+
 def _list(rows: DataFrame, order: str, *fields) -> Column:
     """A bounded table as an array column, in the order of `order`."""
     ordered = F.sort_array(F.collect_list(F.struct(F.col(order).alias("_order"), *fields)))
@@ -69,7 +75,7 @@ def explorer_documents(star: Star) -> DataFrame:
     point = F.struct(
         "date_id", "commodity_id",
         F.date_format("arrival_date", _ISO).alias("date"),
-        "min_price", "max_price", "modal_price",
+        *_cents(PRICE_COLUMNS),
         F.col("synthetic_volume").alias("arrival_volume"),
     )
     histories = history.groupBy(*keys).agg(
@@ -77,11 +83,13 @@ def explorer_documents(star: Star) -> DataFrame:
             F.sort_array(F.collect_list(point)), lambda p: p.dropFields("date_id", "commodity_id")
         ).alias("history")
     )
-    compared = explorer.variety_comparison_by_market(star).withColumn("cheapness", -F.col("avg_price"))
+    compared = explorer.compared(star).withColumns({
+        "cheapness": -F.col("average"), "avg_price": round_half_even(F.col("average"), 2)
+    })
     varieties = compared.groupBy(*keys).agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct(
-                "cheapness", "variety", "grade", "avg_price", "max_price", "min_price"
+                "cheapness", "variety", "grade", "avg_price", *_cents(["max_price", "min_price"])
             ))),
             lambda v: v.dropFields("cheapness"),
         ).alias("varietyComparison")

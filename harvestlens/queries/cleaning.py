@@ -14,7 +14,7 @@ def raw(spark, sf_dir):
 
 
 def parsed(spark, sf_dir):
-    return cleaning.type_prices(cleaning.parse_arrival_date(raw(spark, sf_dir)))
+    return cleaning.type_quotes(raw(spark, sf_dir))
 
 
 def dated(spark, sf_dir):
@@ -103,16 +103,16 @@ def null_fk_audit(spark, sf_dir):
     """Cleaned quotes against the seed states and the trade tables' own markets."""
     tables = TradeTables(spark, sf_dir)
     quotes = dimensions.attach_id(cleaned(spark, sf_dir), seed_states(spark), ["state"], "state_id")
-    markets = tables.market_dim().select("market", "market_id")
+    markets = tables.market_dim.select("market", "market_id")
     quotes = quotes.withColumn("market", F.upper("market")).join(markets, "market", "left")
-    triples = tables.commodity_dim().select(F.initcap("commodity").alias("commodity"), "variety", "grade", "commodity_id")
+    triples = tables.commodity_dim.select(F.initcap("commodity").alias("commodity"), "variety", "grade", "commodity_id")
     quotes = quotes.join(triples, dimensions.COMMODITY_KEYS, "left")
     return fact.null_fk_audit(quotes.withColumn("date_id", F.unix_date("arrival_date")))
 
 
 def skip_loaded_days(spark, sf_dir):
     """Quotes of the days after the fact's history, which ends in June 1998."""
-    loaded = TradeTables(spark, sf_dir).fact().filter(
+    loaded = TradeTables(spark, sf_dir).fact.filter(
         F.col("date_id") <= F.unix_date(F.lit("1998-06-30").cast("date"))
     )
     return plain(cleaning.skip_loaded_days(dated(spark, sf_dir), loaded))

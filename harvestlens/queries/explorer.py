@@ -11,7 +11,7 @@ KEYS = ["market_id", "commodity"]
 
 
 def star(spark, sf_dir):
-    return TradeTables(spark, sf_dir).star()
+    return TradeTables(spark, sf_dir)
 
 
 def named_fact(spark, sf_dir):

@@ -11,7 +11,7 @@ from harvestlens.sources.tables import TradeTables
 
 
 def star(spark, sf_dir):
-    return TradeTables(spark, sf_dir).star()
+    return TradeTables(spark, sf_dir)
 
 
 def list_states(spark, sf_dir):
@@ -67,10 +67,9 @@ def filter_dispatch(spark, sf_dir):
 def resolve_id(spark, sf_dir):
     """Ids of all markets by the names of state, district and market."""
     tables = TradeTables(spark, sf_dir)
-    named = tables.star()
-    names = tables.market_dim().join(tables.state_dim(), "state_id").select("state", "district", "market")
-    with_state = presentation.resolve_states(names, named)
-    return plain(presentation.resolve_markets(with_state, named))
+    names = tables.market_dim.join(tables.state_dim, "state_id").select("state", "district", "market")
+    with_state = presentation.resolve_states(names, tables)
+    return plain(presentation.resolve_markets(with_state, tables))
 
 
 QUERIES = {

@@ -8,7 +8,6 @@ from harvestlens.queries.common import (
     PERSISTENCE, SERIES, baseline_eval_sql, clipped_sql, plain, rounded, typed,
 )
 from harvestlens.queries.models import trained
-from harvestlens.queries.sources import star_with_models
 from harvestlens.session import write_and_read
 from harvestlens.sources.tables import TradeTables
 
@@ -32,7 +31,7 @@ def banded(spark, sf_dir):
 
 
 def model_for_name(spark, sf_dir):
-    return plain(forecast.model_for_name(star_with_models(TradeTables(spark, sf_dir))))
+    return plain(forecast.model_for_name(TradeTables(spark, sf_dir)))
 
 
 def metrics_lookup(spark, sf_dir):
@@ -72,7 +71,7 @@ def latest_14(spark, sf_dir):
 
 def too_short(spark, sf_dir):
     """Series by (market, commodity id) with fewer than 14 days."""
-    rows = features.fact_series(TradeTables(spark, sf_dir).star())
+    rows = features.fact_series(TradeTables(spark, sf_dir))
     return plain(forecast.too_short(rows))
 
 

@@ -5,31 +5,13 @@ from pyspark.sql import functions as F
 from harvestlens.functions import dates
 from harvestlens.operators import overview, presentation
 from harvestlens.queries.common import PERSISTENCE, STAR, mean, plain, rounded, typed
-from harvestlens.queries.sources import star_with_models
 from harvestlens.sources.tables import TradeTables
 
 STATE = "ASIA"
 
 
 def star(spark, sf_dir):
-    return TradeTables(spark, sf_dir).star()
-
-
-def recent_star(spark, sf_dir, days=14):
-    """The star with the fact of the latest days only; the limit reaches the scan."""
-    tables = TradeTables(spark, sf_dir)
-    last = overview.latest_date(tables.star())
-    return tables.star(since=F.date_sub(last.scalar(), days))
-
-
-def two_day_star(spark, sf_dir):
-    """The star with the fact from the previous reported day on."""
-    tables = TradeTables(spark, sf_dir)
-    return tables.star(since=overview.previous_date(tables.star()).scalar())
-
-
-def modelled(spark, sf_dir):
-    return star_with_models(TradeTables(spark, sf_dir))
+    return TradeTables(spark, sf_dir)
 
 
 def latest_date(spark, sf_dir):
@@ -57,61 +39,61 @@ def kpi_state_count(spark, sf_dir):
 
 
 def kpi_model_count(spark, sf_dir):
-    return overview.kpi_model_count(modelled(spark, sf_dir), STATE)
+    return overview.kpi_model_count(star(spark, sf_dir), STATE)
 
 
 def kpi_forecast_trust(spark, sf_dir):
-    return overview.kpi_forecast_trust(modelled(spark, sf_dir))
+    return overview.kpi_forecast_trust(star(spark, sf_dir))
 
 
 def overview_kpis(spark, sf_dir):
     """All KPIs without a state."""
-    return plain(overview.overview_kpis(modelled(spark, sf_dir)))
+    return plain(overview.overview_kpis(star(spark, sf_dir)))
 
 
 def overview_kpis_of_state(spark, sf_dir):
-    return plain(overview.overview_kpis(modelled(spark, sf_dir), STATE))
+    return plain(overview.overview_kpis(star(spark, sf_dir), STATE))
 
 
 def latest_avg_price(spark, sf_dir):
-    return overview.latest_avg_price(recent_star(spark, sf_dir, 0))
+    return overview.latest_avg_price(star(spark, sf_dir).last_days(0))
 
 
 def state_pricing(spark, sf_dir):
-    return plain(overview.state_pricing(recent_star(spark, sf_dir, 0)))
+    return plain(overview.state_pricing(star(spark, sf_dir).last_days(0)))
 
 
 def price_trend_14d(spark, sf_dir):
-    return plain(overview.price_trend(recent_star(spark, sf_dir)))
+    return plain(overview.price_trend(star(spark, sf_dir).last_days(14)))
 
 
 def price_trend_of_state(spark, sf_dir):
-    return plain(overview.price_trend(recent_star(spark, sf_dir), state=STATE))
+    return plain(overview.price_trend(star(spark, sf_dir).last_days(14), state=STATE))
 
 
 def top5_commodities(spark, sf_dir):
-    return overview.top_commodities(recent_star(spark, sf_dir, 0))
+    return overview.top_commodities(star(spark, sf_dir).last_days(0))
 
 
 def price_movers(spark, sf_dir):
-    return plain(overview.price_movers(two_day_star(spark, sf_dir)))
+    return plain(overview.price_movers(star(spark, sf_dir).since_previous_day()))
 
 
 def gainers_losers(spark, sf_dir):
-    return overview.gainers_losers(two_day_star(spark, sf_dir))
+    return overview.gainers_losers(star(spark, sf_dir).since_previous_day())
 
 
 def overview_by_state(spark, sf_dir):
-    return plain(overview.overview_by_state(modelled(spark, sf_dir)))
+    return plain(overview.overview_by_state(star(spark, sf_dir)))
 
 
 def state_coverage(spark, sf_dir):
-    tables = recent_star(spark, sf_dir, 0)
+    tables = star(spark, sf_dir).last_days(0)
     return plain(presentation.state_coverage(tables, overview.state_pricing(tables)))
 
 
 def ranked_top5(spark, sf_dir):
-    return plain(presentation.ranked_top(overview.top_commodities(recent_star(spark, sf_dir, 0))))
+    return plain(presentation.ranked_top(overview.top_commodities(star(spark, sf_dir).last_days(0))))
 
 
 def short_date(spark, sf_dir):

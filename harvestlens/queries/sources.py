@@ -2,8 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from harvestlens.operators import audit, cleaning, evaluation, features
-from harvestlens.operators.evaluation import persistence_eval
+from harvestlens.operators import audit, cleaning, evaluation
 from harvestlens.plans import documents, training
 from harvestlens.queries.common import (
     CLEAN, NAME_MAP, PERSISTENCE, RAW, SEED, SERIES, STAR, baseline_eval_sql, canonical, clipped_sql,
@@ -14,13 +13,6 @@ from harvestlens.sources import daily_files, lookups, star_store
 from harvestlens.sources.tables import TradeTables
 
 
-def star_with_models(tables: TradeTables):
-    """The star with metrics of the previous-row prediction per (market, commodity id)."""
-    star = tables.star()
-    star.model_evaluation = persistence_eval(features.fact_series(star))
-    return star
-
-
 def scan_daily_quotes(spark, sf_dir):
     """Days before 1998 in the primary folder, all days in the fallback; one folder per month."""
     raw = TradeTables(spark, sf_dir).raw_quotes()
@@ -82,13 +74,13 @@ def extended_name_map(spark, sf_dir):
 
 def table_scan(spark, sf_dir):
     """The whole fact, keys and modal price."""
-    fact = TradeTables(spark, sf_dir).fact()
+    fact = TradeTables(spark, sf_dir).fact
     return plain(star_store.table_scan(fact, columns=["date_id", "market_id", "commodity_id", "modal_price"]))
 
 
 def series_scan(spark, sf_dir):
     """One market's rows."""
-    fact = TradeTables(spark, sf_dir).fact()
+    fact = TradeTables(spark, sf_dir).fact
     return plain(star_store.table_scan(fact, F.col("market_id") == 7, ["date_id", "commodity_id", "modal_price"]))
 
 
@@ -96,7 +88,7 @@ def append_fact(spark, sf_dir):
     """The fact written by year and month, then read back."""
     store = star_store.StarStore(spark, scratch_path(spark, "append"))
     tables = TradeTables(spark, sf_dir)
-    store.append_fact(tables.fact().withColumns({
+    store.append_fact(tables.fact.withColumns({
         c: F.col(c).cast("decimal(12,2)") for c in ("min_price", "max_price", "modal_price")
     }))
     return plain(store.read("fact_market_prices").select("date_id", "market_id", "commodity_id", "modal_price", "year", "month"))
@@ -112,7 +104,7 @@ def bulk_upsert(spark, sf_dir):
 
 
 def constraint_audit(spark, sf_dir):
-    return audit.constraint_audit(star_with_models(TradeTables(spark, sf_dir)))
+    return audit.constraint_audit(TradeTables(spark, sf_dir))
 
 
 def raw_key_audit(spark, sf_dir):
@@ -147,7 +139,7 @@ def model_store(spark, sf_dir):
 
 
 def overview_document(spark, sf_dir):
-    return documents.overview_document(star_with_models(TradeTables(spark, sf_dir)))
+    return documents.overview_document(TradeTables(spark, sf_dir))
 
 
 QUERIES = {

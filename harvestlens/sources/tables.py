@@ -5,14 +5,18 @@ nation the market, the region the state, the part's type, brand and size class t
 commodity, variety and grade.
 """
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestlens.functions import dates
 from harvestlens.operators.dimensions import date_dimension, number_keys
+from harvestlens.operators.evaluation import persistence_eval
 from harvestlens.operators.fact import first_per_key
+from harvestlens.operators.features import fact_series
+from harvestlens.operators.overview import previous_day
 from harvestlens.sources.lookups import name_pairs
-from harvestlens.sources.star_store import Star
 
 # Decides which of several quotes of one day, market and commodity comes first. Rows
 # that tie on all of these hold the same prices, so the choice cannot matter.
@@ -23,21 +27,42 @@ QUOTE_ORDER = ["l_orderkey", "l_linenumber", "modal_price", "min_price", "max_pr
 RAW_STATES = ["Orissa", "NCT of Delhi", "Jammu & Kashmir", " karnataka", "Keralam"]
 
 
+# Column types as stored; reading with them saves a look into the files per query.
+SCHEMAS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 class TradeTables:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """The frames of a star, each built when first asked for.
+
+    With `since`, a date, the fact holds the days from it on; the limit reaches the scan.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, since: Column | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.since = since
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     # -- dimensions ---------------------------------------------------------------
 
+    @cached_property
     def state_dim(self) -> DataFrame:
         return self.table("region").select(
             F.col("r_regionkey").cast("int").alias("state_id"), F.col("r_name").alias("state")
         )
 
+    @cached_property
     def market_dim(self) -> DataFrame:
         district = F.concat("r_name", F.lit("-"), (F.col("n_nationkey") % 3).cast("string"))
         nation, region = self.table("nation"), self.table("region")
@@ -58,10 +83,12 @@ class TradeTables:
             grade.alias("grade"),
         )
 
+    @cached_property
     def commodity_dim(self) -> DataFrame:
         triple = ["commodity", "variety", "grade"]
         return number_keys(self.products().select(*triple).distinct(), triple, "commodity_id")
 
+    @cached_property
     def date_dim(self) -> DataFrame:
         days = self.table("lineitem").select(F.to_date("l_shipdate").alias("arrival_date")).distinct()
         return date_dimension(days)
@@ -122,16 +149,15 @@ class TradeTables:
 
     # -- quotes and fact ----------------------------------------------------------
 
-    def lineitem(self, since: Column | None = None) -> DataFrame:
-        """lineitem, optionally only from a date on, as a filter the scan can use."""
+    def lineitem(self) -> DataFrame:
         rows = self.table("lineitem")
-        return rows if since is None else rows.filter(F.col("l_shipdate") >= since.cast("timestamp_ntz"))
+        return rows if self.since is None else rows.filter(F.col("l_shipdate") >= self.since)
 
-    def priced(self, since: Column | None = None) -> DataFrame:
+    def priced(self) -> DataFrame:
         """lineitem with date and exact prices, and its keys."""
         modal = F.col("l_extendedprice").cast("decimal(12,2)")
         day = F.to_date("l_shipdate")
-        return self.lineitem(since).select(
+        return self.lineitem().select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
             day.alias("arrival_date"),
             dates.date_id(day).alias("date_id"),
@@ -140,33 +166,46 @@ class TradeTables:
             modal.alias("modal_price"),
         )
 
-    def keyed(self, commodity: DataFrame, since: Column | None = None) -> DataFrame:
+    def keyed(self, commodity: DataFrame) -> DataFrame:
         """Priced quotes with market_id and the columns of `commodity` (keyed by p_partkey)."""
         supplier = self.table("supplier").select(
             F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("int").alias("market_id")
         )
         parts = commodity.withColumnRenamed("p_partkey", "l_partkey")
-        return self.priced(since).join(supplier, "l_suppkey").join(parts, "l_partkey")
+        return self.priced().join(supplier, "l_suppkey").join(parts, "l_partkey")
 
-    def fact(self, since: Column | None = None) -> DataFrame:
+    @cached_property
+    def fact(self) -> DataFrame:
         """One row per (date, market, commodity): the first quote."""
         triple = ["commodity", "variety", "grade"]
-        numbered = self.products().join(self.commodity_dim(), triple).select("p_partkey", "commodity_id")
+        numbered = self.products().join(self.commodity_dim, triple).select("p_partkey", "commodity_id")
         return first_per_key(
-            self.keyed(numbered, since),
+            self.keyed(numbered),
             ["date_id", "market_id", "commodity_id"],
             QUOTE_ORDER,
             ["min_price", "max_price", "modal_price"],
         )
 
-    def star(self, since: Column | None = None) -> Star:
-        return Star(
-            state_dim=self.state_dim(),
-            market_dim=self.market_dim(),
-            commodity_dim=self.commodity_dim(),
-            date_dim=self.date_dim(),
-            fact=self.fact(since),
-        )
+    @cached_property
+    def model_evaluation(self) -> DataFrame:
+        """Metrics of the previous row's price as prediction, per (market, commodity id)."""
+        return persistence_eval(fact_series(self))
+
+    feature_importance = None
+
+    def last_days(self, days: int) -> "TradeTables":
+        """The same star with the fact from `days` before the latest date on.
+
+        The first day is a top-1, not an aggregate, for the reason given at previous_day.
+        """
+        first = F.date_sub(F.to_date("l_shipdate"), days).cast("timestamp_ntz").alias("first")
+        top = self.table("lineitem").select(first).orderBy(F.desc("first")).limit(1)
+        return TradeTables(self.spark, self.sf_dir, top.scalar())
+
+    def since_previous_day(self) -> "TradeTables":
+        """The same star with the fact from the previous reported day on."""
+        first = previous_day(self).select(F.col("arrival_date").cast("timestamp_ntz"))
+        return TradeTables(self.spark, self.sf_dir, first.scalar())
 
     def series(self) -> DataFrame:
         """Daily price series by (market_id, commodity name): the first quote of each day."""
@@ -176,7 +215,7 @@ class TradeTables:
     def state_series(self) -> DataFrame:
         """The same by (state_id, commodity name): fewer, denser series to train on."""
         by_name = self.products().select("p_partkey", "commodity")
-        states = self.market_dim().select("market_id", "state_id")
+        states = self.market_dim.select("market_id", "state_id")
         return self._series(self.keyed(by_name).join(states, "market_id"), ["state_id", "commodity"])
 
     def _series(self, quotes: DataFrame, keys: list[str]) -> DataFrame:
