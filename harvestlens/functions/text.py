@@ -3,24 +3,29 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Blanks as Python's str.strip() sees them: ASCII, the separators and NEL.
-_BLANK = r"[\s\x1c-\x1f\x85\p{Z}]+"
-# Alternating runs of cased letters and of everything else.
-_CASED_RUNS = r"[\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+"
+# The characters Python's str.strip() removes.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+_UNCASED_RUN = r"([^\p{Lu}\p{Ll}\p{Lt}]+)"
+_BREAK = "\x00 "
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{_BLANK}|{_BLANK}$", "")
+    return F.trim(text, F.lit(BLANKS))
 
 
 def title_case(text: Column) -> Column:
-    """Capitalise after every uncased character ("lady's" -> "Lady'S"), unlike initcap."""
-    runs = F.regexp_extract_all(text, F.lit(_CASED_RUNS), F.lit(0))
-    capitalised = F.transform(
-        runs,
-        lambda run: F.concat(F.upper(run.substr(1, 1)), F.lower(run.substr(F.lit(2), F.length(run)))),
-    )
-    return F.array_join(capitalised, "")
+    """Capitalise after every uncased character ("lady's" -> "Lady'S").
+
+    initcap starts words at blanks only, so each uncased run gets a marked blank behind it
+    first, which is taken out again afterwards.
+    """
+    broken = F.regexp_replace(text, _UNCASED_RUN, f"$1{_BREAK}")
+    return F.replace(F.initcap(broken), F.lit(_BREAK), F.lit(""))
 
 
 def clean_text(text: Column) -> Column:

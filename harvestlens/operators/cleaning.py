@@ -11,7 +11,7 @@ from harvestlens.constants import PRICE_COLUMNS, QUOTE_COLUMNS
 from harvestlens.functions import dates, text
 from harvestlens.functions.quantiles import group_quartiles, iqr_fences
 from harvestlens.schemas import RAW_PRICE
-from harvestlens.sources.lookups import state_alias_map
+from harvestlens.sources.lookups import state_aliases
 
 BATCH = ["arrival_date"]
 
@@ -96,9 +96,9 @@ def clean_text(quotes: DataFrame) -> DataFrame:
 
 
 def canonical_state(quotes: DataFrame) -> DataFrame:
-    return quotes.withColumn(
-        "state", F.coalesce(F.try_element_at(state_alias_map(), F.col("state")), F.col("state"))
-    )
+    aliases = F.broadcast(state_aliases(quotes.sparkSession))  # 16 rows
+    matched = quotes.join(aliases, "state", "left")
+    return matched.withColumn("state", F.coalesce("canonical", "state")).select(*quotes.columns)
 
 
 def date_parts(quotes: DataFrame) -> DataFrame:

@@ -198,7 +198,8 @@ UNION ALL SELECT 'market_id', count(*) FILTER (WHERE market_id IS NULL) FROM key
 UNION ALL SELECT 'date_id', count(*) FILTER (WHERE arrival_date IS NULL) FROM keyed""",
     "skip_loaded_days": _clean(
         _TYPED,
-        "dated WHERE arrival_date NOT IN (SELECT arrival_date FROM fact WHERE arrival_date <= DATE '1998-06-30')",
+        "dated ANTI JOIN (SELECT DISTINCT CAST(l_shipdate AS DATE) AS arrival_date FROM lineitem"
+        " WHERE l_shipdate < TIMESTAMP '1998-07-01') USING (arrival_date)",
     ),
     "round_price": f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
   {rounded('l_extendedprice / l_quantity')} AS unit_price,

@@ -6,7 +6,7 @@ from harvestlens.constants import QUOTE_COLUMNS
 
 PRICE = T.DecimalType(12, 2)
 # Prices as read: wide enough that rounding to PRICE happens only at the fact.
-RAW_PRICE = T.DecimalType(20, 6)
+RAW_PRICE = T.DecimalType(18, 6)
 
 RAW_QUOTE = T.StructType([T.StructField(c, T.StringType()) for c in QUOTE_COLUMNS])
 

@@ -11,8 +11,9 @@ def seed_states(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(STATE_SEED, STATE_DIM)
 
 
-def state_alias_map() -> Column:
-    return F.create_map(*[F.lit(text) for pair in STATE_ALIASES.items() for text in pair])
+def state_aliases(spark: SparkSession) -> DataFrame:
+    """(state, canonical): the 16 known spellings."""
+    return spark.createDataFrame(list(STATE_ALIASES.items()), "state string, canonical string")
 
 
 def name_pairs(json_text: Column) -> Column:
