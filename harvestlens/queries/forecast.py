@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from harvestlens.operators import evaluation, features, forecast, models, presentation
+from harvestlens.operators import evaluation, features, forecast, presentation
 from harvestlens.plans.inference import forecast_series
 from harvestlens.queries.common import (
     PERSISTENCE, SERIES, baseline_eval_sql, clipped_sql, plain, rounded, typed,
 )
+from harvestlens.queries.features import features_sql
 from harvestlens.queries.models import trained
 from harvestlens.session import write_and_read
 from harvestlens.sources.tables import TradeTables
@@ -175,8 +176,6 @@ _NAMES = ["lag_1", "lag_7", "lag_14", "roll_std_7", "weekday_num", "month"]
 
 
 def _drivers():
-    from harvestlens.queries.features import features_sql
-
     sums = ", ".join(f"sum(CAST(round({c} * CAST(100 AS DOUBLE)) AS BIGINT)) AS {c}" for c in _NAMES)
     rows = " UNION ALL ".join(
         f"SELECT market_id, commodity, '{c}' AS feature, floor(CAST({c} AS DOUBLE) / CAST({' + '.join(_NAMES)} AS DOUBLE) * 100000) AS score FROM sums"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from harvestlens.operators import audit, cleaning, evaluation
+from harvestlens.operators import audit, cleaning, evaluation, models
 from harvestlens.plans import documents, training
 from harvestlens.queries.common import (
     CLEAN, NAME_MAP, PERSISTENCE, RAW, SEED, SERIES, STAR, baseline_eval_sql, canonical, clipped_sql,
@@ -127,8 +127,6 @@ def seed_state_dim(spark, sf_dir):
 
 def model_store(spark, sf_dir):
     """Models saved and loaded, with the market series that have none (coefficients NULL)."""
-    from harvestlens.operators import models
-
     keys = ["state_id", "commodity"]
     series = TradeTables(spark, sf_dir).state_series()
     path = scratch_path(spark, "models")
