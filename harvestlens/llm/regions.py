@@ -15,6 +15,7 @@ window itself, so the number of rounds is bounded by log2(length).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -159,6 +160,15 @@ def grouped(rows: DataFrame) -> DataFrame:
     ).withColumn("n", F.sum((F.col("rn") == 1).cast("int")).over(Window.partitionBy("key")))
 
 
+def ranked(rows: DataFrame) -> DataFrame:
+    """The same as `grouped` (rn is 1 or 2) for few rows in large groups: by aggregates and joins, so no group meets in one task."""
+    place = F.struct("doc", "v", "pos")
+    firsts = rows.groupBy("key", "hash").agg(F.min(place).alias("first"))
+    sizes = firsts.groupBy("key").agg(F.count("*").alias("n"))
+    joined = rows.join(firsts, ["key", "hash"]).join(sizes, "key")
+    return joined.withColumn("rn", F.when(place == F.col("first"), 1).otherwise(2)).drop("first")
+
+
 def regions(marks: DataFrame, bodies: DataFrame, windows: Windows, symbols: Callable) -> DataFrame:
     """The symbols of the regions to index, with n; one row per document joins its text."""
     wanted = marks.filter("stop = -1 and rn = 1 and n > 1").groupBy("doc", "v").agg(F.collect_list(F.struct("key", "hash", "pos", "n")).alias("wanted"))
@@ -186,8 +196,7 @@ def halves(hot: DataFrame, windows: Windows, width: int) -> DataFrame:
     """Each region twice, for the lower and the upper half of its window starts; keys hold what all windows of a half share."""
 
     def hash_of(*parts: bytes) -> int:
-        data = np.frombuffer(b"".join(parts) + b"\0" * (-sum(map(len, parts)) % 8), np.uint64)
-        return int(arrays.rolling(data, len(data))[0].view(np.int64)) if len(data) else 0
+        return int.from_bytes(hashlib.blake2b(b"".join(parts), digest_size=8).digest(), "little", signed=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = None
@@ -253,7 +262,8 @@ def repeated(docs: DataFrame, windows: Windows, symbols: Callable, dtype, find:
     shares = write_and_read(regions(marks, bodies, windows, symbols), name)
     small, hot, spans = shares.filter(F.col("n") <= windows.most), shares.filter(F.col("n") > windows.most), []
     while not hot.isEmpty():
-        split = write_and_read(grouped(halves(hot, windows, width).withColumn("pos", F.col("start"))).filter("rn > 1 or n > 1"), name)
+        halved = write_and_read(halves(hot, windows, width).withColumn("pos", F.col("start")), name)
+        split = write_and_read(ranked(halved).filter("rn > 1 or n > 1"), name)
         spans.append(split.filter("rn > 1").select("doc", "v", "start", (F.col("start") + (F.length("region") / width).cast("long")).alias("stop")))
         firsts = split.filter("rn = 1 and n > 1").select(*small.columns)
         small, hot = small.unionByName(firsts.filter(F.col("n") <= windows.most)), firsts.filter(F.col("n") > windows.most)

@@ -105,7 +105,7 @@ def byte_symbols(column: pa.Array) -> list[np.ndarray]:
     return [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = 100, gram: int = 40, most: int = 400) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = 100, gram: int = 40, most: int = 1000) -> DataFrame:
     """Remove every byte in a run of `length` bytes that also starts earlier in the corpus.
 
     docs: doc_id, text; its UTF-8 bytes count. Earlier means a smaller doc_id, or the same document
