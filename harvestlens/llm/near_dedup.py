@@ -54,20 +54,22 @@ def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, like: Similarity) -> DataFrame:
-    """doc, text_hash, n_shingles, the hash of the set (two longs) and its signature for every row."""
+    """doc, text_hash, n_shingles, the hash of the set (two longs), its signature and the lowest byte of each coordinate for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in arrays.chunks(batch, "text"):
                 sets = shingle_sets(chunk.column("text"), like.shingle)
                 digests = np.array([np.frombuffer(hashlib.md5(s.tobytes()).digest(), np.int64) for s in sets]).reshape(-1, 2)
-                signatures = [signature(s, like.coordinates).tobytes() if len(s) else None for s in sets]
+                signatures = [signature(s, like.coordinates) for s in sets]
+                whole = pa.array([x.tobytes() for x in signatures], pa.binary())
+                sketches = pa.array([x.astype(np.uint8).tobytes() for x in signatures], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [chunk.column("doc"), chunk.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(signatures, pa.binary())],
-                    ["doc", "text_hash", "n_shingles", "s1", "s2", "signature"],
+                    [chunk.column("doc"), chunk.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), whole, sketches],
+                    ["doc", "text_hash", "n_shingles", "s1", "s2", "signature", "sketch"],
                 )
 
-    return docs.select("doc", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc long, text_hash long, n_shingles long, s1 long, s2 long, signature binary")
+    return docs.select("doc", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc long, text_hash long, n_shingles long, s1 long, s2 long, signature binary, sketch binary")
 
 
 def postings(classes: DataFrame, like: Similarity, most: int) -> DataFrame:
@@ -95,18 +97,20 @@ def postings(classes: DataFrame, like: Similarity, most: int) -> DataFrame:
     blocks = F.ceil(F.col("documents") / most)
     own = F.pmod(F.xxhash64("node"), blocks)
     return (
-        chosen.join(classes.select("node", "n_shingles", "signature"), "node")
-        .select("token", "node", "n_shingles", "signature", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-        .select("token", F.least("own", "other").alias("block"), F.greatest("own", "other").alias("block2"), "own", "node", "n_shingles", "signature")
+        chosen.join(classes.select("node", "n_shingles", "sketch"), "node")
+        .select("token", "node", "n_shingles", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+        .select("token", F.least("own", "other").alias("block"), F.greatest("own", "other").alias("block2"), "own", "node", "n_shingles", "sketch")
     )
 
 
-def candidates(lists: DataFrame, like: Similarity, all_pairs: bool) -> DataFrame:
-    """Pairs a < b of nodes that share a posting and agree in enough coordinates.
+def candidates(lists: DataFrame, like: Similarity, all_pairs: bool, wide: int = 32) -> DataFrame:
+    """Pairs (a, b) of nodes that share a posting and agree in enough coordinates.
 
-    Lists stream through a task in order. Without `all_pairs` only the first node of a list is
-    paired with the others; with it, all nodes whose labels differ. Agreement counts the lowest
-    byte of each coordinate, so it never misses an agreeing one.
+    Lists stream through a task in order. Without `all_pairs` only the first node of a list is paired
+    with the others. With it, all nodes whose labels differ are; but where a label has more than `wide` nodes in a list, a
+    node is paired with the label as a whole (wide: b is the label) as soon as it agrees with one of them. So the
+    pairs of a large group are never listed. Agreement counts the lowest byte of each coordinate, so it
+    never misses an agreeing one.
     """
 
     def alike(row: int, others: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> np.ndarray:
@@ -114,33 +118,39 @@ def candidates(lists: DataFrame, like: Similarity, all_pairs: bool) -> DataFrame
         others = others[100 * low >= like.percent * high]
         return others[(sketches[others] == sketches[row]).sum(axis=1) >= like.agree]
 
-    def pairs(rows: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(rows: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         nodes, labels, owns, sizes = (np.array([r[i] for r in rows], np.int64) for i in range(4))
-        sketches = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)[:, ::4]
+        sketches = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
         if not all_pairs:
             got = alike(0, np.arange(1, len(rows)), sizes, sketches)
-            yield np.full(len(got), nodes[0]), nodes[got]
+            yield np.full(len(got), nodes[0]), nodes[got], np.zeros(len(got), bool)
             return
         names, member, counts = np.unique(labels, return_inverse=True, return_counts=True)
         if len(names) == 1:
             return
-        largest = counts.argmax()
-        for row in np.flatnonzero(member != largest):
-            others = np.flatnonzero((member != member[row]) & ((member == largest) | (np.arange(len(rows)) > row)))
+        rank = np.empty(len(names), np.int64)
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(names))
+        place, many = rank[member], counts[member] > wide
+        for row in np.flatnonzero(place > 0):
+            # Each pair of labels is looked at from the one with fewer nodes here.
+            others = np.flatnonzero(place < place[row])
             if owns.min() != owns.max():
                 others = others[owns[others] != owns[row]]
             got = alike(row, others, sizes, sketches)
-            yield np.full(len(got), nodes[row]), nodes[got]
+            few, groups = nodes[got[~many[got]]], np.unique(labels[got[many[got]]])
+            yield np.full(len(few) + len(groups), nodes[row]), np.concatenate([few, groups]), np.repeat([False, True], [len(few), len(groups)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(found: list) -> pa.RecordBatch:
-            a, b = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in (0, 1))
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+            none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+            a, b, group = (np.concatenate([f[i] for f in [*found, none]]) for i in range(3))
+            low, high = np.where(group, a, np.minimum(a, b)), np.where(group, b, np.maximum(a, b))
+            every = np.unique(np.stack([low, high, group.astype(np.int64)], 1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(every[:, 0]), pa.array(every[:, 1]), pa.array(every[:, 2] > 0)], ["a", "b", "wide"])
 
         key, rows, found, count = None, [], [], 0
         for batch in batches:
-            for token, b1, b2, *row in zip(*(batch.column(c).to_pylist() for c in ("token", "block", "block2", "node", "label", "own", "n_shingles", "signature")), strict=True):
+            for token, b1, b2, *row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 if (token, b1, b2) != key:
                     for got in pairs(rows) if len(rows) > 1 else ():
                         found.append(got)
@@ -153,9 +163,14 @@ def candidates(lists: DataFrame, like: Similarity, all_pairs: bool) -> DataFrame
         found += pairs(rows) if len(rows) > 1 else ()
         yield out(found)
 
-    lists = lists.select("token", "block", "block2", "node", "label", "own", "n_shingles", "signature")
-    ordered = lists.repartition("token", "block", "block2").sortWithinPartitions("token", "block", "block2", "node")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    columns = ["token", "block", "block2", "node", "label", "own", "n_shingles", "sketch"]
+    ordered = lists.select(*columns).repartition("token", "block", "block2").sortWithinPartitions("token", "block", "block2", "node")
+    return ordered.mapInArrow(run, "a long, b long, wide boolean").distinct()
+
+
+def sets_of(part: pa.RecordBatch, column: str, like: Similarity) -> list[np.ndarray]:
+    """Shingle sets of compressed texts."""
+    return shingle_sets(pa.array([regions.unpacked(x) for x in part.column(column).to_pylist()], pa.large_binary()), like.shingle)
 
 
 def confirmed(pairs: DataFrame, bodies: DataFrame, like: Similarity) -> DataFrame:
@@ -165,7 +180,7 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, like: Similarity) -> DataFram
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part, keep = batch.slice(at, 200), []
-                sets = [shingle_sets(pa.array([regions.unpacked(x) for x in part.column(c).to_pylist()], pa.large_binary()), like.shingle) for c in ("body_a", "body_b")]
+                sets = [sets_of(part, c, like) for c in ("body_a", "body_b")]
                 for one, two in zip(*sets, strict=True):
                     shared = len(np.intersect1d(one, two, assume_unique=True))
                     keep.append(100 * shared >= like.percent * (len(one) + len(two) - shared))
@@ -175,6 +190,48 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, like: Similarity) -> DataFram
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "body_a", "body_b").mapInArrow(run, "a long, b long")
 
 
+def linked_to_groups(wanted: DataFrame, label: DataFrame, bodies: DataFrame, like: Similarity, members: int = 2000) -> DataFrame:
+    """One link (a, b) per node and group (a, b of wanted) if any text of the group is similar enough, per part of the group.
+
+    Large groups are dealt into parts of about `members` texts; a task indexes a part's sets by shingle and counts the
+    shared shingles of one node after another. Only links leave it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, group, index = None, [], None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part, links = batch.slice(at, 200), []
+                for *now, asks, node, own in zip(*(part.column(c).to_pylist() for c in ("b", "part", "asks", "node")), sets_of(part, "body", like), strict=True):
+                    if now != key:
+                        key, group, index = now, [], None
+                    if not asks:
+                        group.append((node, own))
+                        continue
+                    if index is None and group:
+                        sizes = np.array([len(x) for _, x in group])
+                        values, owner = np.concatenate([x for _, x in group]), np.repeat(np.arange(len(group)), sizes)
+                        order = np.argsort(values, kind="stable")
+                        index = (values[order], owner[order], sizes)
+                    if index is not None:
+                        values, owner, sizes = index
+                        low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+                        n = high - low
+                        hit = np.repeat(low, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                        shared = np.bincount(owner[hit], minlength=len(sizes))
+                        near = np.flatnonzero(100 * shared >= like.percent * (sizes + len(own) - shared))
+                        links += [(node, group[near[0]][0])] if len(near) else []
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    every = label.unionByName(label.select(F.col("label").alias("node"), "label").distinct())
+    inside = every.join(wanted.select(F.col("b").alias("label")).distinct(), "label")
+    parts = inside.groupBy("label").agg(F.ceil(F.count("*") / members).alias("parts"))
+    given = inside.join(parts, "label").select(F.col("label").alias("b"), F.pmod(F.xxhash64("node"), "parts").alias("part"), F.lit(False).alias("asks"), "node")
+    asking = wanted.join(parts, wanted.b == parts.label).select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(True).alias("asks"), F.col("a").alias("node"))
+    rows = given.unionByName(asking).join(bodies, "node").repartition("b", "part").sortWithinPartitions("b", "part", "asks", "node")
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), most: int = 20_000) -> DataFrame:
     """The group of near-duplicates of every document.
 
@@ -185,7 +242,7 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), most: int
 
     Documents with equal sets collapse first. Signatures are posted under their rarest (coordinate, value)
     pairs; lists pair their first node with the others, and once those links have joined their groups, all nodes of
-    different groups. Pairs that agree in enough coordinates are confirmed on full sets, so links are exact;
+    different groups, or nodes with large groups as a whole. What agrees in enough coordinates is confirmed on full sets, so links are exact;
     a link is missed only if its signatures agree in fewer than `like.agree` coordinates.
 
     Null text counts as empty. Null ids come last; a group of null ids only has a null component_id and
@@ -195,7 +252,7 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), most: int
     sets = write_and_read(described(rows, like), "sets")
     whole = rows is different
     node = F.min("doc") if whole else F.first("s1")
-    classes = sets.filter("n_shingles > 0").groupBy("s1", "s2").agg(node.alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    classes = sets.filter("n_shingles > 0").groupBy("s1", "s2").agg(node.alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"))
     # Different sets of so few shingles are never similar enough.
     least = like.percent / (100 - like.percent)
     lists = write_and_read(postings(classes.filter(F.col("n_shingles") >= least), like, most), "postings")
@@ -206,11 +263,14 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), most: int
         ids = described(rows.select(F.xxhash64("doc", "v").alias("doc"), "text"), like).select("doc", F.col("s1").alias("node"))
         bodies = regions.packed(different.withColumn("doc", F.xxhash64("doc", "v"))).join(ids, "doc").select("node", "body").dropDuplicates(["node"])
 
-    first = write_and_read(confirmed(candidates(lists.withColumn("label", F.col("node")), like, False), bodies, like), "links")
+    starts = candidates(lists.withColumn("label", F.col("node")), like, False).select("a", "b")
+    first = write_and_read(confirmed(starts, bodies, like), "links")
     label = graph.components(first)
     labelled = lists.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    second = confirmed(candidates(labelled, like, True), bodies, like)
-    final = graph.components(first.unionByName(second))
+    rest = write_and_read(candidates(labelled, like, True), "candidates")
+    second = confirmed(rest.filter("not wide").select("a", "b"), bodies, like)
+    third = linked_to_groups(rest.filter("wide").select("a", "b"), label, bodies, like)
+    final = graph.components(first.unionByName(second).unionByName(third))
     grouped = sets.join(classes.select("s1", "s2", "node"), ["s1", "s2"], "left").join(final, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least_id = grouped.filter("label is not null").groupBy("label").agg(F.min("doc").alias("least"))
     out = grouped.select("doc", "text_hash", "n_shingles", "label").join(least_id, "label", "left").withColumn("component", F.coalesce("least", "doc"))

@@ -122,6 +122,28 @@ def test_near_duplicates(docs_of, most):
     assert any(not r.kept for r in found.values())
 
 
+def test_near_duplicates_of_large_groups(spark, docs_of):
+    # Copies of one text, some edited too much to be near its first copy but near another one.
+    rnd = random.Random(8)
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        for at in rnd.sample(range(100), rnd.randrange(0, 9) if i % 8 else 8 + rnd.randrange(6)):
+            words[at] = f"e{rnd.randrange(10**6) if i % 16 else i % 3}"
+        rows.append((i, " ".join(words)))
+    sets = {d: shingle_set(t, 2) for d, t in rows}
+    parent = {d: d for d in sets}
+    for d in sets:
+        for e in sets:
+            if 100 * len(sets[d] & sets[e]) >= 80 * len(sets[d] | sets[e]) and parent[d] != parent[e]:
+                low, high = sorted((parent[d], parent[e]))
+                parent = {x: low if p == high else p for x, p in parent.items()}
+    found = near_dedup.near_duplicates(docs_of(rows), near_dedup.Similarity(shingle=2)).collect()
+    assert {r.doc_id: r.component_id for r in found} == parent
+    assert 1 < len(set(parent.values())) < 100
+
+
 def test_two_sets_need_no_common_first_node(docs_of):
     # A chain: each text is near the next one, but the ends are not near one another.
     words = [f"w{i}" for i in range(60)]
