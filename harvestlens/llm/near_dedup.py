@@ -54,26 +54,25 @@ def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, like: Similarity) -> DataFrame:
-    """doc, text_hash, n_shingles, the hash of the set (two longs), its signature and the lowest byte of each coordinate for every row."""
+    """doc, text_hash, n_shingles, the hash of the set (two longs) and its signature for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in arrays.chunks(batch, "text"):
                 sets = shingle_sets(chunk.column("text"), like.shingle)
                 digests = np.array([np.frombuffer(hashlib.md5(s.tobytes()).digest(), np.int64) for s in sets]).reshape(-1, 2)
-                signatures = [signature(s, like.coordinates) for s in sets]
-                whole = pa.array([x.tobytes() for x in signatures], pa.binary())
-                sketches = pa.array([x.astype(np.uint8).tobytes() for x in signatures], pa.binary())
+                signatures = pa.array([signature(s, like.coordinates).tobytes() for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [chunk.column("doc"), chunk.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), whole, sketches],
-                    ["doc", "text_hash", "n_shingles", "s1", "s2", "signature", "sketch"],
+                    [chunk.column("doc"), chunk.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), signatures],
+                    ["doc", "text_hash", "n_shingles", "s1", "s2", "signature"],
                 )
 
-    return docs.select("doc", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc long, text_hash long, n_shingles long, s1 long, s2 long, signature binary, sketch binary")
+    return docs.select("doc", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc long, text_hash long, n_shingles long, s1 long, s2 long, signature binary")
 
 
 def postings(classes: DataFrame, like: Similarity, most: int) -> DataFrame:
-    """The rarest postings of every class: token (coordinate and value), node, n_shingles, sketch, and blocks of long lists.
+    """The rarest postings of every class: token (coordinate and value), node, n_shingles, signature, mask (the bits of the
+    coordinates that it is posted under, 63 at most), and blocks of long lists.
 
     Tokens of one document only are left out after they are counted as its rarest. A token with more than
     `most` documents is dealt out: its documents fall into blocks, and every pair of blocks is a list.
@@ -93,13 +92,14 @@ def postings(classes: DataFrame, like: Similarity, most: int) -> DataFrame:
         tokens.join(common, "token")
         .withColumn("place", F.row_number().over(by_node.orderBy("documents", "token")) + like.coordinates - F.count("*").over(by_node))
         .filter(F.col("place") <= like.prefix)
+        .withColumn("mask", F.bit_or(F.expr("shiftleft(1L, cast(shiftright(token, 32) as int))")).over(by_node))
     )
     blocks = F.ceil(F.col("documents") / most)
     own = F.pmod(F.xxhash64("node"), blocks)
     return (
-        chosen.join(classes.select("node", "n_shingles", "sketch"), "node")
-        .select("token", "node", "n_shingles", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-        .select("token", F.least("own", "other").alias("block"), F.greatest("own", "other").alias("block2"), "own", "node", "n_shingles", "sketch")
+        chosen.join(classes.select("node", "n_shingles", "signature"), "node")
+        .select("token", "node", "n_shingles", "mask", "signature", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+        .select("token", F.least("own", "other").alias("block"), F.greatest("own", "other").alias("block2"), "own", "node", "n_shingles", "mask", "signature")
     )
 
 
@@ -109,20 +109,20 @@ def candidates(lists: DataFrame, like: Similarity, all_pairs: bool, wide: int =
     Lists stream through a task in order. Without `all_pairs` only the first node of a list is paired
     with the others. With it, all nodes whose labels differ are; but where a label has more than `wide` nodes in a list, a
     node is paired with the label as a whole (wide: b is the label) as soon as it agrees with one of them. So the
-    pairs of a large group are never listed. Agreement counts the lowest byte of each coordinate, so it
-    never misses an agreeing one.
+    pairs of a large group are never listed. A pair comes from the first list that both are in, so none comes twice.
     """
+    bits = np.int64(1) << np.arange(like.coordinates, dtype=np.int64)
 
-    def alike(row: int, others: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    def alike(row: int, others: np.ndarray, sizes: np.ndarray, signatures: np.ndarray) -> np.ndarray:
         low, high = np.minimum(sizes[row], sizes[others]), np.maximum(sizes[row], sizes[others])
         others = others[100 * low >= like.percent * high]
-        return others[(sketches[others] == sketches[row]).sum(axis=1) >= like.agree]
+        return others[(signatures[others] == signatures[row]).sum(axis=1) >= like.agree]
 
-    def pairs(rows: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        nodes, labels, owns, sizes = (np.array([r[i] for r in rows], np.int64) for i in range(4))
-        sketches = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
+    def pairs(token: int, rows: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        nodes, labels, owns, sizes, masks = (np.array([r[i] for r in rows], np.int64) for i in range(5))
+        signatures = np.frombuffer(b"".join(r[5] for r in rows), np.uint32).reshape(len(rows), -1)
         if not all_pairs:
-            got = alike(0, np.arange(1, len(rows)), sizes, sketches)
+            got = alike(0, np.arange(1, len(rows)), sizes, signatures)
             yield np.full(len(got), nodes[0]), nodes[got], np.zeros(len(got), bool)
             return
         names, member, counts = np.unique(labels, return_inverse=True, return_counts=True)
@@ -136,7 +136,9 @@ def candidates(lists: DataFrame, like: Similarity, all_pairs: bool, wide: int =
             others = np.flatnonzero(place < place[row])
             if owns.min() != owns.max():
                 others = others[owns[others] != owns[row]]
-            got = alike(row, others, sizes, sketches)
+            got = alike(row, others, sizes, signatures)
+            posted = (signatures[got] == signatures[row]) & ((masks[got] & masks[row])[:, None] & bits > 0)
+            got = got[posted.argmax(axis=1) == token >> 32]
             few, groups = nodes[got[~many[got]]], np.unique(labels[got[many[got]]])
             yield np.full(len(few) + len(groups), nodes[row]), np.concatenate([few, groups]), np.repeat([False, True], [len(few), len(groups)])
 
@@ -152,7 +154,7 @@ def candidates(lists: DataFrame, like: Similarity, all_pairs: bool, wide: int =
         for batch in batches:
             for token, b1, b2, *row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 if (token, b1, b2) != key:
-                    for got in pairs(rows) if len(rows) > 1 else ():
+                    for got in pairs(key[0], rows) if len(rows) > 1 else ():
                         found.append(got)
                         count += len(got[0]) + 1
                     if count > 100_000:
@@ -160,10 +162,10 @@ def candidates(lists: DataFrame, like: Similarity, all_pairs: bool, wide: int =
                         found, count = [], 0
                     key, rows = (token, b1, b2), []
                 rows.append(row)
-        found += pairs(rows) if len(rows) > 1 else ()
+        found += pairs(key[0], rows) if len(rows) > 1 else ()
         yield out(found)
 
-    columns = ["token", "block", "block2", "node", "label", "own", "n_shingles", "sketch"]
+    columns = ["token", "block", "block2", "node", "label", "own", "n_shingles", "mask", "signature"]
     ordered = lists.select(*columns).repartition("token", "block", "block2").sortWithinPartitions("token", "block", "block2", "node")
     return ordered.mapInArrow(run, "a long, b long, wide boolean").distinct()
 
@@ -173,6 +175,13 @@ def sets_of(part: pa.RecordBatch, column: str, like: Similarity) -> list[np.ndar
     return shingle_sets(pa.array([regions.unpacked(x) for x in part.column(column).to_pylist()], pa.large_binary()), like.shingle)
 
 
+def needed(bodies: DataFrame, nodes: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """The texts of some nodes. Up to `most` nodes (a few MB, counted first) are sent to the texts; more are left to a join's own choice."""
+    nodes = write_and_read(nodes.distinct(), "nodes")
+    small = nodes.count() <= most
+    return bodies.join(F.broadcast(nodes) if small else nodes, "node", "left_semi")
+
+
 def confirmed(pairs: DataFrame, bodies: DataFrame, like: Similarity) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
 
@@ -186,6 +195,7 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, like: Similarity) -> DataFram
                     keep.append(100 * shared >= like.percent * (len(one) + len(two) - shared))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    bodies = needed(bodies, pairs.select(F.explode(F.array("a", "b")).alias("node")))
     side = lambda name: bodies.select(F.col("node").alias(name), F.col("body").alias(f"body_{name}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "body_a", "body_b").mapInArrow(run, "a long, b long")
 
@@ -228,7 +238,8 @@ def linked_to_groups(wanted: DataFrame, label: DataFrame, bodies: DataFrame, lik
     parts = inside.groupBy("label").agg(F.ceil(F.count("*") / members).alias("parts"))
     given = inside.join(parts, "label").select(F.col("label").alias("b"), F.pmod(F.xxhash64("node"), "parts").alias("part"), F.lit(False).alias("asks"), "node")
     asking = wanted.join(parts, wanted.b == parts.label).select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(True).alias("asks"), F.col("a").alias("node"))
-    rows = given.unionByName(asking).join(bodies, "node").repartition("b", "part").sortWithinPartitions("b", "part", "asks", "node")
+    rows = given.unionByName(asking)
+    rows = rows.join(needed(bodies, rows.select("node")), "node").repartition("b", "part").sortWithinPartitions("b", "part", "asks", "node")
     return rows.mapInArrow(run, "a long, b long")
 
 
@@ -252,7 +263,7 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), most: int
     sets = write_and_read(described(rows, like), "sets")
     whole = rows is different
     node = F.min("doc") if whole else F.first("s1")
-    classes = sets.filter("n_shingles > 0").groupBy("s1", "s2").agg(node.alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"))
+    classes = sets.filter("n_shingles > 0").groupBy("s1", "s2").agg(node.alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     # Different sets of so few shingles are never similar enough.
     least = like.percent / (100 - like.percent)
     lists = write_and_read(postings(classes.filter(F.col("n_shingles") >= least), like, most), "postings")
@@ -263,7 +274,7 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), most: int
         ids = described(rows.select(F.xxhash64("doc", "v").alias("doc"), "text"), like).select("doc", F.col("s1").alias("node"))
         bodies = regions.packed(different.withColumn("doc", F.xxhash64("doc", "v"))).join(ids, "doc").select("node", "body").dropDuplicates(["node"])
 
-    starts = candidates(lists.withColumn("label", F.col("node")), like, False).select("a", "b")
+    starts = write_and_read(candidates(lists.withColumn("label", F.col("node")), like, False).select("a", "b"), "candidates")
     first = write_and_read(confirmed(starts, bodies, like), "links")
     label = graph.components(first)
     labelled = lists.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
