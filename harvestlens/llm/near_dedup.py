@@ -108,8 +108,9 @@ def candidates(lists: DataFrame, like: Similarity, all_pairs: bool, wide: int =
 
     Lists stream through a task in order. Without `all_pairs` only the first node of a list is paired
     with the others. With it, all nodes whose labels differ are; but where a label has more than `wide` nodes in a list, a
-    node is paired with the label as a whole (wide: b is the label) as soon as it agrees with one of them. So the
-    pairs of a large group are never listed. A pair comes from the first list that both are in, so none comes twice.
+    node is paired with the label as a whole (kind 1: b is the label) as soon as it agrees with one of them, and a node that
+    agrees with more than `wide` others is paired with the list as a whole (kind 2: b is the token). So a node
+    gives a bounded number of rows per list. A pair (kind 0) comes from the first list that both are in, so none comes twice.
     """
     bits = np.int64(1) << np.arange(like.coordinates, dtype=np.int64)
 
@@ -123,7 +124,7 @@ def candidates(lists: DataFrame, like: Similarity, all_pairs: bool, wide: int =
         signatures = np.frombuffer(b"".join(r[5] for r in rows), np.uint32).reshape(len(rows), -1)
         if not all_pairs:
             got = alike(0, np.arange(1, len(rows)), sizes, signatures)
-            yield np.full(len(got), nodes[0]), nodes[got], np.zeros(len(got), bool)
+            yield np.full(len(got), nodes[0]), nodes[got], np.zeros(len(got), np.int64)
             return
         names, member, counts = np.unique(labels, return_inverse=True, return_counts=True)
         if len(names) == 1:
@@ -140,15 +141,16 @@ def candidates(lists: DataFrame, like: Similarity, all_pairs: bool, wide: int =
             posted = (signatures[got] == signatures[row]) & ((masks[got] & masks[row])[:, None] & bits > 0)
             got = got[posted.argmax(axis=1) == token >> 32]
             few, groups = nodes[got[~many[got]]], np.unique(labels[got[many[got]]])
-            yield np.full(len(few) + len(groups), nodes[row]), np.concatenate([few, groups]), np.repeat([False, True], [len(few), len(groups)])
+            kinds = [few, groups, few[:0]] if len(few) <= wide else [few[:0], groups, np.array([token])]
+            yield np.full(sum(map(len, kinds)), nodes[row]), np.concatenate(kinds), np.repeat([0, 1, 2], [len(x) for x in kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(found: list) -> pa.RecordBatch:
-            none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
-            a, b, group = (np.concatenate([f[i] for f in [*found, none]]) for i in range(3))
-            low, high = np.where(group, a, np.minimum(a, b)), np.where(group, b, np.maximum(a, b))
-            every = np.unique(np.stack([low, high, group.astype(np.int64)], 1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(every[:, 0]), pa.array(every[:, 1]), pa.array(every[:, 2] > 0)], ["a", "b", "wide"])
+            none = (np.zeros(0, np.int64),) * 3
+            a, b, kind = (np.concatenate([f[i] for f in [*found, none]]) for i in range(3))
+            low, high = np.where(kind > 0, a, np.minimum(a, b)), np.where(kind > 0, b, np.maximum(a, b))
+            every = np.unique(np.stack([low, high, kind], 1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(every[:, i]) for i in range(3)], ["a", "b", "kind"])
 
         key, rows, found, count = None, [], [], 0
         for batch in batches:
@@ -167,7 +169,7 @@ def candidates(lists: DataFrame, like: Similarity, all_pairs: bool, wide: int =
 
     columns = ["token", "block", "block2", "node", "label", "own", "n_shingles", "mask", "signature"]
     ordered = lists.select(*columns).repartition("token", "block", "block2").sortWithinPartitions("token", "block", "block2", "node")
-    return ordered.mapInArrow(run, "a long, b long, wide boolean").distinct()
+    return ordered.mapInArrow(run, "a long, b long, kind long").distinct()
 
 
 def sets_of(part: pa.RecordBatch, column: str, like: Similarity) -> list[np.ndarray]:
@@ -200,9 +202,10 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, like: Similarity) -> DataFram
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "body_a", "body_b").mapInArrow(run, "a long, b long")
 
 
-def linked_to_groups(wanted: DataFrame, label: DataFrame, bodies: DataFrame, like: Similarity, members: int = 2000) -> DataFrame:
-    """One link (a, b) per node and group (a, b of wanted) if any text of the group is similar enough, per part of the group.
+def linked_to_groups(wanted: DataFrame, every: DataFrame, bodies: DataFrame, like: Similarity, each: int | None, members: int = 2000) -> DataFrame:
+    """Links (a, b) of nodes a of wanted to texts of their group b: all, or `each` per part of the group (1 for a connected group).
 
+    every: label (the group) and node, for all members of the groups.
     Large groups are dealt into parts of about `members` texts; a task indexes a part's sets by shingle and counts the
     shared shingles of one node after another. Only links leave it.
     """
@@ -230,10 +233,9 @@ def linked_to_groups(wanted: DataFrame, label: DataFrame, bodies: DataFrame, lik
                         hit = np.repeat(low, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                         shared = np.bincount(owner[hit], minlength=len(sizes))
                         near = np.flatnonzero(100 * shared >= like.percent * (sizes + len(own) - shared))
-                        links += [(node, group[near[0]][0])] if len(near) else []
+                        links += [(node, group[i][0]) for i in near.tolist() if group[i][0] != node][:each]
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    every = label.unionByName(label.select(F.col("label").alias("node"), "label").distinct())
     inside = every.join(wanted.select(F.col("b").alias("label")).distinct(), "label")
     parts = inside.groupBy("label").agg(F.ceil(F.count("*") / members).alias("parts"))
     given = inside.join(parts, "label").select(F.col("label").alias("b"), F.pmod(F.xxhash64("node"), "parts").alias("part"), F.lit(False).alias("asks"), "node")
@@ -279,9 +281,12 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), most: int
     label = graph.components(first)
     labelled = lists.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rest = write_and_read(candidates(labelled, like, True), "candidates")
-    second = confirmed(rest.filter("not wide").select("a", "b"), bodies, like)
-    third = linked_to_groups(rest.filter("wide").select("a", "b"), label, bodies, like)
-    final = graph.components(first.unionByName(second).unionByName(third))
+    groups = label.unionByName(label.select(F.col("label").alias("node"), "label").distinct())
+    posted = lists.select(F.col("token").alias("label"), "node").distinct()
+    second = confirmed(rest.filter("kind = 0").select("a", "b"), bodies, like)
+    third = linked_to_groups(rest.filter("kind = 1").select("a", "b"), groups, bodies, like, 1)
+    fourth = linked_to_groups(rest.filter("kind = 2").select("a", "b"), posted, bodies, like, None)
+    final = graph.components(first.unionByName(second).unionByName(third).unionByName(fourth))
     grouped = sets.join(classes.select("s1", "s2", "node"), ["s1", "s2"], "left").join(final, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least_id = grouped.filter("label is not null").groupBy("label").agg(F.min("doc").alias("least"))
     out = grouped.select("doc", "text_hash", "n_shingles", "label").join(least_id, "label", "left").withColumn("component", F.coalesce("least", "doc"))

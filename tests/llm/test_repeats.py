@@ -122,7 +122,9 @@ def test_near_duplicates(docs_of, most):
     assert any(not r.kept for r in found.values())
 
 
-def test_near_duplicates_of_large_groups(spark, docs_of):
+@pytest.mark.parametrize("wide", [32, 2])
+def test_near_duplicates_of_large_groups(docs_of, monkeypatch, wide):
+    monkeypatch.setattr(near_dedup.candidates, "__defaults__", (wide,))
     # Copies of one text, some edited too much to be near its first copy but near another one.
     rnd = random.Random(8)
     base = [f"b{i}" for i in range(100)]
