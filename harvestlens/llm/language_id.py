@@ -175,8 +175,9 @@ def fitted(docs: DataFrame, how: Training = Training()) -> tuple[list[str], Netw
     rows = held_out(docs.select("doc_id", "text", "lang")).filter("not held_out and doc_id is not null and lang is not null").filter(F.col("text").rlike(r"\p{L}"))
     hashed = rows.select("lang", "text", "doc_id", F.xxhash64("doc_id").alias("h"))
     first = F.pmod(F.col("h"), F.greatest(F.lit(1), F.length("text") - how.characters)).cast("int") + 1
-    chosen = hashed.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "text"))).filter(F.col("place") <= how.documents)
-    sample = chosen.select("lang", "place", F.substring("text", first, F.lit(how.characters)).alias("text")).orderBy("lang", "place").collect()
+    pieces = hashed.select("lang", "h", "doc_id", F.substring("text", first, F.lit(how.characters)).alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "text"))
+    sample = pieces.withColumn("place", place).filter(F.col("place") <= how.documents).select("lang", "place", "text").orderBy("lang", "place").collect()
     if not sample:
         return [], None
     languages = sorted({r.lang for r in sample})
