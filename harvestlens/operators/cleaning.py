@@ -70,8 +70,6 @@ def price_quartiles(quotes: DataFrame, group: list[str] = BATCH) -> DataFrame:
 def iqr_outlier_filter(quotes: DataFrame, group: list[str] = BATCH) -> DataFrame:
     """Keep rows whose three prices all lie within the modal price's fences, inclusive."""
     fences = iqr_fences(price_quartiles(quotes, group), group)
-    if group == BATCH:
-        fences = F.broadcast(fences)  # one row per calendar day
     inside = [F.col(c).between(F.col("lower_fence"), F.col("upper_fence")) for c in PRICE_COLUMNS]
     kept = quotes.join(fences, group).filter(inside[0] & inside[1] & inside[2])
     return kept.select(*quotes.columns)
@@ -118,8 +116,7 @@ def price_order_check(quotes: DataFrame) -> DataFrame:
 def skip_loaded_days(quotes: DataFrame, fact: DataFrame) -> DataFrame:
     """Drop rows of days that already have a fact, tested row by row.
 
-    Only fact rows within the batch's date range are looked at, and only their dates;
-    the days to skip are at most one row per calendar day.
+    Only fact rows within the batch's date range are looked at, and only their dates.
     """
     span = quotes.agg(
         F.min(dates.date_id(F.col("arrival_date"))).alias("low"),
@@ -132,7 +129,7 @@ def skip_loaded_days(quotes: DataFrame, fact: DataFrame) -> DataFrame:
     loaded = near.select("date_id").distinct().select(
         F.date_from_unix_date("date_id").alias("arrival_date")
     )
-    return quotes.join(F.broadcast(loaded), "arrival_date", "left_anti")
+    return quotes.join(loaded, "arrival_date", "left_anti")
 
 
 def clean_values(quotes: DataFrame, keep_first: str | None = None) -> DataFrame:

@@ -99,3 +99,13 @@ def test_sample_std(spark):
     )
     got = df.select(numeric.sample_std(F.col("n"), F.col("s"), F.col("q")).alias("x")).first().x
     assert math.isclose(got, np.std([1, 2, 3, 4, 5, 6, 7], ddof=1))
+
+
+def test_dates_with_a_time_of_day(spark):
+    from pyspark.sql import functions as F
+
+    from harvestlens.functions import dates
+
+    rows = spark.createDataFrame([("2026-06-10T00:00:00",), ("10/06/2026 00:00",), ("10-06-2026 7:05:09.5Z",), ("10/06/2026 x",)], "t string")
+    found = [str(r[0]) for r in rows.select(dates.parse_day_first(F.col("t"))).collect()]
+    assert found == ["2026-06-10"] * 3 + ["None"]
