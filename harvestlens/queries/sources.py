@@ -57,7 +57,12 @@ def flatten_record_pages(spark, sf_dir):
 
 
 def load_name_map(spark, sf_dir):
-    return TradeTables(spark, sf_dir).name_map()
+    """The names of all product types, written as one JSON object and read back."""
+    types = TradeTables(spark, sf_dir).table("part").select("p_type").distinct()
+    pair = F.struct(F.initcap("p_type"), F.concat(F.lower("p_type"), F.lit(" goods")))
+    path = scratch_path(spark, "names")
+    types.agg(F.to_json(F.map_from_entries(F.collect_set(pair))).alias("value")).write.text(path)
+    return lookups.load_name_map(spark, path)
 
 
 def unmapped_names(spark, sf_dir):
@@ -210,7 +215,7 @@ SQL = {
         " FROM spine LEFT JOIN counts USING (arrival_date) WHERE n IS NULL OR n < 12)",
     ),
     "flatten_record_pages": f"WITH {STAR}, {RAW} " + typed(_RAW_COLUMNS, "raw"),
-    "load_name_map": f"WITH {NAME_MAP} SELECT * FROM name_map",
+    "load_name_map": "SELECT DISTINCT upper(p_type[1]) || lower(p_type[2:]) AS raw_name, lower(p_type) || ' goods' AS english_name FROM part",
     "unmapped_names": f"WITH {CLEAN}, names AS (SELECT DISTINCT {titled('split_part(commodity, chr(40), 1)')} AS name FROM raw) "
     "SELECT name AS raw_name, name AS english_name FROM names WHERE name NOT IN (SELECT raw_name FROM name_map)",
     "extended_name_map": f"WITH {CLEAN}, names AS (SELECT DISTINCT {titled('split_part(commodity, chr(40), 1)')} AS name FROM raw) "
