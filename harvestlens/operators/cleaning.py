@@ -12,6 +12,7 @@ from harvestlens.functions import dates, text
 from harvestlens.functions.quantiles import group_quartiles, iqr_fences
 from harvestlens.schemas import RAW_PRICE
 from harvestlens.sources.lookups import state_aliases
+from harvestlens.sources.star_store import between_days
 
 BATCH = ["arrival_date"]
 
@@ -116,16 +117,12 @@ def price_order_check(quotes: DataFrame) -> DataFrame:
 def skip_loaded_days(quotes: DataFrame, fact: DataFrame) -> DataFrame:
     """Drop rows of days that already have a fact, tested row by row.
 
-    Only fact rows within the batch's date range are looked at, and only their dates.
+    Only fact rows within the batch's date range are looked at, and only their dates. Give it
+    the batch's days, not its texts: it reads them three times.
     """
-    span = quotes.agg(
-        F.min(dates.date_id(F.col("arrival_date"))).alias("low"),
-        F.max(dates.date_id(F.col("arrival_date"))).alias("high"),
-    )
-    near = fact.filter(
-        (F.col("date_id") >= span.select("low").scalar())
-        & (F.col("date_id") <= span.select("high").scalar())
-    )
+    days = quotes.select("arrival_date").dropna()
+    first, last = days.orderBy("arrival_date").limit(1), days.orderBy(F.desc("arrival_date")).limit(1)
+    near = between_days(fact, first, last)
     loaded = near.select("date_id").distinct().select(
         F.date_from_unix_date("date_id").alias("arrival_date")
     )

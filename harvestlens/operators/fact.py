@@ -22,8 +22,8 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[str], columns: l
     return first.select(*keys, *[F.col(f"first.{c}").alias(c) for c in columns])
 
 
-def build_fact(quotes: DataFrame, order: list[str] = PRICE_COLUMNS) -> DataFrame:
-    """Quotes with all ids -> one row per (date, market, commodity); rows with NULL drop out."""
+def build_fact(quotes: DataFrame, order: list[str]) -> DataFrame:
+    """Quotes with all ids -> the first row by `order` per (date, market, commodity); rows with NULL drop out."""
     complete = quotes.select(*dict.fromkeys([*FACT_KEYS, *PRICE_COLUMNS, *order])).dropna(
         subset=[*FACT_KEYS, *PRICE_COLUMNS]
     )

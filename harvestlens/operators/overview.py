@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from harvestlens.constants import DEFAULT_TRUST, MOVER_PCT
 from harvestlens.functions.numeric import exact_avg, ratio_of, round_half_even
-from harvestlens.sources.star_store import Star
+from harvestlens.sources.star_store import Star, between_days
 
 
 def latest_date(star: Star) -> DataFrame:
@@ -24,23 +24,26 @@ def previous_date(star: Star) -> DataFrame:
     return earlier.agg(F.max("arrival_date").alias("previous_date"))
 
 
-def _latest_id(star: Star, days_before: int = 0) -> Column:
-    """The latest date's id, or that of a day before, as a bare scalar subquery.
+def _latest(star: Star, days_before: int = 0) -> DataFrame:
+    """The latest date, or a day before it, as the first of the sorted dates.
 
-    All arithmetic stays inside: Spark pushes `column >= subquery` into a Parquet scan, but
-    not a comparison with an expression around it.
+    Not an aggregate: Spark would merge the subqueries that read it into one struct, whose
+    fields it could not push into scans.
     """
-    return star.date_dim.select(F.date_sub(F.max("arrival_date"), days_before).alias("day")).select(
-        F.unix_date("day")
-    ).scalar()
+    last = star.date_dim.select("arrival_date").orderBy(F.desc("arrival_date")).limit(1)
+    return last.select(F.date_sub("arrival_date", days_before).alias("day"))
 
 
-def previous_day(star: Star) -> DataFrame:
-    """previous_date as the first of the sorted dates: no row if there is none.
+def _latest_id(star: Star) -> Column:
+    return _latest(star).select(F.unix_date("day")).scalar()
 
-    Not an aggregate, so that Spark does not merge it with the latest date's subquery into
-    one struct, whose fields it could not push into scans.
-    """
+
+def _latest_facts(star: Star) -> DataFrame:
+    return between_days(star.fact, _latest(star), _latest(star))
+
+
+def previous_day(star: Star) -> DataFrame:
+    """previous_date as the first of the sorted dates: no row if there is none."""
     earlier = star.date_dim.filter(F.col("arrival_date") < latest_date(star).scalar())
     return earlier.select("arrival_date").orderBy(F.desc("arrival_date")).limit(1)
 
@@ -49,6 +52,12 @@ def _previous_id(star: Star) -> Column:
     return previous_day(star).select(F.unix_date("arrival_date")).scalar()
 
 
+def _last_two(star: Star) -> DataFrame:
+    """The earlier of the last two dates, or the only one, as a one-row frame."""
+    last = star.date_dim.select("arrival_date").orderBy(F.desc("arrival_date")).limit(2)
+    return last.select("arrival_date").orderBy("arrival_date").limit(1)
+
+
 def _state_markets(star: Star, state: str | None) -> DataFrame:
     """market_id, state_id and state of every market, or of one state's."""
     states = star.state_dim if state is None else star.state_dim.filter(F.col("state") == state)
@@ -114,7 +123,7 @@ def kpi_forecast_trust(star: Star, state: str | None = None) -> DataFrame:
 
 def latest_avg_price(star: Star, state: str | None = None) -> DataFrame:
     """Average modal price on the latest date; 0 if that date has no facts."""
-    latest = star.fact.filter(F.col("date_id") == _latest_id(star))
+    latest = _latest_facts(star)
     totals = _in_state(_totals(latest, "market_id"), star, state)
     average = round_half_even(ratio_of(F.sum("total"), F.sum("n")), 2)
     return totals.agg(F.coalesce(average, F.lit(0.0)).alias("avg_price"))
@@ -141,7 +150,7 @@ def overview_kpis(star: Star, state: str | None = None) -> DataFrame:
 
 def state_pricing(star: Star) -> DataFrame:
     """Average modal price and row count per state on the latest date, always national."""
-    latest = star.fact.filter(F.col("date_id") == _latest_id(star))
+    latest = _latest_facts(star)
     by_market = _totals(latest, "market_id").join(_state_markets(star, None), "market_id")
     return by_market.groupBy("state_id", F.col("state").alias("state_name")).agg(
         round_half_even(ratio_of(F.sum("total"), F.sum("n")), 2).alias("avg_price"),
@@ -151,7 +160,7 @@ def state_pricing(star: Star) -> DataFrame:
 
 def price_trend(star: Star, days: int = 14, state: str | None = None) -> DataFrame:
     """Daily average from `days` before the latest date on (days + 1 calendar days)."""
-    recent = star.fact.filter(F.col("date_id") >= _latest_id(star, days))
+    recent = between_days(star.fact, _latest(star, days))
     if state is None:
         totals = _totals(recent, "date_id")
     else:
@@ -162,7 +171,7 @@ def price_trend(star: Star, days: int = 14, state: str | None = None) -> DataFra
 
 
 def _latest_by_name(star: Star, state: str | None) -> DataFrame:
-    latest = star.fact.filter(F.col("date_id") == _latest_id(star))
+    latest = _latest_facts(star)
     if state is None:
         by_id = _totals(latest, "commodity_id")
     else:
@@ -184,7 +193,7 @@ def price_movers(star: Star, state: str | None = None) -> DataFrame:
     One scan with conditional sums instead of a join of two aggregates.
     """
     latest, previous = _latest_id(star), _previous_id(star)
-    both = star.fact.filter(F.col("date_id") >= previous)
+    both = between_days(star.fact, previous_day(star))
     by = ["commodity_id", "date_id"]
     if state is None:
         totals = _totals(both, *by)
@@ -223,7 +232,7 @@ def overview_by_state(star: Star) -> DataFrame:
         F.countDistinct("market_id").alias("total_markets"),
     )
 
-    two_days = star.fact.filter(F.col("date_id") >= F.coalesce(previous, latest))
+    two_days = between_days(star.fact, _last_two(star))
     days = _totals(two_days, "market_id", "commodity_id", "date_id").join(markets, "market_id")
     of_day = lambda day, c: F.sum(F.when(F.col("date_id") == day, F.col(c)))
     by_commodity = days.groupBy("state_id", "commodity_id").agg(

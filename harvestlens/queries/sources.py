@@ -14,9 +14,8 @@ from harvestlens.sources.tables import TradeTables
 
 
 def scan_daily_quotes(spark, sf_dir):
-    """Days before 1998 in the primary folder, all days in the fallback; one folder per month."""
-    raw = TradeTables(spark, sf_dir).raw_quotes()
-    raw = raw.withColumn("folder_day", F.trunc("day", "month")).drop("day")
+    """Days before 1998 in the primary folder, all days in the fallback; one folder per day."""
+    raw = TradeTables(spark, sf_dir).raw_quotes().withColumnRenamed("day", "folder_day")
     primary, fallback = scratch_path(spark, "primary"), scratch_path(spark, "fallback")
     daily_files.write_daily_quotes(raw.filter(F.col("folder_day") < F.lit("1998-01-01").cast("date")), "folder_day", primary)
     daily_files.write_daily_quotes(raw, "folder_day", fallback)
@@ -206,7 +205,7 @@ _KEYS = "market_id, commodity"
 
 SQL = {
     "scan_daily_quotes": f"WITH {STAR}, {RAW} "
-    + typed(_RAW_COLUMNS + " file_day:t", "(SELECT *, CAST(date_trunc('month', day) AS DATE) AS file_day FROM raw)"),
+    + typed(_RAW_COLUMNS + " file_day:t", "(SELECT *, CAST(day AS DATE) AS file_day FROM raw)"),
     "date_spine": f"WITH {STAR}, {_SPINE} "
     + typed("arrival_date:t day_text:s", "(SELECT *, strftime(arrival_date, '%d/%m/%Y') AS day_text FROM spine)"),
     "missing_days": f"WITH {STAR}, {_SPINE} " + typed(

@@ -49,6 +49,32 @@ STORED_FACT = T.StructType(FACT.fields + [
     T.StructField("year", T.IntegerType(), False),
     T.StructField("month", T.IntegerType(), False),
 ])
+# Where a row stands in the files it came from; NULL where the source has no files.
+SEQUENCE = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("row", T.LongType()),
+])
+_QUOTE = [
+    T.StructField("arrival_date", T.DateType()),
+    *[T.StructField(c, T.StringType()) for c in ("state", "district", "market", "commodity", "variety", "grade")],
+    *[T.StructField(c, RAW_PRICE) for c in ("min_price", "max_price", "modal_price")],
+    T.StructField("sequence", SEQUENCE),
+]
+# Every row a load was given, parsed; rows without a readable date have year and month NULL.
+LANDED_QUOTES = T.StructType([
+    *_QUOTE,
+    T.StructField("load", T.StringType()),
+    T.StructField("year", T.IntegerType()),
+    T.StructField("month", T.IntegerType()),
+])
+# Cleaned quotes whose state is not among the seeds.
+REJECTS = T.StructType([
+    T.StructField("date_id", T.IntegerType(), False),
+    *_QUOTE[1:-1],
+    T.StructField("year", T.IntegerType(), False),
+    T.StructField("month", T.IntegerType(), False),
+])
 MODEL_EVALUATION = T.StructType([
     T.StructField("market_id", T.IntegerType(), False),
     T.StructField("commodity_id", T.IntegerType(), False),
@@ -69,6 +95,8 @@ STAR_TABLES = {
     "market_dim": MARKET_DIM,
     "date_dim": DATE_DIM,
     "fact_market_prices": STORED_FACT,
+    "landed_quotes": LANDED_QUOTES,
+    "rejects": REJECTS,
     "model_evaluation": MODEL_EVALUATION,
     "feature_importance": FEATURE_IMPORTANCE,
 }

@@ -1,15 +1,18 @@
 """The star schema as Parquet tables below one folder.
 
-Dimensions and the fact only ever grow, so loads append to them. The model tables are
-upserted: each upsert writes a new generation next to the last finished one.
+Dimensions only ever grow, so loads append to them. Facts are appended by month, or
+replaced day by day where a day is loaded again from the quotes kept as they came. The
+model tables are upserted: each upsert writes a new generation next to the last finished one.
 """
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestlens.schemas import STAR_TABLES
+from harvestlens.session import write_and_read
 
 
 @dataclass
@@ -64,6 +67,41 @@ class StarStore:
             .parquet(self.path("fact_market_prices"))
         )
 
+    def land(self, quotes: DataFrame) -> str:
+        """Keep typed quotes as they came, by month of arrival; returns the load's name.
+
+        AQE sizes the files by month and splits a busy month over several tasks.
+        """
+        load = uuid.uuid4().hex
+        day = F.col("arrival_date")
+        dated = quotes.withColumns({"year": F.year(day), "month": F.month(day)})
+        columns = [c for c in STAR_TABLES["landed_quotes"].fieldNames() if c != "load"]
+        (
+            dated.select(*columns).hint("rebalance", "year", "month")
+            .write.partitionBy("year", "month").parquet(f"{self.path('landed_quotes')}/load={load}")
+        )
+        return load
+
+    def replace_days(self, table: str, rows: DataFrame, days: DataFrame) -> None:
+        """Replace the rows of `days` (arrival_date) in a table kept by year and month.
+
+        The months of the days are rewritten, other months are not read. The new months are
+        first written aside; Spark then swaps whole folders. A month that would be left
+        without any row keeps its old rows.
+        """
+        ids = days.select(F.unix_date("arrival_date").alias("date_id"))
+        kept = in_months(self.read(table), days).join(ids, "date_id", "left_anti")
+        names = STAR_TABLES[table].fieldNames()
+        day = F.date_from_unix_date("date_id")
+        fresh = rows.withColumns({"year": F.year(day), "month": F.month(day)})
+        merged = write_and_read(kept.select(*names).unionByName(fresh.select(*names)), table)
+        order = ["year", "month", "date_id", *[c for c in ("market_id", "commodity_id") if c in names]]
+        (
+            merged.repartitionByRange(*order).sortWithinPartitions(*order)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("year", "month").parquet(self.path(table))
+        )
+
     def _generations(self, table: str) -> list[int]:
         """Finished generations, oldest first."""
         path, files = self._folder(table)
@@ -108,9 +146,9 @@ class StarStore:
 
 
 def fact_layout(fact: DataFrame) -> DataFrame:
-    """Fact rows with year and month, laid out by range of (year, month, market, commodity)."""
+    """Fact rows with year and month, laid out by range of (year, month, day, market, commodity)."""
     day = F.date_from_unix_date("date_id")
-    order = ["year", "month", "market_id", "commodity_id"]
+    order = ["year", "month", "date_id", "market_id", "commodity_id"]
     return (
         fact.withColumns({"year": F.year(day), "month": F.month(day)})
         .repartitionByRange(*order)
@@ -118,6 +156,49 @@ def fact_layout(fact: DataFrame) -> DataFrame:
     )
 
 
+def _month_number(year: Column, month: Column) -> Column:
+    return year * 12 + month
+
+
+def _month_of(days: DataFrame, extreme) -> Column:
+    """The month number of the first (F.min) or last (F.max) of `days`, as a bare scalar subquery."""
+    one = days.select(extreme("arrival_date").alias("day"))
+    return one.select(_month_number(F.year("day"), F.month("day"))).scalar()
+
+
+def in_months(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of a table kept by year and month that lie in the months of `days` (arrival_date).
+
+    Other folders between the first and the last month are dropped by the join, all
+    further ones are not opened.
+    """
+    number = _month_number(F.col("year"), F.col("month"))
+    months = days.select(F.year("arrival_date").alias("year"), F.month("arrival_date").alias("month")).distinct()
+    near = rows.filter((number >= _month_of(days, F.min)) & (number <= _month_of(days, F.max)))
+    return near.join(months, ["year", "month"], "left_semi").select(*rows.columns)
+
+
+def between_days(rows: DataFrame, low: DataFrame, high: DataFrame | None = None) -> DataFrame:
+    """Rows dated from `low` to `high`, each a one-row frame with one date.
+
+    All arithmetic stays inside the scalar subqueries: Spark pushes `column >= subquery` into
+    a Parquet scan, but not a comparison with an expression around it. A table kept by
+    year and month gets the limits on those too, so that only the folders of the months in
+    question are opened.
+    """
+    by_month = {"year", "month"} <= set(rows.columns)
+    number = _month_number(F.col("year"), F.col("month")) if by_month else None
+    found = rows
+    for day, beyond in ((low, "__ge__"), (high, "__le__")):
+        if day is None:
+            continue
+        one = day.toDF("day")
+        if by_month:
+            found = found.filter(getattr(number, beyond)(one.select(_month_number(F.year("day"), F.month("day"))).scalar()))
+        found = found.filter(getattr(F.col("date_id"), beyond)(one.select(F.unix_date("day")).scalar()))
+    return found
+
+
 def bulk_upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key is not updated, plus the updates."""
     return target.join(updates.select(*keys), keys, "left_anti").unionByName(updates)

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from harvestlens.operators import audit, dimensions, fact, filters
+from harvestlens.operators import audit, dimensions, fact, filters, overview
 from harvestlens.plans import ingest
 from harvestlens.sources import daily_files
 from harvestlens.sources.star_store import StarStore, bulk_upsert
@@ -87,7 +87,7 @@ def test_fact_of_a_hot_key(spark):
         F.lit(1).alias("market_id"), F.lit(1).alias("commodity_id"),
         *[(F.col("id") + 5).cast("decimal(20,6)").alias(c) for c in ("min_price", "max_price", "modal_price")],
     )
-    built = fact.build_fact(rows)
+    built = fact.build_fact(rows, ["min_price"])
     assert "partial_min" in built._jdf.queryExecution().toString()
     assert built.count() == 10000
     assert float(built.filter("date_id = 1").first().min_price) == 5
@@ -146,8 +146,83 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, quotes_of, no_names,
 
     run("checkpoint")
     batch = StarStore(spark, str(tmp_path / "batch"))
-    ingest.load_quotes(batch, daily_files.scan_daily_quotes(spark, str(source)), no_names)
+    ingest.load_quotes(batch, daily_files.scan_daily_quotes(spark, str(source), file_order=True), no_names)
+    assert (datetime.date(2024, 1, 1), "Odisha", "M1", "Paddy", Decimal("9.00")) in loaded(batch)  # first, not cheapest
     assert loaded(streamed) == loaded(batch) and sum(loaded(batch).values()) == 3
     run("checkpoint")  # nothing new
-    run("another checkpoint")  # all files again: their days are loaded
+    run("another checkpoint")  # all files again: the same quotes land twice
     assert loaded(streamed) == loaded(batch)
+    assert [r.state for r in streamed.read("rejects").collect()] == ["Atlantis"]
+
+
+def test_files_of_a_day_in_several_batches(spark, no_names, tmp_path):
+    """Neither small batches nor a late file change the facts; other days of the month stay."""
+    line = "Goa,D,Market {},Rice,V,G,{},{},{},{}"
+    rows = lambda day, markets: [line.format(m, day, 10 + m, 12 + m, 11 + m) for m in markets]
+    source = tmp_path / "in"
+    write_csv(source / "a_01-01-2024.csv", rows("01/01/2024", range(4)))
+    write_csv(source / "b_01-01-2024.csv", rows("01/01/2024", range(4, 8)))
+    write_csv(source / "a_02-01-2024.csv", rows("02/01/2024", range(8)))
+    store = StarStore(spark, str(tmp_path / "store"))
+
+    def run(**options):
+        query = stream_daily_ingest(store, str(source), no_names, str(tmp_path / "checkpoint"), **options)
+        query.awaitTermination()
+        assert query.exception() is None
+
+    run(files_per_batch=1)
+    assert sum(loaded(store).values()) == 16
+    write_csv(source / "c_01-01-2024.csv", rows("01/01/2024", range(6, 10)))
+    run()
+    whole = StarStore(spark, str(tmp_path / "whole"))
+    scanned = daily_files.scan_daily_quotes(spark, str(source), file_order=True)
+    ingest.load_quotes(whole, scanned, no_names)
+    assert loaded(store) == loaded(whole) and sum(loaded(whole).values()) == 18
+    again = ingest.load_quotes(whole, scanned, no_names)
+    assert {(r.arrival_date.day, r.rows) for r in again["late"].collect()} == {(1, 12), (2, 8)}
+    assert loaded(store) == loaded(whole)
+
+
+def test_a_reload_builds_days_a_crash_left_out(spark, quotes_of, no_names, tmp_path):
+    """A day that landed, but whose facts are gone, comes back with the next load of its month."""
+    store = StarStore(spark, str(tmp_path / "store"))
+    store.land(ingest.typed_batch(quotes_of([("Goa", "m1", "Wheat", "05/01/2024", 10, 10, 10)])))
+    ingest.load_quotes(store, quotes_of(ROWS), no_names, reload=True)
+    assert sorted(r.arrival_date.day for r in store.read("date_dim").collect()) == [1, 2, 5]
+    assert sum(loaded(store).values()) == 4
+
+
+def test_overview_opens_the_last_month_only(spark, quotes_of, no_names, tmp_path):
+    """The stored fact is pruned by year and month, and the day limit reaches the scan."""
+    store = StarStore(spark, str(tmp_path / "store"))
+    days = [f"{d:02d}/{m:02d}/2024" for m in range(1, 7) for d in (10, 11)]
+    ingest.load_quotes(store, quotes_of([("Goa", "m1", "Wheat", day, 10, 10, 10) for day in days]), no_names)
+    star = store.star()
+    for table in (
+        overview.state_pricing(star), overview.price_trend(star),
+        overview.price_movers(star), overview.top_commodities(star),
+    ):
+        table.collect()
+        scans = [s for s in scans_of(table) if "fact_market_prices" in s.relation().location().rootPaths().mkString()]
+        assert scans
+        for scan in scans:
+            assert scan.partitionFilters().nonEmpty() and "month" in scan.partitionFilters().toString()
+            assert any("date_id" in f and "subquery" in f for f in scan.dataFilters().mkString("|").split("|"))
+        assert max(scan.metrics().apply("numPartitions").value() for scan in scans) == 1
+        assert max(scan.metrics().apply("numOutputRows").value() for scan in scans) <= 2
+
+
+def scans_of(table):
+    """The file scans of an executed plan."""
+    found, left = [], [table._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            found.append(node)
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        elif node.getClass().getSimpleName().endswith("QueryStageExec"):
+            left.append(node.plan())
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return found
