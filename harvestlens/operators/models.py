@@ -73,13 +73,23 @@ def _ridge_solver(features: int, penalty: float):
         correlation[constant[:, :, None] | constant[:, None, :]] = 0.0
         target = np.where(constant, 0.0, covariance[:, :-1, -1] / scale)
         system = correlation + np.eye(features) * (penalty / n)[:, None, None]
-        weights = np.linalg.solve(system, target[:, :, None])[:, :, 0]
+        errors = [None] * len(n)
+        weights = np.zeros((len(n), features))
+        for row in range(len(n)):
+            if not (np.isfinite(system[row]).all() and np.isfinite(target[row]).all() and np.isfinite(mean[row]).all()):
+                errors[row] = "moments are not finite"
+                continue
+            try:
+                weights[row] = np.linalg.solve(system[row], target[row])
+            except np.linalg.LinAlgError:
+                errors[row] = "singular system"
         strength = np.abs(weights)
         total = strength.sum(axis=1, keepdims=True)
         coefficients = weights / scale
         batch["intercept"] = mean[:, -1] - (coefficients * mean[:, :-1]).sum(axis=1)
         batch["coefficients"] = list(coefficients)
         batch["importances"] = list(np.divide(strength, total, out=np.zeros_like(strength), where=total > 0))
+        batch["error"] = errors
         return batch
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,14 +101,45 @@ def _ridge_solver(features: int, penalty: float):
 
 
 def fit_ridge(train: DataFrame, keys: list[str] = KEYS, penalty: float = RIDGE) -> DataFrame:
-    """One row per series: keys, intercept, coefficients, importances."""
+    """One row per series: keys, intercept, coefficients, importances, and `error` where it has no solution.
+
+    A series without a solution doesn't stop the others; `solved` leaves it out.
+    """
     stats = moments(train, keys)
     kinds = dict(stats.dtypes)
     columns = [f"`{k}` {kinds[k]}" for k in keys]
-    columns += ["intercept double", "coefficients array<double>", "importances array<double>"]
+    columns += ["intercept double", "coefficients array<double>", "importances array<double>", "error string"]
     return stats.mapInPandas(_ridge_solver(len(FEATURES), penalty), ", ".join(columns))
 
 
+def solved(fitted: DataFrame) -> DataFrame:
+    """The models of the series that have one."""
+    return fitted.filter("error IS NULL").drop("error")
+
+
+def optimality(train: DataFrame, fitted: DataFrame, keys: list[str] = KEYS, penalty: float = RIDGE) -> DataFrame:
+    """(keys, n, optimal): do the normal equations hold for every feature of a series, within 1e-6?
+
+    With features standardised over the training rows, the sum of feature times residual has to
+    be the penalty times the weight; the residuals themselves have to sum to 0.
+    """
+    rows = predict_ridge(train, fitted, keys)
+    residual = F.col(LABEL).cast("double") - F.col("predicted")
+    parts = [F.count(F.lit(1)).alias("n"), F.sum(residual).alias("e"), F.stddev_pop(F.col(LABEL).cast("double")).alias("sy")]
+    for i, name in enumerate(FEATURES):
+        x = F.col(name).cast("double")
+        parts += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"), F.sum(x * residual).alias(f"xe{i}")]
+    sums = rows.groupBy(*keys).agg(*parts).join(fitted.select(*keys, "coefficients"), keys)
+    bound = 1e-6 * F.col("n") * F.greatest(F.col("sy"), F.lit(1.0))
+    holds = F.abs("e") <= bound
+    for i in range(len(FEATURES)):
+        weight = F.col("coefficients")[i] * F.col(f"s{i}")
+        gradient = F.try_divide(F.col(f"xe{i}") - F.col(f"m{i}") * F.col("e"), F.col(f"s{i}"))
+        constant = F.col(f"s{i}") <= 1e-7 * F.greatest(F.lit(1.0), F.abs(F.col(f"m{i}")))
+        holds = holds & (constant | (F.abs(gradient - penalty * weight) <= bound))
+    return sums.select(*keys, "n", holds.alias("optimal"))
+
+
 def linear_prediction(features: dict[str, Column]) -> Column:
     """Intercept plus weighted features, with the model's columns in the frame."""
     return sum(
@@ -133,9 +174,10 @@ def model_evaluation(test: DataFrame, models: DataFrame, keys: list[str] = KEYS)
 
 def training_summary(guards: DataFrame, models: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """(status, series): how many series were modelled, and how many failed at which guard."""
-    fitted = models.select(*keys, F.lit(True).alias("fitted"))
+    fitted = models.select(*keys, F.lit(True).alias("fitted"), "error")
     outcome = (
-        F.when(F.col("fitted"), "succeeded")
+        F.when(F.col("error").isNotNull(), F.concat(F.lit("failed: "), "error"))
+        .when(F.col("fitted"), "succeeded")
         .when(F.col("status") == "ok", "failed: not fitted")
         .otherwise(F.concat(F.lit("failed: "), "status"))
     )

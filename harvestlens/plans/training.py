@@ -15,13 +15,17 @@ class Training:
     guards: DataFrame
     train: DataFrame
     test: DataFrame
-    models: DataFrame
+    models: DataFrame  # with the error of those that could not be fitted
+
+    @property
+    def fitted(self) -> DataFrame:
+        return models.solved(self.models)
 
     def evaluations(self, keys: list[str] = KEYS) -> DataFrame:
-        return models.model_evaluation(self.test, self.models, keys)
+        return models.model_evaluation(self.test, self.fitted, keys)
 
     def importances(self, keys: list[str] = KEYS) -> DataFrame:
-        return models.feature_importances(self.models, keys)
+        return models.feature_importances(self.fitted, keys)
 
     def summary(self, keys: list[str] = KEYS) -> DataFrame:
         return models.training_summary(self.guards, self.models, keys)
@@ -37,13 +41,14 @@ def train_series(series: DataFrame, keys: list[str] = KEYS) -> Training:
 
 
 def train_store(store: StarStore) -> DataFrame:
-    """Train on the stored fact, upsert metrics and importances, store the models.
+    """Train on the stored fact and upsert models, metrics and importances.
 
+    A series that was not fitted this time keeps its earlier model beside its metrics.
     Returns the summary by status.
     """
     training = train_series(features.fact_series(store.star()))
     training.models = write_and_read(training.models, "models")
-    save_models(training.models, store.path("series_models"))
+    store.upsert("series_models", training.fitted, KEYS)
     store.upsert("model_evaluation", training.evaluations(), KEYS)
     store.upsert("feature_importance", training.importances(), [*KEYS, "feature_name"])
     return training.summary()

@@ -94,7 +94,7 @@ def recursive_forecast_models(spark, sf_dir):
     """Forecasts of the state series by their ridge models."""
     training = trained(spark, sf_dir)
     rows = TradeTables(spark, sf_dir).state_series()
-    return plain(forecast_series(rows, training.evaluations(STATE_KEYS), fitted=training.models, keys=STATE_KEYS))
+    return plain(forecast_series(rows, training.evaluations(STATE_KEYS), fitted=training.fitted, keys=STATE_KEYS))
 
 
 def confidence_band(spark, sf_dir):
@@ -110,7 +110,7 @@ def forecast_document(spark, sf_dir):
     training = trained(spark, sf_dir)
     rows = TradeTables(spark, sf_dir).state_series()
     steps = write_and_read(
-        forecast_series(rows, training.evaluations(STATE_KEYS), fitted=training.models, keys=STATE_KEYS), "forecast"
+        forecast_series(rows, training.evaluations(STATE_KEYS), fitted=training.fitted, keys=STATE_KEYS), "forecast"
     )
     return plain(forecast.forecast_document(steps, training.importances(STATE_KEYS), STATE_KEYS))
 

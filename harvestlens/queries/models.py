@@ -7,7 +7,7 @@ from harvestlens.plans.training import train_series
 from harvestlens.queries.common import (
     SERIES, STATE_SERIES, baseline_eval_sql, baseline_sql, clipped_sql, plain, typed,
 )
-from harvestlens.queries.features import guards_sql
+from harvestlens.queries.features import features_sql, guards_sql
 from harvestlens.session import write_and_read
 from harvestlens.sources.star_store import bulk_upsert
 from harvestlens.sources.tables import TradeTables
@@ -55,10 +55,32 @@ def fit_price_model(spark, sf_dir):
 
 def predict_test(spark, sf_dir):
     training = trained(spark, sf_dir)
-    rows = models.predict_ridge(training.test, training.models, STATE_KEYS)
+    rows = models.predict_ridge(training.test, training.fitted, STATE_KEYS)
     return plain(rows.select(*STATE_KEYS, "arrival_date", "modal_price", "predicted"))
 
 
+def predicted_rows(spark, sf_dir):
+    """The test rows the models predict: their exact columns, and that there is a number."""
+    rows = predict_test(spark, sf_dir)
+    number = F.col("predicted").isNotNull() & ~F.isnan("predicted")
+    return rows.select(*STATE_KEYS, "arrival_date", "modal_price", number.alias("has_prediction"))
+
+
+def ridge_optimality(spark, sf_dir):
+    """Whether each model solves its normal equations on its training rows."""
+    training = trained(spark, sf_dir)
+    return plain(models.optimality(training.train, training.fitted, STATE_KEYS))
+
+
+def importance_totals(spark, sf_dir):
+    """Eight importances per model, which sum to 1."""
+    rows = trained(spark, sf_dir).importances(STATE_KEYS)
+    sums = rows.groupBy(*STATE_KEYS).agg(
+        F.count(F.lit(1)).alias("features"), F.round(F.sum("importance_score"), 3).alias("total")
+    )
+    return plain(sums)
+
+
 def fit_pooled_model(spark, sf_dir):
     """Test metrics per series of boosted trees over all series."""
     training = trained(spark, sf_dir)
@@ -92,6 +114,9 @@ QUERIES = {
     "fit_price_model": fit_price_model,
     "fit_pooled_model": fit_pooled_model,
     "predict_test": predict_test,
+    "predicted_rows": predicted_rows,
+    "ridge_optimality": ridge_optimality,
+    "importance_totals": importance_totals,
     "mape": one_metric("mape"),
     "rmse": one_metric("rmse"),
     "r2": one_metric("r2_score"),
@@ -120,7 +145,22 @@ def _summary(keys, series):
     )
 
 
+_FITTED = f"WITH {STATE_SERIES}, {features_sql(_STATE_KEY, 'series', causal=True)}, {guards_sql(_STATE_KEY, 'series', 'guards')} "
+_OK = "SEMI JOIN (SELECT * FROM guards WHERE status = 'ok') USING (state_id, commodity)"
+
 SQL = {
+    "predicted_rows": _FITTED + typed(
+        "state_id:l commodity:s arrival_date:t modal_price:d has_prediction:b",
+        f"(SELECT *, true AS has_prediction FROM split {_OK} WHERE is_test)",
+    ),
+    "ridge_optimality": _FITTED + typed(
+        "state_id:l commodity:s n:l optimal:b",
+        f"(SELECT {_STATE_KEY}, count(*) AS n, true AS optimal FROM split {_OK} WHERE NOT is_test GROUP BY ALL)",
+    ),
+    "importance_totals": _FITTED + typed(
+        "state_id:l commodity:s features:l total:d",
+        "(SELECT state_id, commodity, 8 AS features, 1.0 AS total FROM guards WHERE status = 'ok')",
+    ),
     "mape": _metric("mape"),
     "rmse": _metric("rmse"),
     "r2": _metric("r2_score"),

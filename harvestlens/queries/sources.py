@@ -39,20 +39,28 @@ def date_spine(spark, sf_dir):
     return plain(month_spine(quote_days(TradeTables(spark, sf_dir))))
 
 
+PAGE_SIZE = 2  # records per page of the fetch in these queries
+
+
+def record_pages(spark, tables):
+    """All quotes written as pages of a fetch per day and market, and read back."""
+    path = scratch_path(spark, "pages")
+    daily_files.write_record_pages(tables.raw_quotes(), "day", path, PAGE_SIZE)
+    return daily_files.read_record_pages(spark, path)
+
+
 def missing_days(spark, sf_dir):
-    """Days without quotes, and days with suspiciously few (fewer than 12)."""
-    days = quote_days(TradeTables(spark, sf_dir))
-    counts = days.groupBy("arrival_date").agg(F.count(F.lit(1)).alias("n"))
-    spine = month_spine(days).select("arrival_date")
-    return plain(daily_files.missing_days(spine, counts, counts.filter("n < 12")))
+    """Days without quotes, and days a fetch of which ended with a full page."""
+    tables = TradeTables(spark, sf_dir)
+    failed = daily_files.failed_days(record_pages(spark, tables), PAGE_SIZE)
+    days = quote_days(tables)
+    return plain(daily_files.missing_days(month_spine(days).select("arrival_date"), days, failed))
 
 
 def flatten_record_pages(spark, sf_dir):
-    """Quotes written as JSON pages and read back."""
-    raw = TradeTables(spark, sf_dir).raw_quotes().drop("day")
-    path = scratch_path(spark, "pages")
-    raw.select(F.to_json(F.struct(F.array(F.struct(*raw.columns)).alias("records"))).alias("value")).write.text(path)
-    return cleaning.rename_quotes(daily_files.flatten_record_pages(daily_files.read_record_pages(spark, path)))
+    """Quotes written as JSON pages of several records and read back."""
+    pages = record_pages(spark, TradeTables(spark, sf_dir))
+    return cleaning.rename_quotes(daily_files.flatten_record_pages(pages))
 
 
 def load_name_map(spark, sf_dir):
@@ -134,7 +142,7 @@ def model_store(spark, sf_dir):
     keys = ["state_id", "commodity"]
     series = TradeTables(spark, sf_dir).state_series()
     path = scratch_path(spark, "models")
-    training.save_models(training.train_series(series, keys).models, path)
+    training.save_models(training.train_series(series, keys).fitted, path)
     loaded = spark.read.parquet(path)
     missing = models.missing_models(series, loaded, keys)
     return plain(loaded.unionByName(missing, allowMissingColumns=True))
@@ -155,8 +163,7 @@ QUERIES = {
 
 _SPINE = """
 spine AS (SELECT CAST(unnest(generate_series(date_trunc('month', min(arrival_date)), last_day(max(arrival_date)),
-  INTERVAL 1 DAY)) AS DATE) AS arrival_date FROM priced),
-counts AS (SELECT arrival_date, count(*) AS n FROM priced GROUP BY 1)"""
+  INTERVAL 1 DAY)) AS DATE) AS arrival_date FROM priced)"""
 
 _RAW_COLUMNS = (
     "state:s district:s market:s commodity:s variety:s grade:s arrival_date:s min_price:s max_price:s modal_price:s"
@@ -208,10 +215,10 @@ SQL = {
     + typed(_RAW_COLUMNS + " file_day:t", "(SELECT *, CAST(day AS DATE) AS file_day FROM raw)"),
     "date_spine": f"WITH {STAR}, {_SPINE} "
     + typed("arrival_date:t day_text:s", "(SELECT *, strftime(arrival_date, '%d/%m/%Y') AS day_text FROM spine)"),
-    "missing_days": f"WITH {STAR}, {_SPINE} " + typed(
+    "missing_days": f"WITH {STAR}, {RAW}, {_SPINE} " + typed(
         "arrival_date:t reason:s",
-        "(SELECT arrival_date, CASE WHEN n IS NULL THEN 'no data' ELSE 'fetch failed midway' END AS reason"
-        " FROM spine LEFT JOIN counts USING (arrival_date) WHERE n IS NULL OR n < 12)",
+        "(SELECT arrival_date, 'no data' AS reason FROM spine WHERE arrival_date NOT IN (SELECT arrival_date FROM priced)"
+        " UNION ALL SELECT DISTINCT CAST(day AS DATE), 'fetch failed midway' FROM raw GROUP BY day, market HAVING count(*) % 2 = 0)",
     ),
     "flatten_record_pages": f"WITH {STAR}, {RAW} " + typed(_RAW_COLUMNS, "raw"),
     "load_name_map": "SELECT DISTINCT upper(p_type[1]) || lower(p_type[2:]) AS raw_name, lower(p_type) || ' goods' AS english_name FROM part",

@@ -10,7 +10,13 @@ RAW_PRICE = T.DecimalType(18, 6)
 
 RAW_QUOTE = T.StructType([T.StructField(c, T.StringType()) for c in QUOTE_COLUMNS])
 
-RECORD_PAGE = T.StructType([T.StructField("records", T.ArrayType(RAW_QUOTE))])
+# A fetched page; day, query and page are NULL where a fetch does not record them.
+RECORD_PAGE = T.StructType([
+    T.StructField("day", T.StringType()),
+    T.StructField("query", T.StringType()),
+    T.StructField("page", T.LongType()),
+    T.StructField("records", T.ArrayType(RAW_QUOTE)),
+])
 
 STATE_DIM = T.StructType([
     T.StructField("state_id", T.IntegerType(), False),
@@ -88,6 +94,13 @@ FEATURE_IMPORTANCE = T.StructType([
     T.StructField("feature_name", T.StringType(), False),
     T.StructField("importance_score", T.DecimalType(10, 5)),
 ])
+SERIES_MODELS = T.StructType([
+    T.StructField("market_id", T.IntegerType(), False),
+    T.StructField("commodity_id", T.IntegerType(), False),
+    T.StructField("intercept", T.DoubleType()),
+    T.StructField("coefficients", T.ArrayType(T.DoubleType())),
+    T.StructField("importances", T.ArrayType(T.DoubleType())),
+])
 
 STAR_TABLES = {
     "state_dim": STATE_DIM,
@@ -99,4 +112,5 @@ STAR_TABLES = {
     "rejects": REJECTS,
     "model_evaluation": MODEL_EVALUATION,
     "feature_importance": FEATURE_IMPORTANCE,
+    "series_models": SERIES_MODELS,
 }

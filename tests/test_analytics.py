@@ -315,3 +315,19 @@ def test_shown_confidence(spark):
     star = star_of(spark, [(1, 1, 1, 5)], evaluations=[(1, 1, 1, 0.5), (1, 2, 1, 0.875), (1, 3, 1, None), (2, 1, 1, 0)])
     got = {(r.market_id, r.commodity_id): r.confidence for r in presentation.confidence_display(star.model_evaluation).collect()}
     assert got == {(1, 1): 70, (1, 2): 88, (1, 3): 85, (2, 1): 85}
+
+
+def test_a_series_without_solution_gets_an_error():
+    """One series with an endless sum leaves the other's model as it is."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(7)
+    rows = rng.normal(size=(40, 9))
+    upper = np.triu_indices(9)
+    one = {"market_id": 1, "n": 40, "sums": rows.sum(axis=0), "products": (rows.T @ rows)[upper]}
+    bad = one | {"market_id": 2, "sums": np.where(np.arange(9) == 3, np.inf, one["sums"])}
+    alone = pd.concat(models._ridge_solver(8, 1.5)(iter([pd.DataFrame([one])])))
+    both = pd.concat(models._ridge_solver(8, 1.5)(iter([pd.DataFrame([one, bad])])))
+    assert both["error"].tolist() == [None, "moments are not finite"]
+    assert np.allclose(both["coefficients"].iloc[0], alone["coefficients"].iloc[0])
