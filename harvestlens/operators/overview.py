@@ -6,6 +6,7 @@ day numbers, which date_id is, so no query has to join date_dim.
 """
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from harvestlens.constants import DEFAULT_TRUST, MOVER_PCT
@@ -268,6 +269,40 @@ def overview_by_state(star: Star) -> DataFrame:
     )
 
 
+def _by_scope(by_market: DataFrame, star: Star, *by) -> DataFrame:
+    """Totals per market summed per state, and over all states with a state_id of NULL."""
+    states = by_market.join(_state_markets(star, None).select("market_id", "state_id"), "market_id")
+    totals = [F.sum("total").alias("total"), F.sum("n").alias("n")]
+    by_state = states.groupBy("state_id", *by).agg(*totals)
+    scopes = F.explode(F.array("state_id", F.lit(None).cast("int"))).alias("state_id")
+    return by_state.select(scopes, *by, "total", "n").groupBy("state_id", *by).agg(*totals)
+
+
+def trend_by_state(star: Star, days: int = 14) -> DataFrame:
+    """price_trend of every state and of all together (state_id NULL)."""
+    recent = _totals(between_days(star.fact, _latest(star, days)), "date_id", "market_id")
+    price = round_half_even(ratio_of(F.col("total"), F.col("n")), 2)
+    return _by_scope(recent, star, "date_id").select(
+        "state_id", F.date_from_unix_date("date_id").alias("arrival_date"), price.alias("price")
+    )
+
+
+def top_by_state(star: Star, k: int = 5) -> DataFrame:
+    """top_commodities of every state and of all together (state_id NULL), with their rank."""
+    by_id = _totals(_latest_facts(star), "commodity_id", "market_id")
+    names = star.commodity_dim.select("commodity_id", "commodity")
+    by_name = by_id.join(names, "commodity_id").groupBy("commodity", "market_id").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n")
+    )
+    most = W.partitionBy("state_id").orderBy(F.desc("n"), "commodity")
+    ranked = _by_scope(by_name, star, "commodity").withColumn("rank", F.row_number().over(most))
+    return ranked.filter(F.col("rank") <= k).select(
+        "state_id", "rank", "commodity",
+        round_half_even(ratio_of(F.col("total"), F.col("n")), 2).alias("avg_price"),
+        F.col("n").alias("report_count"),
+    )
+
+
 def priciest_commodities(star: Star, k: int = 10) -> DataFrame:
     """The k names of the highest average modal price over all dates."""
     by_id = _totals(star.fact, "commodity_id").join(star.commodity_dim, "commodity_id")

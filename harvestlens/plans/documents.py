@@ -21,26 +21,27 @@ def _list(rows: DataFrame, order: str, *fields) -> Column:
     return rows.agg(F.transform(ordered, lambda r: r.dropFields("_order")).alias("list")).scalar()
 
 
+def _kpis(latest: Column) -> Column:
+    return F.struct(
+        F.col("avg_price").alias("avgPrice"),
+        F.col("total_records").alias("totalRecords"),
+        F.col("total_states").alias("totalStates"),
+        F.col("total_markets").alias("totalMarkets"),
+        F.col("total_commodities").alias("totalCommodities"),
+        F.col("total_models").alias("totalModels"),
+        F.col("forecast_trust").alias("forecastTrust"),
+        F.date_format(latest, _ISO).alias("latestDate"),
+    ).alias("kpis")
+
+
+def _pricing(star: Star) -> Column:
+    entries = F.struct(F.col("state_id").cast("string"), F.struct("state_name", "avg_price", "record_count"))
+    return overview.state_pricing(star).agg(F.map_from_entries(F.sort_array(F.collect_list(entries))).alias("pricing")).scalar()
+
+
 def overview_document(star: Star, state: str | None = None) -> DataFrame:
     """One JSON document. Its lists have one entry per state, per day of the trend, or five."""
-    kpis = overview.overview_kpis(star, state).select(
-        F.struct(
-            F.col("avg_price").alias("avgPrice"),
-            F.col("total_records").alias("totalRecords"),
-            F.col("total_states").alias("totalStates"),
-            F.col("total_markets").alias("totalMarkets"),
-            F.col("total_commodities").alias("totalCommodities"),
-            F.col("total_models").alias("totalModels"),
-            F.col("forecast_trust").alias("forecastTrust"),
-            F.date_format("latest_date", _ISO).alias("latestDate"),
-        ).alias("kpis")
-    )
-    pricing = overview.state_pricing(star).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct(
-            F.col("state_id").cast("string"),
-            F.struct("state_name", "avg_price", "record_count"),
-        )))).alias("pricing")
-    )
+    kpis = overview.overview_kpis(star, state).select(_kpis(F.col("latest_date")))
     trend = _list(
         overview.price_trend(star, state=state), "arrival_date",
         F.date_format("arrival_date", _ISO).alias("date"), "price",
@@ -55,7 +56,7 @@ def overview_document(star: Star, state: str | None = None) -> DataFrame:
     movers = overview.gainers_losers(star, state)
     document = F.struct(
         kpis.scalar().alias("kpis"),
-        pricing.scalar().alias("statePricing"),
+        _pricing(star).alias("statePricing"),
         trend.alias("nationalTrend"),
         top.alias("topCommodities"),
         movers.select("gainers").scalar().alias("gainersCount"),
@@ -64,6 +65,38 @@ def overview_document(star: Star, state: str | None = None) -> DataFrame:
     return star.state_dim.sparkSession.range(1).select(F.to_json(document).alias("document"))
 
 
+def overview_documents(star: Star) -> DataFrame:
+    """overview_document of every state and of all together (state NULL), in one plan.
+
+    Facts are summed once per figure for all states; a document's lists have the bounds they have alone.
+    """
+    scope = F.coalesce("state_id", F.lit(-1))  # ids are not negative; NULL meets nothing in a join
+    point = F.struct("arrival_date", F.date_format("arrival_date", _ISO).alias("date"), "price")
+    trends = overview.trend_by_state(star).groupBy(scope.alias("scope")).agg(
+        F.transform(F.sort_array(F.collect_list(point)), lambda p: p.dropFields("arrival_date")).alias("trend")
+    )
+    entry = F.struct("rank", "commodity", "avg_price", "report_count")
+    tops = overview.top_by_state(star).groupBy(scope.alias("scope")).agg(
+        F.transform(F.sort_array(F.collect_list(entry)), lambda e: e.dropFields("rank")).alias("top")
+    )
+    one_state = overview.overview_by_state(star).withColumn("total_states", F.lit(1).cast("bigint"))
+    movers = overview.gainers_losers(star)
+    national = overview.overview_kpis(star).drop("latest_date").withColumns({
+        c: movers.select(c).scalar() for c in ("gainers", "losers")
+    })
+    figures = one_state.unionByName(national, allowMissingColumns=True).withColumn("scope", scope)
+    no_points, no_names = "array<struct<date:string,price:double>>", "array<struct<commodity:string,avg_price:double,report_count:bigint>>"
+    document = F.struct(
+        _kpis(overview.latest_date(star).scalar()),
+        _pricing(star).alias("statePricing"),
+        F.coalesce("trend", F.array().cast(no_points)).alias("nationalTrend"),
+        F.coalesce("top", F.array().cast(no_names)).alias("topCommodities"),
+        F.col("gainers").alias("gainersCount"),
+        F.col("losers").alias("losersCount"),
+    )
+    return figures.join(trends, "scope", "left").join(tops, "scope", "left").select("state", F.to_json(document).alias("document"))
+
+
 def explorer_documents(star: Star) -> DataFrame:
     """One JSON document per market and name: at most 90 history rows, and the varieties.
 
@@ -99,6 +132,26 @@ def explorer_documents(star: Star) -> DataFrame:
     )
 
 
-def empty_explorer_document() -> Column:
-    """The document of a selection without rows."""
-    return F.lit('{"history":[],"varietyComparison":[]}')
+def explorer_document(
+    star: Star, commodity: str | None = None, state_id: int | None = None,
+    district: str | None = None, market_id: int | None = None,
+) -> DataFrame:
+    """One JSON document of any selection; without rows its lists are empty.
+
+    The history has the newest 90 rows. Varieties are compared only if a name and a market are selected.
+    """
+    newest = explorer.price_history(explorer.dynamic_filter(star, commodity, state_id, district, market_id))
+    point = [F.date_format("arrival_date", _ISO).alias("date"), *_cents(PRICE_COLUMNS), F.col("synthetic_volume").alias("arrival_volume")]
+    place = F.struct(*explorer.ROW_ORDER).alias("place")
+    history = _list(explorer.with_volume(newest, []).withColumn("place", place), "place", *point)
+    entries = "array<struct<variety:string,grade:string,avg_price:double,max_price:double,min_price:double>>"
+    varieties = F.array().cast(entries)
+    if commodity and market_id is not None:
+        one = explorer.compared(star).filter((F.col("market_id") == market_id) & (F.col("commodity") == commodity))
+        dearest = F.struct(-F.col("average"), "variety", "grade").alias("place")
+        average = round_half_even(F.col("average"), 2).alias("avg_price")
+        varieties = _list(
+            one.withColumn("place", dearest), "place", "variety", "grade", average, *_cents(["max_price", "min_price"])
+        )
+    document = F.struct(history.alias("history"), varieties.alias("varietyComparison"))
+    return star.market_dim.sparkSession.range(1).select(F.to_json(document).alias("document"))

@@ -1,5 +1,8 @@
 """Price explorer."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestlens.operators import explorer
@@ -59,6 +62,25 @@ def explorer_document(spark, sf_dir):
     return plain(documents.explorer_documents(star(spark, sf_dir)))
 
 
+SELECTIONS = {
+    "all": {},
+    "name in a state": {"commodity": "PROMO", "state_id": 2},
+    "name in a market": {"commodity": "PROMO", "market_id": 7},
+    "district": {"district": "ASIA-1"},
+    "nothing": {"commodity": "PROMO", "state_id": 99},
+}
+
+
+def explorer_document_of_selection(spark, sf_dir):
+    """One document per selection; only a name in a market has a comparison."""
+    tables = star(spark, sf_dir)
+    parts = [
+        documents.explorer_document(tables, **selected).select(F.lit(label).alias("selection"), "document")
+        for label, selected in SELECTIONS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def grade_class(spark, sf_dir):
     grades = star(spark, sf_dir).commodity_dim
     return plain(grades.select("commodity_id", "grade", explorer.grade_class(F.col("grade")).alias("grade_class")))
@@ -74,6 +96,7 @@ QUERIES = {
     "variety_comparison": variety_comparison,
     "variety_comparison_by_market": variety_comparison_by_market,
     "explorer_document": explorer_document,
+    "explorer_document_of_selection": explorer_document_of_selection,
     "grade_class": grade_class,
 }
 
@@ -100,6 +123,17 @@ compared AS (SELECT market_id, commodity, variety, grade, {mean('modal_price')}
   {rounded(mean('modal_price'))} AS avg_price, max(max_price) AS max_price, min(min_price) AS min_price
   FROM named GROUP BY market_id, commodity, variety, grade)"""
 
+_SELECTED = {
+    "all": "true",
+    "name in a state": "commodity = 'PROMO' AND state_id = 2",
+    "name in a market": "commodity = 'PROMO' AND market_id = 7",
+    "district": "district = 'ASIA-1'",
+    "nothing": "false",
+}
+_SELECTIONS = "(" + " UNION ALL ".join(
+    f"SELECT '{label}' AS selection, named.* FROM named WHERE {test}" for label, test in _SELECTED.items()
+) + ")"
+
 SQL = {
     "dynamic_filter": f"WITH {STAR} "
     + typed(_ROWS, "named WHERE commodity = 'PROMO' AND state_id = 2 AND district = 'ASIA-1'"),
@@ -129,6 +163,17 @@ varieties AS (SELECT market_id, commodity, list({{'variety': variety, 'grade': g
 SELECT CAST(market_id AS BIGINT) AS market_id, commodity,
   CAST(to_json({{'history': history, 'varietyComparison': comparison}}) AS VARCHAR) AS document
 FROM histories JOIN varieties USING (market_id, commodity)""",
+    "explorer_document_of_selection": f"""WITH {STAR}, {_moved('selection', _SELECTIONS)}, {_COMPARED},
+labels AS (SELECT unnest({list(_SELECTED)}) AS selection),
+histories AS (SELECT selection, list({{'date': strftime(arrival_date, '%Y-%m-%d'),
+    'min_price': {rounded('CAST(min_price AS DOUBLE)')}, 'max_price': {rounded('CAST(max_price AS DOUBLE)')},
+    'modal_price': price, 'arrival_volume': synthetic_volume}} ORDER BY date_id, market_id, commodity_id) AS history
+  FROM moved GROUP BY ALL),
+varieties AS (SELECT 'name in a market' AS selection, list({{'variety': variety, 'grade': grade, 'avg_price': avg_price,
+    'max_price': {rounded('CAST(max_price AS DOUBLE)')}, 'min_price': {rounded('CAST(min_price AS DOUBLE)')}}}
+    ORDER BY average DESC, variety, grade) AS comparison FROM compared WHERE commodity = 'PROMO' AND market_id = 7)
+SELECT selection, CAST(to_json({{'history': coalesce(history, []), 'varietyComparison': coalesce(comparison, [])}}) AS VARCHAR) AS document
+FROM labels LEFT JOIN histories USING (selection) LEFT JOIN varieties USING (selection)""",
     "grade_class": f"WITH {STAR} " + typed(
         "commodity_id:l grade:s grade_class:s",
         "(SELECT *, CASE WHEN grade = 'Premium' THEN 'premium' ELSE 'regular' END AS grade_class FROM commodity_dim)",

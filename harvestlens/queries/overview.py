@@ -87,6 +87,23 @@ def overview_by_state(spark, sf_dir):
     return plain(overview.overview_by_state(star(spark, sf_dir)))
 
 
+def trend_by_state(spark, sf_dir):
+    """The last days' prices of every state, and of all together (state_id NULL)."""
+    return plain(overview.trend_by_state(star(spark, sf_dir).last_days(14)))
+
+
+def top_by_state(spark, sf_dir):
+    return plain(overview.top_by_state(star(spark, sf_dir).last_days(0)))
+
+
+def top5_of_state(spark, sf_dir):
+    return plain(overview.top_commodities(star(spark, sf_dir).last_days(0), state=STATE))
+
+
+def price_movers_of_state(spark, sf_dir):
+    return plain(overview.price_movers(star(spark, sf_dir).since_previous_day(), STATE))
+
+
 def state_coverage(spark, sf_dir):
     tables = star(spark, sf_dir).last_days(0)
     return plain(presentation.state_coverage(tables, overview.state_pricing(tables)))
@@ -115,7 +132,8 @@ QUERIES = {
         latest_date, previous_date, kpi_total_records, kpi_commodity_count, kpi_market_count,
         kpi_state_count, kpi_model_count, kpi_forecast_trust, overview_kpis, overview_kpis_of_state,
         latest_avg_price, state_pricing, price_trend_14d, price_trend_of_state, top5_commodities,
-        price_movers, gainers_losers, overview_by_state, state_coverage, ranked_top5, short_date,
+        price_movers, gainers_losers, overview_by_state, trend_by_state, top_by_state,
+        top5_of_state, price_movers_of_state, state_coverage, ranked_top5, short_date,
         priciest_commodities, monthly_trend,
     )
 }
@@ -137,6 +155,8 @@ _TOP = f"""
 top AS (SELECT commodity, {_PRICE} AS avg_price, count(*) AS report_count
   FROM named, latest WHERE arrival_date = latest_date GROUP BY commodity ORDER BY report_count DESC, commodity LIMIT 5)"""
 _TRUST = f"coalesce({rounded('100.0 - ' + mean('mape'), 1)}, 92.0)"
+_OF_STATE = f"FROM (SELECT * FROM named WHERE state = '{STATE}')"
+_SCOPED = "(SELECT * FROM named UNION ALL SELECT * REPLACE (NULL AS state_id) FROM named)"
 _EVALUATED = "model_evaluation JOIN market_dim USING (market_id) JOIN state_dim USING (state_id)"
 
 
@@ -195,6 +215,19 @@ SELECT CAST(state_id AS BIGINT) AS state_id, state, coalesce(avg_price, 0.0) AS
   coalesce(gainers, 0) AS gainers, coalesce(losers, 0) AS losers, coalesce(forecast_trust, 92.0) AS forecast_trust
 FROM state_dim LEFT JOIN usage USING (state_id) LEFT JOIN prices USING (state_id)
   LEFT JOIN counts USING (state_id) LEFT JOIN evals USING (state_id)""",
+    "trend_by_state": f"WITH {STAR} " + typed(
+        "state_id:l arrival_date:t price:d",
+        f"(SELECT state_id, arrival_date, {_PRICE} AS price FROM {_SCOPED}, latest"
+        " WHERE arrival_date >= latest_date - 14 GROUP BY ALL)",
+    ),
+    "top_by_state": f"WITH {STAR}, " + f"""
+counted AS (SELECT state_id, commodity, {_PRICE} AS avg_price, count(*) AS report_count
+  FROM {_SCOPED}, latest WHERE arrival_date = latest_date GROUP BY state_id, commodity),
+placed AS (SELECT *, row_number() OVER (PARTITION BY state_id ORDER BY report_count DESC, commodity) AS rank FROM counted)
+""" + typed("state_id:l rank:l commodity:s avg_price:d report_count:l", "placed WHERE rank <= 5"),
+    "top5_of_state": f"WITH {STAR}, {_TOP.replace('FROM named', _OF_STATE)} " + typed("commodity:s avg_price:d report_count:l", "top"),
+    "price_movers_of_state": f"WITH {STAR}, {_MOVERS.replace('FROM fact', _OF_STATE)} "
+    + typed("commodity_id:l price_latest:d price_previous:d pct_change:d", "movers"),
     "state_coverage": f"WITH {STAR}, {_PRICING} " + typed(
         "state_id:l state:s avg_price:d record_count:l has_data:b",
         "(SELECT state_id, state, avg_price, record_count, coalesce(record_count > 0, false) AS has_data"

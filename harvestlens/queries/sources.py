@@ -152,12 +152,17 @@ def overview_document(spark, sf_dir):
     return documents.overview_document(TradeTables(spark, sf_dir))
 
 
+def overview_documents(spark, sf_dir):
+    """One document per state and a national one (state NULL)."""
+    return documents.overview_documents(TradeTables(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         scan_daily_quotes, date_spine, missing_days, flatten_record_pages, load_name_map, unmapped_names,
         extended_name_map, table_scan, series_scan, append_fact, bulk_upsert, constraint_audit,
-        raw_key_audit, seed_state_dim, model_store, overview_document,
+        raw_key_audit, seed_state_dim, model_store, overview_document, overview_documents,
     )
 }
 
@@ -277,4 +282,42 @@ SELECT CAST(to_json({{
      ORDER BY report_count DESC, commodity) FROM top),
   'gainersCount': (SELECT count(*) FROM movers WHERE pct > 0.1),
   'losersCount': (SELECT count(*) FROM movers WHERE pct < -0.1)}}) AS VARCHAR) AS document""",
+    "overview_documents": f"""WITH {PERSISTENCE},
+scopes AS (SELECT state_id, state FROM state_dim UNION ALL SELECT -1, NULL),
+scoped AS (SELECT * FROM named UNION ALL SELECT * REPLACE (-1 AS state_id) FROM named),
+of_day AS (SELECT scoped.* FROM scoped, latest WHERE arrival_date = latest_date),
+usage AS (SELECT state_id, count(*) AS records, count(DISTINCT market_id) AS markets, count(DISTINCT commodity_id) AS names
+  FROM scoped GROUP BY state_id),
+prices AS (SELECT state_id, {rounded(mean('modal_price'))} AS price FROM of_day GROUP BY state_id),
+evals AS (SELECT state_id, count(*) AS models, {rounded('100.0 - ' + mean('mape'), 1)} AS trust FROM
+  (SELECT state_id, mape FROM model_evaluation JOIN market_dim USING (market_id) UNION ALL SELECT -1, mape FROM model_evaluation) GROUP BY state_id),
+pricing AS (SELECT map(list(CAST(state_id AS VARCHAR) ORDER BY CAST(state_id AS VARCHAR)),
+    list({{'state_name': state, 'avg_price': avg_price, 'record_count': n}} ORDER BY CAST(state_id AS VARCHAR))) AS entries FROM
+  (SELECT state_id, state, {rounded(mean('modal_price'))} AS avg_price, count(*) AS n FROM of_day WHERE state_id >= 0 GROUP BY ALL)),
+days AS (SELECT state_id, arrival_date, {rounded(mean('modal_price'))} AS price FROM scoped, latest
+  WHERE arrival_date >= latest_date - 14 GROUP BY state_id, arrival_date),
+trends AS (SELECT state_id, list({{'date': strftime(arrival_date, '%Y-%m-%d'), 'price': price}} ORDER BY arrival_date) AS trend FROM days GROUP BY state_id),
+counted AS (SELECT state_id, commodity, {rounded(mean('modal_price'))} AS avg_price, count(*) AS n FROM of_day GROUP BY state_id, commodity),
+placed AS (SELECT *, row_number() OVER (PARTITION BY state_id ORDER BY n DESC, commodity) AS place FROM counted),
+tops AS (SELECT state_id, list({{'commodity': commodity, 'avg_price': avg_price, 'report_count': n}} ORDER BY place) AS top
+  FROM placed WHERE place <= 5 GROUP BY state_id),
+two AS (SELECT state_id, commodity_id,
+    CAST(sum(modal_price) FILTER (WHERE arrival_date = latest_date) AS DOUBLE) / nullif(count(*) FILTER (WHERE arrival_date = latest_date), 0) AS now,
+    CAST(sum(modal_price) FILTER (WHERE arrival_date = previous_date) AS DOUBLE) / nullif(count(*) FILTER (WHERE arrival_date = previous_date), 0) AS before
+  FROM scoped, latest, previous WHERE arrival_date IN (latest_date, previous_date) GROUP BY state_id, commodity_id),
+movers AS (SELECT state_id, count(*) FILTER (WHERE (now - before) / before * 100 > 0.1) AS gainers,
+    count(*) FILTER (WHERE (now - before) / before * 100 < -0.1) AS losers FROM two WHERE before > 0 GROUP BY state_id)
+SELECT state, CAST(to_json({{
+  'kpis': {{
+    'avgPrice': coalesce(price, 0.0), 'totalRecords': coalesce(records, 0),
+    'totalStates': CASE WHEN state_id >= 0 THEN 1 ELSE (SELECT count(*) FROM state_dim) END,
+    'totalMarkets': CASE WHEN state_id >= 0 THEN coalesce(markets, 0) ELSE (SELECT count(*) FROM market_dim) END,
+    'totalCommodities': CASE WHEN state_id >= 0 THEN coalesce(names, 0) ELSE (SELECT count(*) FROM commodity_dim) END,
+    'totalModels': coalesce(models, 0), 'forecastTrust': coalesce(trust, 92.0),
+    'latestDate': (SELECT strftime(latest_date, '%Y-%m-%d') FROM latest)}},
+  'statePricing': (SELECT entries FROM pricing),
+  'nationalTrend': coalesce(trend, []), 'topCommodities': coalesce(top, []),
+  'gainersCount': coalesce(gainers, 0), 'losersCount': coalesce(losers, 0)}}) AS VARCHAR) AS document
+FROM scopes LEFT JOIN usage USING (state_id) LEFT JOIN prices USING (state_id) LEFT JOIN evals USING (state_id)
+  LEFT JOIN trends USING (state_id) LEFT JOIN tops USING (state_id) LEFT JOIN movers USING (state_id)""",
 }
