@@ -127,6 +127,11 @@ RECOMMENDATIONS = {
     "STABLE": ("Stable prices predicted. Execute routine transactions.", "stable"),
 }
 
+# Why a forecast is refused.
+NO_COMMODITY = "No active commodity '{}' found in market ID {}."
+NO_MODEL = "No trained model found for this market and commodity. Please run the training pipeline first."
+TOO_SHORT = "Insufficient historical data to build model features. Need {} days, found {}."
+
 # Volume model of the price explorer.
 VOLUME_PER_PRICE = 1.2
 ELASTICITY = 3.5

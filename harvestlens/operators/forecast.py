@@ -15,6 +15,7 @@ from harvestlens.operators.features import KEYS
 from harvestlens.sources.star_store import Star
 
 Predictor = Callable[[dict[str, Column]], Column]
+Scorer = Callable[[DataFrame, dict[str, Column]], DataFrame]
 
 
 def model_for_name(star: Star) -> DataFrame:
@@ -120,12 +121,19 @@ def recursive_forecast(
     then push the prediction into it. `predictor` maps feature columns to a price column
     and may use any other column of `buffers`.
     """
+    return stepwise_forecast(buffers, lambda rows, values: rows.withColumn("raw", predictor(values)), keys, horizon)
+
+
+def stepwise_forecast(
+    buffers: DataFrame, scorer: Scorer, keys: list[str] = KEYS, horizon: int = HORIZON
+) -> DataFrame:
+    """recursive_forecast with a predictor over frames: it adds the price `raw` to the rows."""
     rows = buffers
     for step in range(1, horizon + 1):
-        prices, day = F.col("prices"), F.date_add("last_date", step)
-        price = F.greatest(F.lit(0.0), round_half_even(predictor(step_features(prices, day)), 2))
-        rows = rows.withColumn(f"step_{step}", price)
-        pushed = F.concat(F.slice(prices, 2, BUFFER_ROWS - 1), F.array(f"step_{step}"))
+        values = step_features(F.col("prices"), F.date_add("last_date", step))
+        price = F.greatest(F.lit(0.0), round_half_even(F.col("raw"), 2))
+        rows = scorer(rows, values).withColumn(f"step_{step}", price).drop("raw")
+        pushed = F.concat(F.slice("prices", 2, BUFFER_ROWS - 1), F.array(f"step_{step}"))
         rows = rows.withColumn("prices", pushed)
     steps = F.array(*[
         F.struct(

@@ -16,13 +16,14 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from harvestlens.constants import FEATURES
 from harvestlens.operators.evaluation import clip_metrics, evaluate
 from harvestlens.operators.features import KEYS
+from harvestlens.operators.forecast import Scorer
 
 LABEL = "modal_price"
 RIDGE = 1.5
@@ -196,19 +197,23 @@ _PRICE_FEATURES = ["lag_1", "lag_7", "lag_14", "roll_mean_7", "roll_mean_14", "r
 _CALENDAR_FEATURES = ["weekday_num", "month"]
 
 
-def relative_rows(rows: DataFrame) -> DataFrame:
+def relative_features(rows: DataFrame) -> DataFrame:
     """Prices relative to the 14-row mean, so series of any price level share one model."""
     level = F.when(F.col("roll_mean_14") > 0, F.col("roll_mean_14")).otherwise(1.0)
     return rows.withColumn("level", level).withColumns(
         {f"x_{c}": F.col(c) / F.col("level") for c in _PRICE_FEATURES}
         | {f"x_{c}": F.col(c).cast("double") for c in _CALENDAR_FEATURES}
-        | {"target": F.col(LABEL).cast("double") / F.col("level")}
     )
 
 
+def relative_rows(rows: DataFrame) -> DataFrame:
+    """relative_features with the relative price to learn."""
+    return relative_features(rows).withColumn("target", F.col(LABEL).cast("double") / F.col("level"))
+
+
 def fit_boosted(train: DataFrame, keys: list[str] = KEYS, trees: int = 30, validation_days: int = 30) -> PipelineModel:
-    """Boosted trees over all series. The last days of the training rows of each series
-    decide when to stop, so the test rows stay unseen."""
+    """Boosted trees over all series: at most `trees` of them, at a rate of 0.1. The last days of the
+    training rows of each series decide when to stop, so the test rows stay unseen."""
     last = F.max("arrival_date").over(W.partitionBy(*keys))
     rows = relative_rows(train).withColumn("held_out", F.col("arrival_date") > F.date_sub(last, validation_days))
     assembler = VectorAssembler(
@@ -224,7 +229,24 @@ def fit_boosted(train: DataFrame, keys: list[str] = KEYS, trees: int = 30, valid
 
 
 def predict_boosted(rows: DataFrame, model: PipelineModel, keys: list[str] = KEYS) -> DataFrame:
-    scored = model.transform(relative_rows(rows))
+    scored = model.transform(relative_features(rows))
     return scored.withColumn("predicted", F.col("relative") * F.col("level")).select(
         *rows.columns, "predicted"
     )
+
+
+def boosted_scorer(model: PipelineModel) -> Scorer:
+    """The boosted model as a predictor over frames, for `stepwise_forecast`."""
+
+    def score(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+        return predict_boosted(rows.withColumns(values), model).select(*rows.columns, F.col("predicted").alias("raw"))
+
+    return score
+
+
+def boosted_importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(feature_name, importance_score) of the boosted model, eight rows that sum to 1."""
+    names = _PRICE_FEATURES + _CALENDAR_FEATURES
+    scores = model.stages[-1].featureImportances.toArray().tolist()
+    rows = spark.createDataFrame(list(zip(names, scores, strict=True)), "feature_name string, importance_score double")
+    return rows.withColumn("importance_score", F.col("importance_score").cast("decimal(10,5)"))

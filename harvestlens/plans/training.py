@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from harvestlens.operators import features, models
@@ -57,3 +58,16 @@ def train_store(store: StarStore) -> DataFrame:
 def save_models(fitted: DataFrame, path: str) -> None:
     """The models as one coefficient table."""
     fitted.write.mode("overwrite").parquet(path)
+
+
+def train_boosted(store: StarStore, trees: int = 30) -> PipelineModel:
+    """Fit the boosted model on all usable series of the stored fact and store it, replacing an earlier one."""
+    training = train_series(features.fact_series(store.star()))
+    model = models.fit_boosted(training.train, trees=trees)
+    model.write().overwrite().save(store.path("boosted_model"))
+    return model
+
+
+def load_boosted(store: StarStore) -> PipelineModel | None:
+    """The stored boosted model, None if none was fitted."""
+    return PipelineModel.load(store.path("boosted_model")) if store.exists("boosted_model") else None

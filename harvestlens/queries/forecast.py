@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from harvestlens.operators import evaluation, features, forecast, presentation
-from harvestlens.plans.inference import forecast_series
+from harvestlens.constants import FEATURES, NO_COMMODITY, NO_MODEL, RECOMMENDATIONS, TOO_SHORT
+from harvestlens.operators import evaluation, features, forecast, models, presentation
+from harvestlens.plans.inference import forecast_requests, forecast_series
 from harvestlens.queries.common import (
     PERSISTENCE, SERIES, baseline_eval_sql, clipped_sql, plain, rounded, typed,
 )
@@ -129,12 +130,49 @@ def forecast_range(spark, sf_dir):
     return plain(presentation.forecast_range(banded(spark, sf_dir)[1], KEYS))
 
 
+def weekly_models(star):
+    """Weekly-mean models of the series by id with at least 12 days, in the form of fitted ones."""
+    long_enough = features.fact_series(star).groupBy(*features.KEYS).agg(F.count(F.lit(1)).alias("n")).filter("n >= 12")
+    weights = F.array(*[F.lit(1.0 if c == "roll_mean_7" else 0.0) for c in FEATURES])
+    return long_enough.select(*features.KEYS, F.lit(0.0).alias("intercept"), weights.alias("coefficients"))
+
+
+def forecast_request(spark, sf_dir):
+    """Every name and every id of every market, and a name that none sells: what the answer forecasts, or why it does not."""
+    star = TradeTables(spark, sf_dir)
+    sold = star.fact.select(*features.KEYS).distinct()
+    names = sold.join(star.commodity_dim.select("commodity_id", "commodity"), "commodity_id").select("market_id", "commodity")
+    unknown = sold.select("market_id", F.lit("No such name").alias("commodity"))
+    by_name = names.unionByName(unknown).withColumn("commodity_id", F.lit(None).cast("int"))
+    requests = by_name.unionByName(sold.withColumn("commodity", F.lit(None).cast("string")))
+    importances = weekly_models(star).select(
+        *features.KEYS, F.lit("roll_mean_7").alias("feature_name"), F.lit(1).cast("decimal(10,5)").alias("importance_score")
+    )
+    answers = forecast_requests(star, weekly_models(star), importances, requests)
+    part = lambda path: F.get_json_object("document", path)
+    return plain(answers.select(
+        *features.KEYS, "commodity", "refusal",
+        part("$.forecast[2].predicted_modal_price").cast("double").alias("third_day"),
+        part("$.recommendation.action").alias("action"),
+        part("$.featureDrivers[0].feature").alias("driver"),
+    ))
+
+
+def recursive_forecast_boosted(spark, sf_dir):
+    """Forecasts of the state series by the pooled boosted trees."""
+    training = trained(spark, sf_dir)
+    rows = TradeTables(spark, sf_dir).state_series()
+    model = models.fit_boosted(training.train, STATE_KEYS)
+    return plain(forecast_series(rows, training.evaluations(STATE_KEYS), keys=STATE_KEYS, boosted=model))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         model_for_name, metrics_lookup, feature_drivers, latest_14, too_short, step_features,
         recursive_forecast, recursive_forecast_models, confidence_band, recommendation,
-        forecast_document, forecast_chart_rows, top4_drivers, confidence_display, forecast_range,
+        forecast_document, forecast_request, recursive_forecast_boosted, forecast_chart_rows, top4_drivers,
+        confidence_display, forecast_range,
     )
 }
 
@@ -234,13 +272,32 @@ SELECT CAST(market_id AS BIGINT) AS market_id, commodity,
 changes AS (SELECT *, CASE WHEN last_price > 0 THEN {_CHANGE} ELSE 0.0 END AS pct_change FROM forecasts WHERE step = 3),
 actions AS (SELECT *, CASE WHEN pct_change > 3 THEN 'HOLD' WHEN pct_change < -3 THEN 'SELL' ELSE 'STABLE' END AS action FROM changes),
 decided AS (SELECT *,
-  CASE action WHEN 'HOLD' THEN 'Significant upward trend predicted. Sell later for higher returns.'
-    WHEN 'SELL' THEN 'Downward trend predicted. Sell immediately to prevent loss.'
-    ELSE 'Stable prices predicted. Execute routine transactions.' END AS description,
+  CASE action WHEN 'HOLD' THEN '{RECOMMENDATIONS["HOLD"][0]}' WHEN 'SELL' THEN '{RECOMMENDATIONS["SELL"][0]}'
+    ELSE '{RECOMMENDATIONS["STABLE"][0]}' END AS description,
   CASE action WHEN 'HOLD' THEN 'gainer' WHEN 'SELL' THEN 'loser' ELSE 'stable' END AS trend_class FROM actions)
 """ + typed(
         "market_id:l commodity:s last_date:t last_price:d pct_change:d action:s description:s trend_class:s", "decided"
     ),
+    "forecast_request": f"""WITH {PERSISTENCE},
+series AS (SELECT market_id, CAST(commodity_id AS VARCHAR) AS commodity, arrival_date, modal_price FROM fact), {_STEPS},
+lengths AS (SELECT market_id, commodity_id, least(count(*), 14) AS n, count(*) >= 12 AS modelled FROM fact GROUP BY ALL),
+sold AS (SELECT DISTINCT market_id, commodity_id, commodity FROM named),
+placed AS (SELECT market_id, commodity, commodity_id, row_number() OVER (PARTITION BY market_id, commodity
+  ORDER BY r2_score DESC NULLS LAST, commodity_id) AS place FROM sold LEFT JOIN model_evaluation USING (market_id, commodity_id)),
+asked AS (SELECT market_id, commodity_id, commodity FROM placed WHERE place = 1 UNION ALL SELECT market_id, commodity_id, NULL FROM sold
+  UNION ALL SELECT DISTINCT market_id, NULL, 'No such name' FROM sold),
+decided AS (SELECT market_id, CAST(commodity AS BIGINT) AS commodity_id, predicted, CASE WHEN last_price > 0 THEN {_CHANGE} ELSE 0.0 END AS pct
+  FROM forecasts WHERE step = 3),
+answers AS (SELECT asked.*, CASE
+    WHEN commodity_id IS NULL THEN replace('{NO_COMMODITY.replace("'", "''").replace("{}", "{0}", 1)}', '{{0}}', commodity)
+    WHEN NOT modelled THEN '{NO_MODEL}' WHEN n < 14 THEN '{TOO_SHORT.replace("{}", "14", 1)}' END AS pattern, n, predicted, pct
+  FROM asked LEFT JOIN lengths USING (market_id, commodity_id) LEFT JOIN decided USING (market_id, commodity_id)),
+served AS (SELECT *, replace(pattern, '{{}}', CAST(coalesce(n, market_id) AS VARCHAR)) AS refusal FROM answers)
+""" + typed(
+        "market_id:l commodity_id:l commodity:s refusal:s third_day:d action:s driver:s",
+        "(SELECT *, CASE WHEN refusal IS NULL THEN predicted END AS third_day, CASE WHEN refusal IS NULL THEN 'roll_mean_7' END AS driver,"
+        " CASE WHEN refusal IS NOT NULL THEN NULL WHEN pct > 3 THEN 'HOLD' WHEN pct < -3 THEN 'SELL' ELSE 'STABLE' END AS action FROM served)",
+    ),
     "forecast_chart_rows": f"""WITH {SERIES}, {_BANDED},
 actuals AS (SELECT market_id, commodity, 1 - newness AS day_offset,
     CASE WHEN newness = 1 THEN 'Today' ELSE 'Day -' || (newness - 1) END AS name, CAST(modal_price AS DOUBLE) AS actual

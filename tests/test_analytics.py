@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from harvestlens.operators import evaluation, explorer, features, forecast, models, overview, presentation
-from harvestlens.plans import documents, training
+from harvestlens.plans import documents, inference, training
 from harvestlens.plans.inference import forecast_series
-from harvestlens.sources.star_store import Star
+from harvestlens.sources.star_store import Star, StarStore
 
 EPOCH = datetime.date(1970, 1, 1)
 KEYS = ["market_id", "commodity_id"]
@@ -331,3 +331,67 @@ def test_a_series_without_solution_gets_an_error():
     both = pd.concat(models._ridge_solver(8, 1.5)(iter([pd.DataFrame([one, bad])])))
     assert both["error"].tolist() == [None, "moments are not finite"]
     assert np.allclose(both["coefficients"].iloc[0], alone["coefficients"].iloc[0])
+
+
+def test_overview_documents_equal_one_by_one(spark):
+    """All states and the national overview in one plan; Bihar has no market."""
+    star = star_of(spark, FACTS, evaluations=[(1, 1, 3.5, 0.5), (3, 2, 10, None)])
+    got = {r.state: r.document for r in documents.overview_documents(star).collect()}
+    assert got == {state: documents.overview_document(star, state).first().document for state in (None, "Goa", "Assam", "Bihar")}
+
+
+def test_explorer_document_of_any_selection(spark):
+    import json
+
+    star = star_of(spark, FACTS)
+    document = lambda **selected: json.loads(documents.explorer_document(star, **selected).first().document)
+    whole = document()
+    assert len(whole["history"]) == len(FACTS) and whole["varietyComparison"] == []
+    assert [p["modal_price"] for p in document(district="d", commodity="Rice")["history"]] == [5, 6, 10, 11, 12.5]
+    one = document(market_id=3, commodity="Rice")
+    assert [(v["variety"], v["avg_price"]) for v in one["varietyComparison"]] == [("x", 20), ("y", 7)]
+    assert document(state_id=2) == {"history": [], "varietyComparison": []}
+
+
+def test_requests_are_served_or_refused_with_a_reason(spark):
+    import json
+
+    facts = [(d, 1, 1, 10 + d % 3) for d in range(100, 120)] + [(d, 2, 3, 5) for d in range(100, 105)] + [(100, 3, 1, 9)]
+    star = star_of(spark, facts, evaluations=[(1, 1, 3.5, 0.5)])
+    models_of = [(1, 1, 1.0, [0.0] * 8), (2, 3, 1.0, [0.0] * 8)]
+    fitted = spark.createDataFrame(models_of, "market_id int, commodity_id int, intercept double, coefficients array<double>")
+    none = spark.createDataFrame([], "market_id int, commodity_id int, feature_name string, importance_score decimal(10,5)")
+    asked = [(1, None, "Rice"), (1, 1, None), (1, 1, None), (2, 3, None), (3, None, "Rice"), (3, None, "Tea"), (9, 9, None)]
+    requests = spark.createDataFrame(asked, "market_id int, commodity_id int, commodity string")
+    answers = {(r.market_id, r.commodity): r for r in inference.forecast_requests(star, fitted, none, requests).collect()}
+    assert len(answers) == 6
+    assert [p["predicted_modal_price"] for p in json.loads(answers[1, "Rice"].document)["forecast"]] == [1, 1, 1]
+    assert answers[1, None].document == answers[1, "Rice"].document and answers[1, "Rice"].refusal is None
+    assert answers[2, None].refusal.endswith("Need 14 days, found 5.")
+    assert answers[3, "Rice"].refusal.startswith("No trained model") and answers[9, None].refusal.startswith("No trained model")
+    assert answers[3, "Tea"].refusal == "No active commodity 'Tea' found in market ID 3."
+    assert all((r.document is None) != (r.refusal is None) for r in answers.values())
+
+
+def test_boosted_model_is_stored_and_forecasts(spark, tmp_path):
+    """The stored model forecasts as the fitted one and does not lose to last week's price."""
+    facts = [
+        (1000 + d, m, 1, 100 * m + 20 * ((d * 2 * m) % 7) + 3 * ((d * 13) % 5)) for m in (1, 2) for d in range(260)
+    ]
+    store = StarStore(spark, str(tmp_path / "store"))
+    assert training.load_boosted(store) is None
+    store.append_fact(star_of(spark, facts).fact)
+    model = training.train_boosted(store, trees=10)
+    loaded = training.load_boosted(store)
+    series = features.fact_series(store.star())
+    evaluations = store.read_latest("model_evaluation")
+    steps = [
+        sorted(map(tuple, forecast_series(series, evaluations, boosted=m).collect())) for m in (model, loaded)
+    ]
+    assert steps[0] == steps[1] and len(steps[0]) == 6
+    importances = models.boosted_importances(spark, loaded).collect()
+    assert len(importances) == 8 and abs(sum(float(r.importance_score) for r in importances) - 1) < 1e-3
+    split = training.train_series(series)
+    scored = evaluation.evaluate(models.predict_boosted(split.test, loaded), KEYS)
+    naive = {tuple(r)[:2]: r.rmse for r in evaluation.baseline_eval(series, KEYS).select(*KEYS, "rmse").collect()}
+    assert all(r.rmse <= naive[r.market_id, r.commodity_id] + 5 for r in scored.collect())
