@@ -4,7 +4,9 @@ Each step is DataFrame -> DataFrame. A batch is one arrival day, so the outlier
 are taken per day unless other group columns are given.
 """
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestlens.constants import PRICE_COLUMNS, QUOTE_COLUMNS
@@ -83,9 +85,11 @@ def base_commodity(quotes: DataFrame) -> DataFrame:
 def translate_commodity(quotes: DataFrame, name_map: DataFrame) -> DataFrame:
     """English name by one lookup (targets may be keys again); unmapped names stay.
 
-    The map's side is broadcast only if Spark finds it small.
+    A name with several targets goes to the first by name, so no quote is multiplied. The map's
+    side is broadcast only if Spark finds it small.
     """
-    mapped = quotes.join(name_map.withColumnRenamed("raw_name", "commodity"), "commodity", "left")
+    one = name_map.groupBy(F.col("raw_name").alias("commodity")).agg(F.min("english_name").alias("english_name"))
+    mapped = quotes.join(one, "commodity", "left")
     return mapped.withColumn("commodity", F.coalesce("english_name", "commodity")).select(*quotes.columns)
 
 
@@ -134,6 +138,32 @@ def clean_values(quotes: DataFrame, keep_first: str | None = None) -> DataFrame:
     return iqr_outlier_filter(nonneg_prices(dropna_any(dedup_rows(quotes, keep_first))))
 
 
+def fault_of_values() -> Column:
+    """Why the value steps drop a quote by itself: a bad line, a NULL, a negative price; else NULL."""
+    missing = reduce(Column.__or__, [F.col(c).isNull() for c in QUOTE_COLUMNS.values()])
+    negative = reduce(Column.__or__, [F.col(c) < 0 for c in PRICE_COLUMNS])
+    return (
+        F.when(F.col("corrupt").isNotNull(), "corrupt line").when(missing, "missing value").when(negative, "negative price")
+    )
+
+
+def judge_quotes(quotes: DataFrame, name_map: DataFrame, states: DataFrame, group: list[str] = BATCH) -> DataFrame:
+    """clean_quotes on deduplicated quotes with `fault`, keeping all rows: `fault` says which step drops a row.
+
+    Fences come from the rows without a fault, as in `clean_values`. Quotes of states outside `states` are at fault too; the others get their
+    state_id.
+    """
+    fences = iqr_fences(price_quartiles(quotes.filter("fault IS NULL"), group), group)
+    inside = reduce(Column.__and__, [F.col(c).between(F.col("lower_fence"), F.col("upper_fence")) for c in PRICE_COLUMNS])
+    fenced = quotes.join(fences, group, "left").withColumn("fault", F.coalesce("fault", F.when(~inside, "outlier")))
+    named = canonical_state(clean_text(translate_commodity(base_commodity(fenced.select(*quotes.columns)), name_map)))
+    ordered = F.expr("min_price <= modal_price AND modal_price <= max_price")
+    known = named.join(states.select("state", "state_id"), "state", "left")
+    return known.withColumn("fault", F.coalesce(
+        "fault", F.when(~ordered, "price order"), F.when(F.col("state_id").isNull(), "unknown state")
+    ))
+
+
 def clean_names(quotes: DataFrame, name_map: DataFrame) -> DataFrame:
     """Commodity, place and grade names, then the price order check."""
     named = translate_commodity(base_commodity(quotes), name_map)

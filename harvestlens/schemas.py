@@ -67,9 +67,11 @@ _QUOTE = [
     *[T.StructField(c, RAW_PRICE) for c in ("min_price", "max_price", "modal_price")],
     T.StructField("sequence", SEQUENCE),
 ]
-# Every row a load was given, parsed; rows without a readable date have year and month NULL.
+# Every row a load was given, parsed; rows without a readable date have year and month NULL. `corrupt` is
+# the line of a row that has more or fewer fields than its file's header.
 LANDED_QUOTES = T.StructType([
     *_QUOTE,
+    T.StructField("corrupt", T.StringType()),
     T.StructField("load", T.StringType()),
     T.StructField("year", T.IntegerType()),
     T.StructField("month", T.IntegerType()),
@@ -81,6 +83,13 @@ REJECTS = T.StructType([
     T.StructField("year", T.IntegerType(), False),
     T.StructField("month", T.IntegerType(), False),
 ])
+# What became of a load's rows, per day (NULL: no readable date) and reason; `read` is their number.
+LOAD_LOG = T.StructType([
+    T.StructField("load", T.StringType()),
+    T.StructField("arrival_date", T.DateType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("rows", T.LongType()),
+])
 MODEL_EVALUATION = T.StructType([
     T.StructField("market_id", T.IntegerType(), False),
     T.StructField("commodity_id", T.IntegerType(), False),
@@ -110,6 +119,7 @@ STAR_TABLES = {
     "fact_market_prices": STORED_FACT,
     "landed_quotes": LANDED_QUOTES,
     "rejects": REJECTS,
+    "load_log": LOAD_LOG,
     "model_evaluation": MODEL_EVALUATION,
     "feature_importance": FEATURE_IMPORTANCE,
     "series_models": SERIES_MODELS,

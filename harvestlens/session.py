@@ -2,8 +2,10 @@
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "harvestlens", master: str | None = None, **conf) -> SparkSession:
@@ -43,3 +45,20 @@ def write_and_read(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A write_and_read whose tables are deleted when the block ends: what leaves it must not read them."""
+    root = scratch_path(spark, name)
+
+    def keep(df: DataFrame, table: str) -> DataFrame:
+        path = f"{root}/{table}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestlens.schemas import STAR_TABLES
-from harvestlens.session import write_and_read
+from harvestlens.session import passing_tables
 
 
 @dataclass
@@ -94,13 +94,14 @@ class StarStore:
         names = STAR_TABLES[table].fieldNames()
         day = F.date_from_unix_date("date_id")
         fresh = rows.withColumns({"year": F.year(day), "month": F.month(day)})
-        merged = write_and_read(kept.select(*names).unionByName(fresh.select(*names)), table)
         order = ["year", "month", "date_id", *[c for c in ("market_id", "commodity_id") if c in names]]
-        (
-            merged.repartitionByRange(*order).sortWithinPartitions(*order)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("year", "month").parquet(self.path(table))
-        )
+        with passing_tables(self.spark, table) as keep:
+            merged = keep(kept.select(*names).unionByName(fresh.select(*names)), "merged")
+            (
+                merged.repartitionByRange(*order).sortWithinPartitions(*order)
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("year", "month").parquet(self.path(table))
+            )
 
     def _generations(self, table: str) -> list[int]:
         """Finished generations, oldest first."""

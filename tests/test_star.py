@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from harvestlens import session
 from harvestlens.operators import audit, dimensions, fact, filters, overview
 from harvestlens.plans import ingest
 from harvestlens.sources import daily_files
@@ -226,3 +227,67 @@ def scans_of(table):
         children = node.children()
         left += [children.apply(i) for i in range(children.size())]
     return found
+
+
+HEADER = "State,District,Market,Commodity,Variety,Grade,Arrival_Date,Min_Price,Max_Price,Modal_Price"
+
+
+def write_lines(path, lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(lines) + "\n")
+
+
+def test_columns_are_found_by_name_and_bad_lines_are_counted(spark, no_names, tmp_path):
+    """Files in another order, with further columns, lines too short and too long, a blank in a file's name."""
+    source = tmp_path / "in"
+    write_lines(source / "plain 01-01-2024.csv", [HEADER, "Goa,D,M,Rice,V,G,01/01/2024,10,10,10", "Goa,D,M,Rye,V,G,01/01/2024,9"])
+    names = ["Commodity_Code", *reversed(HEADER.split(",")), '"Note, free"']
+    rows = [
+        ["7", "12", "12", "12", "02/01/2024", "G", "V", "Maize", "M", "D", "Goa", '"a, b"'],
+        ["7", "12", "12", "12", "02/01/2024", "G", "V", "Oats", "M", "D", "Goa", "a", "too many"],
+        ["7", "12", "12", "12", "no day", "G", "V", "Oats", "M", "D", "Goa", "a"],
+    ]
+    write_lines(source / "coded_02-01-2024.csv", [",".join(row) for row in [names, *rows]])
+    write_lines(source / "empty_03-01-2024.csv", [HEADER])
+    scanned = daily_files.scan_daily_quotes(spark, str(source), file_order=True, corrupt=True)
+    assert {(r.Commodity, r.file_day.day, r.corrupt is None) for r in scanned.collect()} == {
+        ("Rice", 1, True), ("Rye", 1, False), ("Maize", 2, True), ("Oats", 2, False), ("Oats", 2, True),
+    }
+    assert daily_files.scan_daily_quotes(spark, str(source), start="2024-01-02").count() == 3
+    store = StarStore(spark, str(tmp_path / "store"))
+    log = {(r.arrival_date and r.arrival_date.day, r.reason): r.rows for r in ingest.load_quotes(store, scanned, no_names)["log"].collect()}
+    assert log == {
+        (1, "read"): 2, (1, "inserted"): 1, (1, "corrupt line"): 1,
+        (2, "read"): 2, (2, "inserted"): 1, (2, "corrupt line"): 1,
+        (None, "read"): 1, (None, "bad date"): 1,
+    }
+    streamed = StarStore(spark, str(tmp_path / "streamed"))
+    query = stream_daily_ingest(streamed, str(source), no_names, str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    assert query.exception() is None and loaded(streamed) == loaded(store) and sum(loaded(store).values()) == 2
+    write_lines(source / "headless_04-01-2024.csv", ["Goa,D,M,Rice,V,G,01/01/2024,9,11,10"])
+    with pytest.raises(ValueError, match="no column"):
+        daily_files.scan_daily_quotes(spark, str(source))
+
+
+def test_a_load_accounts_for_every_row_and_leaves_no_scratch(spark, quotes_of, no_names, tmp_path, monkeypatch):
+    used = []
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: used.append(tmp_path / f"{name}{len(used)}") or str(used[-1]))
+    store = StarStore(spark, str(tmp_path / "store"))
+    rows = [
+        *ROWS, ROWS[0],
+        ("Goa", "m1", None, "02/01/2024", 9, 10, 11), ("Goa", "m1", "Wheat", "02/01/2024", -9, 10, 11),
+        ("Goa", "m1", "Rice", "02/01/2024", 900, 1000, 1100), ("Goa", "m1", "Rice", "02/01/2024", 11, 10, 12),
+        ("Goa", "m1", "Wheat", "31/02/2024", 9, 10, 11),
+    ]
+    for reload in (False, False, True):
+        out = ingest.load_quotes(store, quotes_of(rows), no_names, reload=reload)
+        per_day = Counter()
+        for r in out["log"].collect():
+            per_day[r.arrival_date] += r.rows if r.reason == "read" else -r.rows
+        assert set(per_day.values()) == {0} and len(per_day) == 3
+    last = {(r.arrival_date and r.arrival_date.day, r.reason): r.rows for r in out["log"].collect()}
+    assert last[2, "negative price"] == last[2, "outlier"] == last[2, "price order"] == last[2, "unknown state"] == last[2, "missing value"] == 1
+    assert last[1, "repeated key"] == 1 and last[1, "inserted"] == 2 and last[1, "repeated row"] == 9 and last[None, "bad date"] == 1
+    assert [r.state for r in out["rejects"].collect()] == ["Atlantis"]
+    assert used and not any(path.exists() for path in used)
