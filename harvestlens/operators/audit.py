@@ -18,57 +18,49 @@ def unique_violations(table: str, df: DataFrame, keys: list[str]) -> DataFrame:
     return _report(table, f"unique({', '.join(keys)})", repeated)
 
 
-def reference_violations(table: str, df: DataFrame, key: str, parent: DataFrame) -> DataFrame:
-    """Number of rows whose key the parent lacks.
+def table_violations(
+    table: str, df: DataFrame, keys: list[str], references: dict[str, DataFrame] | None = None, not_null: list[str] | None = None
+) -> DataFrame:
+    """Repeats of a key, orphans of references among the key's columns, and NULLs, from one aggregate on the key.
 
-    Rows are counted per key before the join, so a busy key is one row in it.
+    Rows are counted per key before any parent is joined; a parent's repeated ids count once.
     """
-    used = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    orphans = used.join(parent.select(key), key, "left_anti")
-    return orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).select(
-        F.lit(table).alias("table_name"), F.lit(f"references({key})").alias("rule"), "n"
-    )
-
-
-def null_violations(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
-    """Number of NULLs per column, in one scan."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"not null({c})") for c in columns])
-    return counts.unpivot([], counts.columns, "rule", "n").select(
-        F.lit(table).alias("table_name"), "rule", "n"
-    )
+    references, not_null = references or {}, not_null or []
+    nulls = {f"not null({c})": F.count_if(F.col(c).isNull()) for c in not_null}
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), *[n.alias(rule) for rule, n in nulls.items()])
+    for key, parent in references.items():
+        counted = counted.join(parent.select(key, F.lit(True).alias(f"{key} exists")).distinct(), key, "left")
+    orphan = {f"references({c})": F.col(c).isNotNull() & F.col(f"`{c} exists`").isNull() for c in references}
+    totals = [F.count_if(F.col("copies") > 1).alias(f"unique({', '.join(keys)})")]
+    totals += [F.coalesce(F.sum(F.when(test, F.col("copies"))), F.lit(0)).alias(rule) for rule, test in orphan.items()]
+    totals += [F.coalesce(F.sum(f"`{rule}`"), F.lit(0)).alias(rule) for rule in nulls]
+    report = counted.agg(*totals)
+    entries = [F.struct(F.lit(c).alias("rule"), F.col(f"`{c}`").alias("n")) for c in report.columns]
+    return report.select(F.lit(table).alias("table_name"), F.explode(F.array(*entries)).alias("entry")).select("table_name", "entry.*")
 
 
 def constraint_audit(star) -> DataFrame:
-    """(table_name, rule, n) for every key, reference and NOT NULL of the star."""
-    fact_keys = ["date_id", "market_id", "commodity_id"]
+    """(table_name, rule, n) for every key, reference and NOT NULL of the star; one aggregate per table and key."""
+    market, commodity = {"market_id": star.market_dim}, {"commodity_id": star.commodity_dim}
+    triple, place = ["commodity", "variety", "grade"], ["market", "district", "state_id"]
     reports = [
         unique_violations("state_dim", star.state_dim, ["state_id"]),
-        unique_violations("state_dim", star.state_dim, ["state"]),
-        null_violations("state_dim", star.state_dim, ["state"]),
+        table_violations("state_dim", star.state_dim, ["state"], not_null=["state"]),
         unique_violations("commodity_dim", star.commodity_dim, ["commodity_id"]),
-        unique_violations("commodity_dim", star.commodity_dim, ["commodity", "variety", "grade"]),
-        null_violations("commodity_dim", star.commodity_dim, ["commodity", "variety", "grade"]),
+        table_violations("commodity_dim", star.commodity_dim, triple, not_null=triple),
         unique_violations("market_dim", star.market_dim, ["market_id"]),
-        unique_violations("market_dim", star.market_dim, ["market", "district", "state_id"]),
-        reference_violations("market_dim", star.market_dim, "state_id", star.state_dim),
-        null_violations("market_dim", star.market_dim, ["market", "district"]),
+        table_violations("market_dim", star.market_dim, place, {"state_id": star.state_dim}, ["market", "district"]),
         unique_violations("date_dim", star.date_dim, ["date_id"]),
-        unique_violations("date_dim", star.date_dim, ["arrival_date"]),
-        null_violations("date_dim", star.date_dim, ["arrival_date", "day", "month", "year", "weekday"]),
-        unique_violations("fact_market_prices", star.fact, fact_keys),
-        reference_violations("fact_market_prices", star.fact, "date_id", star.date_dim),
-        reference_violations("fact_market_prices", star.fact, "market_id", star.market_dim),
-        reference_violations("fact_market_prices", star.fact, "commodity_id", star.commodity_dim),
-        null_violations("fact_market_prices", star.fact, ["min_price", "max_price", "modal_price"]),
+        table_violations("date_dim", star.date_dim, ["arrival_date"], not_null=["arrival_date", "day", "month", "year", "weekday"]),
+        table_violations(
+            "fact_market_prices", star.fact, ["date_id", "market_id", "commodity_id"],
+            {"date_id": star.date_dim} | market | commodity, ["min_price", "max_price", "modal_price"],
+        ),
     ]
     for name, table, keys in (
         ("model_evaluation", star.model_evaluation, ["market_id", "commodity_id"]),
         ("feature_importance", star.feature_importance, ["market_id", "commodity_id", "feature_name"]),
     ):
         if table is not None:
-            reports += [
-                unique_violations(name, table, keys),
-                reference_violations(name, table, "market_id", star.market_dim),
-                reference_violations(name, table, "commodity_id", star.commodity_dim),
-            ]
+            reports.append(table_violations(name, table, keys, market | commodity))
     return reduce(DataFrame.unionByName, reports)
