@@ -84,18 +84,24 @@ def hits(index: SeedIndex, hashes: np.ndarray, first: np.ndarray, overlap: Overl
 
 
 def best_overlap(equal: np.ndarray, overlap: Overlap) -> tuple[int, int, int] | None:
-    """Start, words and equal words of the run with the best score, or None if it is too short or too unlike.
+    """Start, words and equal words of the longest run that is long enough and alike enough, or None if there is none.
 
     An equal word scores the part that may differ and another one loses the part that must be equal, so a run
-    with a score of 0 or more has enough equal words.
+    has enough equal words exactly when its score is 0 or more. The longest such run that ends at a place starts where the
+    running minimum of the scores first comes down to the score there. Of equally long runs the one with more equal words
+    counts, then the first.
     """
-    gain = np.where(equal, 100 - overlap.percent, -overlap.percent)
-    total = np.concatenate([[0], np.cumsum(gain)])
-    least = np.minimum.accumulate(total)
-    stop = int((total - least).argmax())
-    start = int(total[: stop + 1].argmin())
-    same = int(equal[start:stop].sum())
-    return (start, stop - start, same) if stop - start >= overlap.words else None
+    total = np.concatenate([[0], np.cumsum(np.where(equal, 100 - overlap.percent, -overlap.percent))])
+    same = np.concatenate([[0], np.cumsum(equal)])
+    starts = np.searchsorted(-np.minimum.accumulate(total), -total, "left")
+    sizes = np.arange(len(total)) - starts
+    longest = int(sizes.max())
+    if longest < overlap.words:
+        return None
+    stops = np.flatnonzero(sizes == longest)
+    held = same[stops] - same[stops - longest]
+    stop = int(stops[held.argmax()])
+    return stop - longest, longest, int(held.max())
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: Overlap = Overlap(), block_bytes: int = 2 << 20, keep: list[str] = []) -> DataFrame:
@@ -103,10 +109,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: Overlap = Overl
 
     docs: doc_id, text; benchmark: item_id, text. Words are runs of letters and digits, A-Z lower-cased. Seeds of documents
     and items are hashes of the words that a mask keeps; where they meet, the item is laid over the document without gaps
-    and its best run of words must have `overlap.words` words (or the whole item, where that is shorter but as long
+    and a run of words must have `overlap.words` words (or the whole item, where that is shorter but as long
     as the shortest mask) and `overlap.percent` of them equal. Returns, per document and item, doc_id, item_id, doc_start,
-    item_start (words from 0), n_words and n_equal of the longest such run (ties: the first), and the document's
-    columns `keep`.
+    item_start (words from 0), n_words and n_equal of the longest such run (ties: more equal words, then the first), and
+    the document's columns `keep`. A run is only seen if it shares a seed with the item: of a 13-word item with 2 words
+    substituted, 76 of the 78 patterns do.
 
     The benchmark is taken in blocks of about `block_bytes` of text, each sent to all tasks; a larger benchmark makes
     more blocks, and every block meets all documents. Null or empty texts and items shorter than the shortest

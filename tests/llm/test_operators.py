@@ -1,5 +1,6 @@
 """Language ID, packing, licences, decontamination, token counts and fingerprints against plain versions."""
 
+import itertools
 import random
 import re
 import zlib
@@ -140,6 +141,44 @@ def test_benchmark_passages_with_substitutions(spark, docs_of, odd_rows):
     assert decontamination.contaminated(docs_of(rows), benchmark.limit(0)).collect() == []
 
 
+def longest_run(equal, words, percent):
+    """Words and equal words of the longest run that is valid, by trying all."""
+    n = len(equal)
+    runs = [(j - i, sum(equal[i:j])) for i in range(n) for j in range(i + words, n + 1) if 100 * sum(equal[i:j]) >= percent * (j - i)]
+    return max(runs, default=None)
+
+
+def test_every_substitution_pattern_that_is_alike_enough_is_an_overlap():
+    overlap = decontamination.Overlap()
+    for n in range(13, 21):
+        for changed in range(n // 5 + 1):
+            for at in itertools.combinations(range(n), changed):
+                equal = np.ones(n, bool)
+                equal[list(at)] = False
+                assert decontamination.best_overlap(equal, overlap) == (0, n, n - changed)
+    rnd = random.Random(10)
+    for _ in range(500):
+        equal = np.array([rnd.random() < 0.75 for _ in range(rnd.randrange(1, 30))])
+        got, truth = decontamination.best_overlap(equal, overlap), longest_run(equal.tolist(), 13, 80)
+        assert (got and got[1:]) == truth
+        assert got is None or sum(equal[got[0] : got[0] + got[1]]) == got[2]
+
+
+def test_documents_with_any_pattern_that_shares_a_seed_are_found(spark, docs_of):
+    masks, item = decontamination.Overlap().masks, [f"i{k}" for k in range(13)]
+    rows, truth = [], set()
+    for changed in range(3):
+        for at in itertools.combinations(range(13), changed):
+            doc_id, words = len(rows), [f"x{k}" if k in at else w for k, w in enumerate(item)]
+            rows.append((doc_id, " ".join(["before", *words, "after"])))
+            fits = ((m, p) for m in masks for p in range(13 - len(m) + 1))
+            if any(all(bit == "0" or p + k not in at for k, bit in enumerate(m)) for m, p in fits):
+                truth.add((doc_id, 1, 0, 13, 13 - changed))
+    found = decontamination.contaminated(docs_of(rows), spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.doc_start, r.item_start, r.n_words, r.n_equal) for r in found} == truth
+    assert (len(rows), len(truth)) == (92, 90)
+
+
 def test_token_counts(docs_of, odd_rows):
     import sentencepiece
     from tokenizers import Tokenizer, models
