@@ -30,9 +30,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near-duplicates."""
-    kept = near_dedup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("h")).distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.id) & (F.xxhash64(docs.text) == kept.h), "left_semi").select(*COLUMNS)
+    """One document of every group of near-duplicates, the one with the smallest id."""
+    return near_dedup.one_of_each_group(docs, keep=COLUMNS[2:])
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

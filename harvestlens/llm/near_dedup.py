@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestlens.llm import arrays, graph, regions
@@ -245,22 +245,8 @@ def linked_to_groups(wanted: DataFrame, every: DataFrame, bodies: DataFrame, lik
     return rows.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), most: int = 20_000) -> DataFrame:
-    """The group of near-duplicates of every document.
-
-    docs: doc_id, text. Words `[^\\x20\\x09-\\x0D]+` of the text with A-Z lower-cased; the set of a document
-    holds its distinct shingles of `like.shingle` words (fewer words: all as one; none: empty, linked with nothing).
-    Documents are linked when 100 * shared >= percent * union. Returns, per row of docs, doc_id, n_shingles,
-    component_id (smallest doc_id reachable over links, its own included), kept (doc_id = component_id) and text_hash (xxhash64 of the text).
-
-    Documents with equal sets collapse first. Signatures are posted under their rarest (coordinate, value)
-    pairs; lists pair their first node with the others, and once those links have joined their groups, all nodes of
-    different groups, or nodes with large groups as a whole. What agrees in enough coordinates is confirmed on full sets, so links are exact;
-    a link is missed only if its signatures agree in fewer than `like.agree` coordinates.
-
-    Null text counts as empty. Null ids come last; a group of null ids only has a null component_id and
-    counts as kept. Rows that repeat an id are documents of their own. Other columns are ignored.
-    """
+def in_groups(docs: DataFrame, like: Similarity, most: int) -> DataFrame:
+    """doc (null ids as regions.LAST), text_hash, n_shingles and label, the group (null: no shingle), for every row of docs."""
     rows, different = regions.identified(docs)
     sets = write_and_read(described(rows, like), "sets")
     whole = rows is different
@@ -288,7 +274,48 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), most: int
     fourth = linked_to_groups(rest.filter("kind = 2").select("a", "b"), posted, bodies, like, None)
     final = graph.components(first.unionByName(second).unionByName(third).unionByName(fourth))
     grouped = sets.join(classes.select("s1", "s2", "node"), ["s1", "s2"], "left").join(final, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return grouped.select("doc", "text_hash", "n_shingles", "label")
+
+
+def given(c: str) -> Column:
+    """Ids as they came, null for regions.LAST."""
+    return F.when(F.col(c) != regions.LAST, F.col(c))
+
+
+def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), most: int = 20_000) -> DataFrame:
+    """The group of near-duplicates of every document.
+
+    docs: doc_id, text. Words `[^\\x20\\x09-\\x0D]+` of the text with A-Z lower-cased; the set of a document
+    holds its distinct shingles of `like.shingle` words (fewer words: all as one; none: empty, linked with nothing).
+    Documents are linked when 100 * shared >= percent * union. Returns, per row of docs, doc_id, n_shingles,
+    component_id (smallest doc_id reachable over links, its own included), kept (doc_id = component_id) and text_hash (xxhash64 of the text).
+
+    Documents with equal sets collapse first. Signatures are posted under their rarest (coordinate, value)
+    pairs; lists pair their first node with the others, and once those links have joined their groups, all nodes of
+    different groups, or nodes with large groups as a whole. What agrees in enough coordinates is confirmed on full sets, so links are exact;
+    a link is missed only if its signatures agree in fewer than `like.agree` coordinates.
+
+    Null text counts as empty. Null ids come last; a group of null ids only has a null component_id and
+    counts as kept. Rows that repeat an id are documents of their own. Other columns are ignored.
+    """
+    grouped = in_groups(docs, like, most)
     least_id = grouped.filter("label is not null").groupBy("label").agg(F.min("doc").alias("least"))
-    out = grouped.select("doc", "text_hash", "n_shingles", "label").join(least_id, "label", "left").withColumn("component", F.coalesce("least", "doc"))
-    given = lambda c: F.when(F.col(c) != regions.LAST, F.col(c))
+    out = grouped.join(least_id, "label", "left").withColumn("component", F.coalesce("least", "doc"))
     return out.select(given("doc").alias("doc_id"), "n_shingles", given("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept"), "text_hash")
+
+
+def one_of_each_group(docs: DataFrame, keep: list[str] = [], like: Similarity = Similarity(), most: int = 20_000) -> DataFrame:
+    """doc_id, text and the columns `keep` of one row of every group of near-duplicates, and of all rows without a word.
+
+    The document with the smallest id stays; of documents that share it (or whose ids are all null), the one with the smallest
+    text hash; of rows equal in id and text, the first by the columns `keep`. Rows without a word are linked with nothing.
+    """
+    rows = docs.select("doc_id", "text", *keep).withColumns({"doc": F.coalesce("doc_id", F.lit(regions.LAST)), "text_hash": F.xxhash64("text")})
+    worded = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    # Equal rows are cut to one in each task, so an id that many rows share (or lack) meets in no task as a whole.
+    place = F.row_number().over(Window.partitionBy("doc", "text_hash").orderBy(*keep, F.lit(0)))
+    once = rows.filter(worded).withColumn("place", place).filter("place = 1")
+    groups = in_groups(docs, like, most).filter("label is not null").groupBy("label")
+    least = groups.agg(F.min(F.struct("doc", "text_hash")).alias("least")).select("least.*")
+    out = once.join(least, ["doc", "text_hash"], "left_semi").select("doc_id", "text", *keep)
+    return out.unionByName(rows.filter(~worded).select("doc_id", "text", *keep))
