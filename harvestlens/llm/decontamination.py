@@ -115,13 +115,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: Overlap = Overl
     the document's columns `keep`. A run is only seen if it shares a seed with the item: of a 13-word item with 2 words
     substituted, 76 of the 78 patterns do.
 
-    The benchmark is taken in blocks of about `block_bytes` of text, each sent to all tasks; a larger benchmark makes
+    The different items are taken in blocks of about `block_bytes` of text, each sent to all tasks; a larger benchmark makes
     more blocks, and every block meets all documents. Null or empty texts and items shorter than the shortest
     mask hold and give nothing. Null ids and repeated rows are rows of their own; items that share an id are one
     item. Other columns are ignored; an empty table on either side gives an empty table.
     """
     shortest = min(map(len, overlap.masks))
-    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long"), "text")
+    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long"), "text").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = size // block_bytes + 1
     spark, out = docs.sparkSession, None

@@ -179,6 +179,20 @@ def test_documents_with_any_pattern_that_shares_a_seed_are_found(spark, docs_of)
     assert (len(rows), len(truth)) == (92, 90)
 
 
+def test_repeated_items_are_sent_once(spark, docs_of, monkeypatch):
+    sent, index = [], decontamination.seed_index
+    monkeypatch.setattr(decontamination, "seed_index", lambda ids, *rest: sent.append(len(ids)) or index(ids, *rest))
+    texts = [" ".join(f"d{i}x{k}" for k in range(20)) for i in range(20)]
+    rows = [(i, "a b " + t) for i, t in enumerate(texts)]
+    once = [(i, t) for i, t in enumerate(texts)]
+    found = []
+    for items in (once, once + [(0, texts[0])] * 200):
+        benchmark = spark.createDataFrame(items, "item_id long, text string")
+        found.append(sorted(decontamination.contaminated(docs_of(rows), benchmark, block_bytes=1 << 14).collect()))
+    assert sent == [20, 20] and found[0] == found[1]
+    assert [(r.doc_id, r.item_id, r.n_words) for r in found[0]] == [(i, i, 20) for i in range(20)]
+
+
 def test_token_counts(docs_of, odd_rows):
     import sentencepiece
     from tokenizers import Tokenizer, models
