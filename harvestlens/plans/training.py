@@ -60,7 +60,7 @@ def save_models(fitted: DataFrame, path: str) -> None:
     fitted.write.mode("overwrite").parquet(path)
 
 
-def train_boosted(store: StarStore, trees: int = 30) -> PipelineModel:
+def train_boosted(store: StarStore, trees: int = 1000) -> PipelineModel:
     """Fit the boosted model on all usable series of the stored fact and store it, replacing an earlier one."""
     training = train_series(features.fact_series(store.star()))
     model = models.fit_boosted(training.train, trees=trees)

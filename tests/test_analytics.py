@@ -1,4 +1,5 @@
 import datetime
+import random
 import statistics
 from decimal import Decimal
 
@@ -395,3 +396,14 @@ def test_boosted_model_is_stored_and_forecasts(spark, tmp_path):
     scored = evaluation.evaluate(models.predict_boosted(split.test, loaded), KEYS)
     naive = {tuple(r)[:2]: r.rmse for r in evaluation.baseline_eval(series, KEYS).select(*KEYS, "rmse").collect()}
     assert all(r.rmse <= naive[r.market_id, r.commodity_id] + 5 for r in scored.collect())
+
+
+def test_validation_and_not_the_default_number_of_trees_ends_a_fit(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(4000):
+        x = [rnd.random() for _ in range(5)]
+        rows.append((i % 20, datetime.date(2020, 1, 1) + datetime.timedelta(i // 20), *x, 1.0, i % 7, i % 12 + 1, sum(x)))
+    columns = "k int, arrival_date date, lag_1 double, lag_7 double, lag_14 double, roll_mean_7 double, roll_std_7 double"
+    train = spark.createDataFrame(rows, f"{columns}, roll_mean_14 double, weekday_num int, month int, modal_price double")
+    assert 30 < models.fit_boosted(train, ["k"]).stages[-1].getNumTrees < 1000
