@@ -5,12 +5,17 @@ every window the `gram`-symbol runs with the smallest hash are anchors, so equal
 anchor at the same place. Around each anchor lies a region: all windows that hold it. Regions are
 grouped by their anchor; equal regions of a group collapse to the earliest one, groups of a single
 region need no index, and what is left goes, group by group, to the caller's index, which finds
-equal windows. Anchors choose what meets where; they never decide that two windows are equal.
+equal windows.
+
+Two things decide that windows are equal. Regions whose 64-bit hash and whose anchor's 64-bit hash are
+equal count as equal: all but the earliest are repeats, and no index looks at them. That holds for exact copies of
+documents and, within a task, before any shuffle. Windows of regions that differ are compared by the index.
 
 A group of more than `most` different regions (a passage that a large part of the documents
 shares, each time between other words) is split by halves of the window starts: all windows of a
 half have a longer run in common, which takes the anchor's place. At the last split it is the
-window itself, so the number of rounds is bounded by log2(length).
+window itself, so the number of rounds is bounded by log2(length). Equal parts of a split are told by
+two 64-bit hashes too; where a split goes down to the window, hashes alone decide for that window.
 """
 
 from __future__ import annotations

@@ -121,7 +121,8 @@ def remove_repeated_passages(docs: DataFrame, length: int = 20, gram: int = 8, m
     Null or empty text: no words, kept ''. Null ids come last of all and stay null. Rows that share id and
     text are one document and get the same result; rows of one id with different texts are compared
     by their places. Other columns are ignored. An empty table gives an empty table. Equal words are
-    told by a 64-bit hash. `most`: different regions around one anchor that one index may hold; larger
+    told by a 64-bit hash, and so are equal surroundings of an anchor (exact copies, passages that very many documents
+    share); the index decides on the others (see `regions`). `most`: different regions around one anchor that one index may hold; larger
     groups are split (see `regions`).
     """
 

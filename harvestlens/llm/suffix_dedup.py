@@ -115,7 +115,8 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, gram: int = 40, mo
 
     Null text counts as empty. Null ids come last of all and stay null. Rows that share id and text are
     one document and get the same result. Other columns are ignored; an empty table gives an empty one.
-    `most`: different regions around one anchor that are merged at once; larger groups are split
+    Equal surroundings of an anchor (exact copies, passages that very many documents share) are told by two 64-bit hashes,
+    the merged transforms decide on the others (see `regions`). `most`: different regions around one anchor that are merged at once; larger groups are split
     (see `regions`).
     """
 
