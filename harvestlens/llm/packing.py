@@ -152,6 +152,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, limits: Limits = Li
     doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, n_loss. Pieces fill a sequence as far as the document lasts;
     the last pieces are packed under all limits, in blocks of about `block_documents` documents.
 
+    All tokens but the end id bear loss, so `limits.loss` is idle unless it is below `limits.tokens`.
     Null or empty text: one piece, the end id. Null ids and repeated rows are documents of their own. Other columns are
     ignored; an empty table gives an empty table. A document lies in one block, however long it is.
     """
