@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,6 +85,42 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(sums + sizes.astype(np.uint64))
 
 
+def _crc_table() -> np.ndarray:
+    """The table of the reflected CRC-32 polynomial, by its rule."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+CRC_TABLE = _crc_table()
+
+
+def crc32(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: np.ndarray | int = 0, long: int = 64) -> np.ndarray:
+    """The unsigned CRC-32 of each byte range, carried on from the CRC `before` it; ranges over `long` bytes one by one."""
+    out = np.broadcast_to(np.asarray(before, np.uint32), starts.shape).copy()
+    sizes = ends - starts
+    order = np.argsort(-np.minimum(sizes, long + 1).astype(np.int16), kind="stable")
+    n_long = int((sizes > long).sum())
+    for i in order[:n_long].tolist():
+        out[i] = zlib.crc32(data[starts[i] : ends[i]].tobytes(), int(out[i]))
+    order = order[n_long:]
+    at, sizes, state = starts[order], sizes[order], ~out[order]
+    live = len(order) - np.searchsorted(sizes[::-1], np.arange(int(sizes.max(initial=0))), "right")
+    for j, n in enumerate(live.tolist()):
+        state[:n] = CRC_TABLE[(state[:n] ^ data[at[:n] + j]) & np.uint32(255)] ^ (state[:n] >> np.uint32(8))
+    out[order] = ~state
+    return out
+
+
+def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The byte ranges, in order and without overlaps, as an Arrow text column."""
+    sizes = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    at = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at])))
+
+
 def rolling(symbols: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit hash of every run of `length` symbols, built from runs of powers of two."""
     part, size, power = mix(symbols.astype(np.uint64) + np.uint64(1)), 1, STEP

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from harvestlens.llm import (
-    decontamination, fingerprints, language_id, license_scan, line_dedup, near_dedup, packing, substring_dedup,
-    suffix_dedup, token_counts,
+    decontamination, fingerprints, keyed_ids, language_id, license_scan, line_dedup, near_dedup, packing, resampling, spelling,
+    substring_dedup, suffix_dedup, token_counts,
 )
 
 
@@ -70,14 +70,42 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), near_dedup.Similarity(shingle=2)).drop("text_hash")
 
 
+def op11_keyed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = keyed_ids.write_and_read_ids(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_substring_dedup, op3_packing, op4_suffix_dedup, op5_license_scan, op6_decontamination,
-        op7_line_dedup, op8_token_counts, op9_fingerprints, op10_near_dedup,
+        op7_line_dedup, op8_token_counts, op9_fingerprints, op10_near_dedup, op11_keyed_ids, op12_spelling_variants,
+        op13_resampling,
     )
 } | {"pipeline": corpus_pipeline.run}
 
+#: CTEs: `crc_table` has the CRC-32 table `t` as a list, by its rule; `_crc32(s)` is an expression over it.
+CRC_TABLE = """
+    crc_table AS (
+      SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+      FROM range(256) AS r(i)
+    )
+"""
+
+
+def _crc32(s: str) -> str:
+    codes = f"list_transform(range(octet_length(encode({s}))), lambda i: ('0x' || substr(hex(encode({s})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
 SQL = {
     "op2_substring_dedup": r"""
         WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w FROM documents),
@@ -151,6 +179,61 @@ SQL = {
         SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
     """,
+    "op12_spelling_variants": rf"""
+        WITH RECURSIVE {CRC_TABLE},
+        each AS (
+          SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+          FROM documents
+        ),
+        runs AS (SELECT doc_id, run, count(*) AS n FROM each WHERE length(run) >= 7 GROUP BY doc_id, run),
+        hashed AS (SELECT run, n, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM runs, crc_table),
+        noised AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+        words AS (SELECT word, sum(n)::BIGINT AS n FROM noised WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words),
+        cut AS (SELECT word, n, p, substr(word, 1, p - 1) AS before, substr(word, p + 1) AS after FROM places),
+        less AS (SELECT DISTINCT cut.word, cut.n, other.word AS other, other.n AS other_n FROM cut JOIN words other ON other.word = cut.before || cut.after),
+        near AS (
+          SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (p, before, after) WHERE a.word <> b.word
+          UNION ALL SELECT word, other, other_n FROM less UNION ALL SELECT other, word, n FROM less
+        ),
+        best AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n FROM near GROUP BY word),
+        linked AS (
+          SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+          FROM words LEFT JOIN best USING (word)
+        ),
+        chain(word, last) AS (
+          SELECT word, word FROM linked UNION ALL SELECT chain.word, linked.form FROM chain JOIN linked ON linked.word = chain.last WHERE linked.form IS NOT NULL
+        ),
+        ends AS (SELECT chain.word, last AS root FROM chain JOIN linked ON linked.word = chain.last WHERE linked.form IS NULL)
+        SELECT word, form, root, n, n_near, form_n FROM linked JOIN ends USING (word)
+    """,
+    "op13_resampling": rf"""
+        WITH {CRC_TABLE},
+        texts AS (SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+        each AS (
+          SELECT side, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+          FROM texts
+        ),
+        buckets AS (SELECT word, {_crc32("word")} % 10000 AS bucket FROM (SELECT DISTINCT word FROM each), crc_table),
+        counts AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM each JOIN buckets USING (word) GROUP BY bucket),
+        totals AS (SELECT sum(s)::BIGINT AS total_s, sum(t)::BIGINT AS total_t FROM counts),
+        gains AS (
+          SELECT bucket, floor(1000.0::DOUBLE * ln(((t + 1) * (total_s + 10000)::DOUBLE) / ((s + 1) * (total_t + 10000)::DOUBLE)))::BIGINT AS gain FROM counts, totals
+        ),
+        weights AS (
+          SELECT doc_id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+          FROM each JOIN buckets USING (word) JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc_id
+        ),
+        scored AS (
+          SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000.0::DOUBLE
+            * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+          FROM documents LEFT JOIN weights USING (doc_id)
+        ),
+        ranked AS (
+          SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+    """,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered_once():
     names = list(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
 
