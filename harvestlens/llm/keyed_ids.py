@@ -187,63 +187,81 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: A part of a text on its own between two others, so that many parts are encoded in one call.
+BETWEEN = "\x01"
+
+
 class WordIds:
     """Ids of texts, by a tokenizer that cuts at ASCII white space and drops it.
 
     Such a tokenizer gives a text the ids of its parts between white space one after another, so each different part is
-    encoded once, and kept until `most` parts are known.
+    encoded once, many in one call with a mark between them, and kept until `most` parts are known. A stop after an ASCII
+    letter begins a part as well, and parts of ASCII alone are lower-cased first: the tokenizer does both.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
-        self.encoder, self.most, self.known = tokenizer(path), most, {}
+    def __init__(self, path: str, most: int = 1 << 20, together: int = 100):
+        self.encoder, self.most, self.together = tokenizer(path), most, together
+        self.mark = self.encode([BETWEEN])[0]
+        if len(self.mark) != 1:
+            raise ValueError("the mark between parts is not one id")
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.flat, self.ends = {}, [], [np.zeros(1, np.int64)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[str]) -> None:
+        """Encode new parts; their ids follow those of the known ones."""
+        plain = [w for w in words if BETWEEN not in w]
+        odd = [w for w in words if BETWEEN in w]
+        joint = [f" {BETWEEN} ".join([*plain[i : i + self.together], ""]) for i in range(0, len(plain), self.together)]
+        ids = np.concatenate([*self.encode(joint), np.zeros(0, np.uint32)])
+        marks = np.flatnonzero(ids == self.mark[0])
+        if len(marks) == len(plain):
+            sizes, ids = np.diff(marks, prepend=-1) - 1, np.delete(ids, marks)
+        else:  # the mark's id stands for something else as well
+            plain, odd, sizes, ids = [], words, np.zeros(0, np.int64), ids[:0]
+        each = self.encode(odd)
+        for w in (*plain, *odd):
+            self.known[w] = len(self.known)
+        self.flat.extend([ids, *each])
+        self.ends.append(self.ends[-1][-1] + np.cumsum([*sizes, *map(len, each)], dtype=np.int64))
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows one after another, and how many each row has."""
-        parts = pc.ascii_split_whitespace(column.cast(pa.large_string()).fill_null(""))
+        apart = pc.replace_substring_regex(column.cast(pa.large_string()).fill_null(""), "([A-Za-z])([,.;:!?])", r"\1 \2")
+        parts = pc.ascii_split_whitespace(apart)
         words = parts.flatten().dictionary_encode()
-        names = words.dictionary.to_pylist()
-        new = [w for w in names if w not in self.known]
-        if len(self.known) + len(new) > self.most:
-            self.known, new = {}, names
-        for w, e in zip(new, self.encoder.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, np.uint32)
-        ids = [self.known[w] for w in names]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        flat, begin = np.concatenate([*ids, np.zeros(0, np.uint32)]), np.cumsum(sizes) - sizes
-        number = words.indices.to_numpy()
-        own = sizes[number]
+        names = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        names = [w.lower() if w.isascii() and "<|" not in w else w for w in names]  # special tokens are found before
+        if len(self.known) > self.most:
+            self.forget()
+        self.learn(list({w for w in names if w not in self.known}))
+        self.flat, self.ends = [np.concatenate(self.flat)], [np.concatenate(self.ends)]
+        number = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[words.indices.to_numpy()]
+        begin, own = self.ends[0][number], self.ends[0][number + 1] - self.ends[0][number]
         total = np.concatenate([[0], np.cumsum(own)])
-        at = np.arange(total[-1]) + np.repeat(begin[number] - total[:-1], own)
+        at = np.arange(total[-1]) + np.repeat(begin - total[:-1], own)
         cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))]).astype(np.int64)
-        return flat[at].astype(np.uint32), np.diff(total[cuts])
-
+        return self.flat[0][at], np.diff(total[cuts])
 
-def encoded(docs: DataFrame, path: str, end_id: int, width: int) -> DataFrame:
-    """doc_id, tie (a hash of the text), n (with the end id), ids as bytes of `width` each."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(path)
-        for batch in batches:
-            for chunk in arrays.chunks(batch, "text"):
-                ids, n = encode(chunk.column("text"))
-                stops = np.cumsum(n)
-                ids = np.insert(ids, stops, end_id).astype(f"<u{width}")
-                offsets = np.concatenate([[0], stops + np.arange(1, len(n) + 1)]) * width
-                payload = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), chunk.column("tie"), pa.array(n + 1), payload.cast(pa.binary())], ["doc_id", "tie", "n", "ids"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
-    return rows.mapInArrow(run, "doc_id long, tie long, n long, ids binary")
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One for a worker, so that its tasks share what is known."""
+    return WordIds(path)
 
 
-def write_ids(docs: DataFrame, root: str, path: str | None = None, end_id: int = 1, shard_ids: int = 1 << 25, part_keys: int = 1 << 20) -> Store:
+def write_ids(docs: DataFrame, root: str, path: str | None = None, end_id: int = 1, shard_bytes: int = 1 << 26, part_keys: int = 1 << 20) -> Store:
     """Write the token ids of all documents below `root`, in ascending doc_id order, and an index over their keys.
 
     docs: doc_id, text. path: a tokenizer file whose tokenizer cuts at white space and drops it (the 49k vocabulary where
     None). Every document gets its ids and `end_id`; a null or empty text has the end id alone. A key is a doc_id and a
     copy: the rows of one id are its copies 0, 1, 2..., ordered by a hash of their texts, equal rows by their place; null is an id like
-    others and comes last. Shards hold about `shard_ids` ids each, in ranges of (id, hash, place), so rows of one id may lie in
-    several. Index parts hold `part_keys` keys at most on average, and there are as many as shuffle partitions at least. Other
+    others and comes last. Shards hold the ids of about `shard_bytes` of text each, in ranges of (id, hash, place), so rows of one
+    id may lie in several; a shard's task encodes its texts and writes their ids, and no table of ids passes between tasks. Index parts hold `part_keys` keys at most on average, and there are as many as shuffle partitions at least. Other
     columns are ignored; an empty table gives a store without keys.
     """
     if path is None:
@@ -254,29 +272,25 @@ def write_ids(docs: DataFrame, root: str, path: str | None = None, end_id: int =
     width = 2 if max(tokenizer(path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
 
     def write_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, file, shard, at, last, copy, first = None, None, -1, 0, None, 0, None
+        encode, name, file, shard, at, last, copy, first = word_ids(path), None, None, -1, 0, None, 0, None
         try:
             for batch in batches:
-                ids, own = batch.column("doc_id").to_pylist(), batch.column("n").to_numpy()
-                if file is None:
-                    shard, first = batch.column("shard")[0].as_py(), ids[0]
-                    last = (first,)
-                    name, file = new_file(root, "ids", shard)
-                copies = []
-                for i in ids:
-                    last, copy = ((i,), 0) if (i,) != last else (last, copy)
-                    copies.append(copy)
-                    copy += 1
-                starts = at + np.cumsum(own) - own
-                at += int(own.sum())
-                for payload in batch.column("ids"):
-                    file.write(payload.as_buffer())
-                known = pa.array([i is not None for i in ids])
-                opens = pa.array([i == first for i in ids])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([shard] * len(ids), pa.int64()), pa.array([name] * len(ids)), known, batch.column("doc_id").fill_null(0),
-                    pa.array(copies, pa.int64()), opens, pa.array(starts), batch.column("n"),
-                ], ["shard", "file", "known", "id", "copy", "opens", "at", "n"])
+                for chunk in arrays.chunks(batch, "text", 1 << 24):
+                    own = chunk.column("doc_id").to_pylist()
+                    if file is None:
+                        shard, first = chunk.column("shard")[0].as_py(), own[0]
+                        name, file = new_file(root, "ids", shard)
+                    ids, n = encode(chunk.column("text"))
+                    file.write(np.insert(ids, np.cumsum(n), end_id).astype(f"<u{width}").tobytes())
+                    n, copies = n + 1, []
+                    for i in own:
+                        last, copy = ((i,), 0) if (i,) != last else (last, copy + 1)
+                        copies.append(copy)
+                    starts, at = at + np.cumsum(n) - n, at + int(n.sum())
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([shard] * len(own), pa.int64()), pa.array([name] * len(own)), chunk.column("doc_id").is_valid(),
+                        chunk.column("doc_id").fill_null(0), pa.array(copies, pa.int64()), pa.array([i == first for i in own]), pa.array(starts), pa.array(n),
+                    ], ["shard", "file", "known", "id", "copy", "opens", "at", "n"])
         finally:
             if file is not None:
                 file.close()
@@ -290,12 +304,11 @@ def write_ids(docs: DataFrame, root: str, path: str | None = None, end_id: int =
         return pa.table({"part": [part], "file": [write_index(root, part, keys, rows)], "keys": [table.num_rows]})
 
     with passing_tables(spark, "ids") as keep:
-        # the place of a row is read from a written table, so it stays the same when a task runs again
-        payload = keep(encoded(docs, path, end_id, width), "encoded").withColumn("row", F.monotonically_increasing_id())
-        n_ids, n_docs = payload.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+        size, n_docs = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+        rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"))
         order = [F.col("doc_id").asc_nulls_last(), "tie", "row"]
-        dealt = payload.repartitionByRange(int(n_ids // shard_ids) + 1, *order).sortWithinPartitions(*order)
-        entries = keep(dealt.select("doc_id", "n", "ids", F.spark_partition_id().alias("shard")).mapInArrow(
+        dealt = rows.repartitionByRange(size // shard_bytes + 1, *order).sortWithinPartitions(*order)
+        entries = keep(dealt.select("doc_id", "text", F.spark_partition_id().alias("shard")).mapInArrow(
             write_shards, "shard long, file string, known boolean, id long, copy long, opens boolean, at long, n long"
         ), "entries")
 

@@ -98,11 +98,13 @@ BASE = int(arrays.STEP)
 POWER_BACK = pow(BASE, -1, 1 << 64)
 
 
-def reduced_keys(words: list[str], symbols: int, edits: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Word numbers and 64-bit keys of reduced words; with `edits` also of all reduced words one edit away, each once a word.
+def reduced_keys(words: list[str], symbols: int, edits: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Word numbers, 64-bit keys and whether a key is that of the reduced word itself; with `edits` also the keys of its edits.
 
-    A key is a polynomial of the symbols, so the key of an edited word follows from those of its parts: a word costs as many
-    steps as it has edits. Equal reduced words have equal keys.
+    The one-edit neighbourhood of reduced words is symmetric, so each pair of neighbours is generated from one side only: the
+    longer word drops each letter, and of two equally long words the one with the smaller symbol replaces it by each
+    larger one. A key is a polynomial of the symbols, so the key of an edited word follows from those of its parts: a word
+    costs as many steps as it has edits. Equal reduced words have equal keys; a word's keys are given once each.
     """
     sizes = np.array([len(w) for w in words], np.int64)
     for size in np.unique(sizes).tolist():
@@ -113,43 +115,47 @@ def reduced_keys(words: list[str], symbols: int, edits: bool) -> Iterator[tuple[
         prefix = np.concatenate([np.zeros((len(number), 1), np.uint64), np.cumsum(value * power[:size], axis=1, dtype=np.uint64)], axis=1)
         whole = prefix[:, -1:]
         key = lambda polynomial, length: arrays.mix(polynomial + np.uint64(length * BASE % (1 << 64)))
-        if not edits:
-            yield number, key(whole, size)[:, 0]
-            continue
-        found = [key(prefix[:, :-1] + (whole - prefix[:, 1:]) * np.uint64(POWER_BACK), size - 1)]
-        for symbol in range(1, symbols + 1):
-            found.append(key(whole + (np.uint64(symbol) - value) * power[:size], size))
-            found.append(key(prefix + np.uint64(symbol) * power + (whole - prefix) * np.uint64(BASE), size + 1))
-        every = np.sort(np.concatenate(found, axis=1), axis=1)
-        new = np.concatenate([np.ones((len(number), 1), bool), every[:, 1:] != every[:, :-1]], axis=1)
-        yield np.broadcast_to(number[:, None], every.shape)[new], every[new]
+        yield number, key(whole, size)[:, 0], np.ones(len(number), bool)
+        if edits and size > 1:
+            dropped = key(prefix[:, :-1] + (whole - prefix[:, 1:]) * np.uint64(POWER_BACK), size - 1)
+            new = np.ones(dropped.shape, bool)
+            new[:, 1:] = value[:, 1:] != value[:, :-1]  # of equal neighbours either drop gives the same
+            yield np.broadcast_to(number[:, None], new.shape)[new], dropped[new], np.zeros(int(new.sum()), bool)
+        for symbol in range(2, symbols + 1) if edits else ():
+            new = value < symbol
+            replaced = key(whole + (np.uint64(symbol) - value) * power[:size], size)
+            yield np.broadcast_to(number[:, None], new.shape)[new], replaced[new], np.zeros(int(new.sum()), bool)
 
 
 def with_keys(words: DataFrame, symbols: int, edits: bool) -> DataFrame:
-    """(word, n) with the keys of the reduced word, or of its whole one-edit neighbourhood."""
+    """(word, n) with the keys of the reduced word, or of its one-edit neighbourhood, and whether a key is its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(0, batch.num_rows, 2000):
-                part = batch.slice(row, 2000)
-                for number, keys in reduced_keys(part.column("word").to_pylist(), symbols, edits):
-                    own = pa.array(number)
-                    yield pa.RecordBatch.from_arrays([part.column("word").take(own), part.column("n").take(own), pa.array(keys.view(np.int64))], ["word", "n", "key"])
+            for row in range(0, batch.num_rows, 5000):
+                part = batch.slice(row, 5000)
+                for number, keys, own in reduced_keys(part.column("word").to_pylist(), symbols, edits):
+                    at = pa.array(number)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("word").take(at), part.column("n").take(at), pa.array(keys.view(np.int64)), pa.array(own)], ["word", "n", "key", "own"]
+                    )
 
-    return words.mapInArrow(run, "word string, n long, key long")
+    return words.mapInArrow(run, "word string, n long, key long, own boolean")
 
 
 def near_words(words: DataFrame, symbols: int) -> DataFrame:
     """word, other, other_n: all pairs of words of (word, n) that differ by one letter, each in both directions.
 
-    Every word's reduced form generates its whole neighbourhood; that meets the reduced forms of all words in an
-    equi-join, and what shares a key is verified on the words themselves. Since a replaced letter may have the symbol
-    of the one it replaces, the reduced form itself is in the neighbourhood (a replacement by its own symbol).
+    The neighbourhoods of reduced words meet the reduced forms of all words in an equi-join, and what shares a key is
+    verified on the words themselves. A replaced letter may have the symbol of the one it replaces, so words with
+    the same reduced form are neighbours too.
     """
-    asked = with_keys(words, symbols, True).select("word", "key")
+    asked = with_keys(words, symbols, True)
     there = with_keys(words, symbols, False).select(F.col("word").alias("other"), F.col("n").alias("other_n"), "key")
     # Spark takes the neighbourhoods for no larger than the words, so it would broadcast them
-    return asked.join(there.hint("merge"), "key").filter(F.levenshtein("word", "other", 1) == 1).select("word", "other", "other_n")
+    joined = asked.join(there.hint("merge"), "key").filter((~F.col("own") | (F.col("word") < F.col("other"))) & (F.levenshtein("word", "other", 1) == 1))
+    pair = lambda a, b, n: F.struct(F.col(a).alias("word"), F.col(b).alias("other"), F.col(n).alias("other_n"))
+    return joined.select(F.inline(F.array(pair("word", "other", "other_n"), pair("other", "word", "n"))))
 
 
 def roots(forms: DataFrame, keep) -> DataFrame:

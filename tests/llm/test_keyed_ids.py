@@ -28,7 +28,7 @@ def ids_of(whole, text):
 
 def texts(n, seed=5):
     rnd = random.Random(seed)
-    kinds = ["plain", "Über", "naïve", "don't", "we'll", "x\x1cy", "a b", "a b", "é", "́", "日本語", "12.5", "<|endoftext|>", "a<|startoftext|>b", "\x85", "\x0b", "İ", "ẞ", "'S", "‍", "ﬁ"]
+    kinds = ["plain", "A.'s", "b,c", "B!'T", "x;\u0301", "Q.—", "<|ENDOFTEXT|>", "z?<|endoftext|>", "J\u030c", "I\u0307", "Über", "naïve", "don't", "we'll", "x\x1cy", "a b", "a b", "é", "́", "日本語", "12.5", "<|endoftext|>", "a<|startoftext|>b", "\x85", "\x0b", "İ", "ẞ", "'S", "‍", "ﬁ"]
     return ["".join(rnd.choice(kinds) + rnd.choice([" ", "\n", "  ", "\t", "", "\r\n", "\x0c"]) for _ in range(rnd.randrange(40))) for _ in range(n)]
 
 
@@ -67,9 +67,9 @@ def test_files_hold_every_document_in_order(spark, docs_of, odd_rows, whole, tmp
     rows += [(None, f"null {i}") for i in range(40)] + [(None, "same")] * 20 + [(77, "copy")] * 25 + [(77, "another copy")]
     docs = docs_of(rows).repartition(5)
     found = {}
-    for shard_ids in (1 << 25, 500):
-        root = str(tmp_path / f"of{shard_ids}")
-        store = keyed_ids.write_ids(docs, root, shard_ids=shard_ids, part_keys=16)
+    for shard_bytes in (1 << 25, 3000):
+        root = str(tmp_path / f"of{shard_bytes}")
+        store = keyed_ids.write_ids(docs, root, shard_bytes=shard_bytes, part_keys=16)
         out = keyed_ids.read_ids(spark, store, store.table(spark, "keys"), piece_ids=300).collect()
         out.sort(key=lambda r: r.start)
         starts = np.cumsum([0, *(r.n_tokens for r in out)])
@@ -80,11 +80,11 @@ def test_files_hold_every_document_in_order(spark, docs_of, odd_rows, whole, tmp
         for i in (None, 77):
             assert [r.copy for r in out if r.doc_id == i] == list(range(sum(r[0] == i for r in rows)))
         n_shards = store.table(spark, "shards").count()
-        assert (n_shards == 1) == (shard_ids > 500)
+        assert (n_shards == 1) == (shard_bytes > 3000)
         size = sum(p.stat().st_size for p in Path(root, "ids").iterdir())
         assert store.width == 2 and size == 2 * starts[-1]
-        found[shard_ids] = [(r.doc_id, r.start, r.ids) for r in out]
-    assert found[500] == found[1 << 25]
+        found[shard_bytes] = [(r.doc_id, r.start, r.ids) for r in out]
+    assert found[3000] == found[1 << 25]
 
 
 def test_lookup_by_key(spark, docs_of, tmp_path):

@@ -82,21 +82,22 @@ def test_chains_of_forms(docs_of):
 
 
 def test_neighbourhood_keys():
-    """The keys of a word's edits are those of all reduced words one edit away and of itself."""
+    """Two words share a key from one side or the other exactly if their reduced words are equal or one edit apart."""
     rnd, symbols = random.Random(4), 3
-    words = ["".join(rnd.choice(spelling.LETTERS[26:]) for _ in range(n)) for n in (7, 7, 8, 9, 12)]
-    key = lambda w: next(iter(spelling.reduced_keys([w], symbols, False)))[1][0]
-    of_symbol = {spelling.LETTER_HASH[ord(c)] % symbols: c for c in spelling.LETTERS}
-    for number, keys in spelling.reduced_keys(words, symbols, True):
-        for i in set(number.tolist()):
-            w, near = words[i], {words[i]}
-            for at in range(len(w) + 1):
-                near |= {w[:at] + w[at + 1 :]} if at < len(w) else set()
-                for c in of_symbol.values():
-                    near |= {w[:at] + c + w[at + 1 :]} if at < len(w) else set()
-                    near.add(w[:at] + c + w[at:])
-            own = keys[number == i]
-            assert len(own) == len(set(own.tolist())) and set(own.tolist()) == {key(x) for x in near}
+    words = ["".join(rnd.choice(spelling.LETTERS[26:40]) for _ in range(rnd.randrange(1, 6))) for _ in range(120)]
+    short = ["".join(str(spelling.LETTER_HASH[ord(c)] % symbols) for c in w) for w in words]
+    own, asked = {}, {}
+    for edits, found in ((False, own), (True, asked)):
+        for number, keys, is_own in spelling.reduced_keys(words, symbols, edits):
+            for i, key, same in zip(number.tolist(), keys.tolist(), is_own.tolist(), strict=True):
+                found.setdefault(i, []).append(key)
+                assert same == (key == own[i][0])
+    for i, a in enumerate(short):
+        assert len(own[i]) == 1 and len(asked[i]) == len(set(asked[i]))
+        for j, b in enumerate(short):
+            near = a == b or one_edit(a, b)
+            met = (own[j][0] in asked[i]) + (own[i][0] in asked[j])
+            assert met == (2 if a == b else int(near))
 
 
 def test_hashes_of_ranges():
