@@ -199,7 +199,7 @@ class WordIds:
     letter begins a part as well, and parts of ASCII alone are lower-cased first: the tokenizer does both.
     """
 
-    def __init__(self, path: str, most: int = 1 << 20, together: int = 100):
+    def __init__(self, path: str, most: int = 1 << 19, together: int = 100):
         self.encoder, self.most, self.together = tokenizer(path), most, together
         self.mark = self.encode([BETWEEN])[0]
         if len(self.mark) != 1:
@@ -275,7 +275,7 @@ def write_ids(docs: DataFrame, root: str, path: str | None = None, end_id: int =
         encode, name, file, shard, at, last, copy, first = word_ids(path), None, None, -1, 0, None, 0, None
         try:
             for batch in batches:
-                for chunk in arrays.chunks(batch, "text", 1 << 24):
+                for chunk in arrays.chunks(batch, "text", 1 << 23):
                     own = chunk.column("doc_id").to_pylist()
                     if file is None:
                         shard, first = chunk.column("shard")[0].as_py(), own[0]
