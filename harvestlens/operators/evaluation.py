@@ -4,15 +4,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestlens.constants import METRIC_LIMITS
-from harvestlens.functions.numeric import clamp
+from harvestlens.functions.numeric import clamp, exact_avg
 from harvestlens.operators.features import KEYS, add_features, time_split
 from harvestlens.schemas import MODEL_EVALUATION
 
 
 def mape(actual: Column, predicted: Column) -> Column:
-    """Mean absolute percentage error over rows with a price; 0 if there are none."""
+    """Mean absolute percentage error over rows with a price; 0 if there are none. Each row's share counts in billionths, so the sum is exact."""
     share = F.abs(F.try_divide((actual - predicted).cast("double"), actual.cast("double")))
-    return F.coalesce(F.avg(share) * 100, F.lit(0.0))
+    return F.coalesce(exact_avg(share.cast("decimal(28,9)")) * 100, F.lit(0.0))
 
 
 def rmse(actual: Column, predicted: Column) -> Column:

@@ -2,17 +2,15 @@
 
 Two models stand in for one boosted-tree library run per series:
 
-* ridge regression per series. Spark sums the moments (one partially aggregated row per
-  series, whatever its length); a task then solves one small system per row.
+* ridge regression per series. Spark sums exact moments (one partially aggregated row per
+  series, whatever its length) and solves each row's 8 x 8 system in an unrolled elimination.
 * one gradient-boosted tree model pooled over all series, by MLlib.
 
 Both learn from causal features, the ones a forecast has.
 """
 
-from collections.abc import Iterator
+from decimal import Decimal
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -27,90 +25,102 @@ from harvestlens.operators.forecast import Scorer
 
 LABEL = "modal_price"
 RIDGE = 1.5
+#: What makes features and label whole numbers: sums of 7 and 14 cent amounts, a millionth of the deviation.
+UNITS = {
+    "lag_1": 100, "lag_7": 100, "lag_14": 100, "roll_mean_7": 700, "roll_mean_14": 1400, "roll_std_7": 1_000_000,
+    "weekday_num": 1, "month": 1, LABEL: 100,
+}
 
 
 # -- ridge regression per series ----------------------------------------------------------
 
 
+def _pairs(size: int) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(size) for j in range(i, size)]
+
+
 def moments(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Count, sums and cross products of features and label per series.
+    """keys, n, complete (rows without NULL), sums s0.. and cross products p0_0.. of features and label (the last) per series.
 
-    All are plain sums, so each task combines its rows before the shuffle.
+    Features and label are whole numbers: cents, and for means and the deviation a unit that keeps their digits. So
+    all sums are exact, each task combines its rows before the shuffle, and no order of rows changes a digit. A value beyond 18 or a sum beyond 38
+    digits is NULL.
     """
-    variables = [F.col(c).cast("double") for c in [*FEATURES, LABEL]]
-    size = len(variables)
-    sums = [F.sum(x).alias(f"s{i}") for i, x in enumerate(variables)]
-    products = [
-        F.sum(variables[i] * variables[j]).alias(f"p{i}_{j}") for i in range(size) for j in range(i, size)
-    ]
-    summed = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums, *products)
-    return summed.select(
-        *keys,
-        "n",
-        F.array(*[f"s{i}" for i in range(size)]).alias("sums"),
-        F.array(*[f"p{i}_{j}" for i in range(size) for j in range(i, size)]).alias("products"),
-    )
+    names = [*FEATURES, LABEL]
+    whole = [f"TRY_CAST(floor(CAST({c} AS DOUBLE) * {UNITS[c]} + 0.5D) AS DECIMAL(18,0)) AS v{i}" for i, c in enumerate(names)]
+    numbered = rows.selectExpr(*[f"`{k}`" for k in keys], *whole)
+    present = " AND ".join(f"v{i} IS NOT NULL" for i in range(len(names)))
+    sums = ["count(1) AS n", f"count_if({present}) AS complete", *(f"try_sum(v{i}) AS s{i}" for i in range(len(names)))]
+    sums += [f"try_sum(v{i} * v{j}) AS p{i}_{j}" for i, j in _pairs(len(names))]
+    return numbered.groupBy(*keys).agg(*map(F.expr, sums))
 
 
-def _ridge_solver(features: int, penalty: float):
-    """A mapInPandas function from moment rows to models: ridge on standardised features.
+def standardised_system(stats: DataFrame, keys: list[str], penalty: float) -> DataFrame:
+    """The ridge system of each series: symmetric a{i}_{j} (i <= j) and right side b{i}, beside means m{i} and spreads t{i}.
 
-    It refers to numpy and pandas alone, so executors need no copy of this package.
+    Features are standardised over the training rows, so a{i}_{j} is their correlation, plus penalty / n on the diagonal. A
+    feature that never changes has no correlation with any other. n^2 times a covariance (c{i}_{j}) is exact before it
+    becomes a double, and t{i} is n times the standard deviation.
     """
+    size, own = len(FEATURES), [*[f"`{k}`" for k in keys], "n", "complete"]
+    product = lambda x, y: f"try_multiply({x}, {y})"
+    centred = [
+        f"CAST(try_subtract({product('CAST(n AS DECIMAL(10,0))', f'p{i}_{j}')}, {product(f's{i}', f's{j}')}) AS DOUBLE) AS c{i}_{j}"
+        for i, j in _pairs(size + 1)
+    ]
+    means = [f"CAST(s{i} AS DOUBLE) / n / {UNITS[c]} AS m{i}" for i, c in enumerate([*FEATURES, LABEL])]
+    moved = stats.selectExpr(*own, *means, *centred).selectExpr("*", *[f"sqrt(c{i}_{i}) AS t{i}" for i in range(size)])
+    entries = [
+        f"CASE WHEN t{i} > 0 THEN 1.0D WHEN t{i} = 0 THEN 0.0D END + {float(penalty)!r}D / n AS a{i}_{j}" if i == j else
+        f"CASE WHEN t{i} > 0 AND t{j} > 0 THEN c{i}_{j} / (t{i} * t{j}) WHEN c{i}_{j} IS NOT NULL THEN 0.0D END AS a{i}_{j}"
+        for i, j in _pairs(size)
+    ]
+    right = [f"CASE WHEN t{i} > 0 THEN c{i}_{size} / (t{i} * n) WHEN c{i}_{size} IS NOT NULL THEN 0.0D END AS b{i}" for i in range(size)]
+    return moved.selectExpr(*own, *[f"m{i}" for i in range(size + 1)], *[f"t{i}" for i in range(size)], *entries, *right)
+
 
-    def solve_batch(batch: pd.DataFrame) -> pd.DataFrame:
-        size = features + 1
-        n = batch.pop("n").to_numpy(float)
-        mean = np.stack(batch.pop("sums")) / n[:, None]
-        cross = np.zeros((len(n), size, size))
-        rows, columns = np.triu_indices(size)
-        upper = np.stack(batch.pop("products"))
-        cross[:, rows, columns] = cross[:, columns, rows] = upper
-        covariance = cross / n[:, None, None] - mean[:, :, None] * mean[:, None, :]
-        spread = np.sqrt(np.maximum(np.diagonal(covariance, axis1=1, axis2=2), 0.0))[:, :-1]
-        constant = spread <= 1e-7 * np.maximum(1.0, np.abs(mean[:, :-1]))
-        scale = np.where(constant, 1.0, spread)
-        correlation = covariance[:, :-1, :-1] / (scale[:, :, None] * scale[:, None, :])
-        correlation[constant[:, :, None] | constant[:, None, :]] = 0.0
-        target = np.where(constant, 0.0, covariance[:, :-1, -1] / scale)
-        system = correlation + np.eye(features) * (penalty / n)[:, None, None]
-        errors = [None] * len(n)
-        weights = np.zeros((len(n), features))
-        for row in range(len(n)):
-            if not (np.isfinite(system[row]).all() and np.isfinite(target[row]).all() and np.isfinite(mean[row]).all()):
-                errors[row] = "moments are not finite"
-                continue
-            try:
-                weights[row] = np.linalg.solve(system[row], target[row])
-            except np.linalg.LinAlgError:
-                errors[row] = "singular system"
-        strength = np.abs(weights)
-        total = strength.sum(axis=1, keepdims=True)
-        coefficients = weights / scale
-        batch["intercept"] = mean[:, -1] - (coefficients * mean[:, :-1]).sum(axis=1)
-        batch["coefficients"] = list(coefficients)
-        batch["importances"] = list(np.divide(strength, total, out=np.zeros_like(strength), where=total > 0))
-        batch["error"] = errors
-        return batch
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                yield solve_batch(batch)
-
-    return solve
+def solved_symmetric(system: DataFrame, size: int) -> DataFrame:
+    """The solution w0.. of each row's symmetric system a{i}_{j}, b{i}, NULL where it has none, beside the other columns.
+
+    The factorisation of a symmetric matrix without roots, unrolled: one projection a pivot, one a weight. Each reads
+    the columns of the one before, so no expression grows.
+    """
+    other = [c for c in system.columns if c not in {*(f"a{i}_{j}" for i, j in _pairs(size)), *(f"b{i}" for i in range(size))}]
+    other = [f"`{c}`" for c in other]
+    done: list[str] = []
+    for k in range(size):
+        done += [f"a{k}_{j}" for j in range(k, size)] + [f"b{k}"]
+        pivot = f"a{k}_{k}"
+        left = [f"a{i}_{j} - try_divide(a{k}_{i} * a{k}_{j}, {pivot}) AS a{i}_{j}" for i in range(k + 1, size) for j in range(i, size)]
+        left += [f"b{i} - try_divide(a{k}_{i} * b{k}, {pivot}) AS b{i}" for i in range(k + 1, size)]
+        system = system.selectExpr(*other, *done, *left)
+    for i in reversed(range(size)):
+        rest = "".join(f" - a{i}_{j} * w{j}" for j in range(i + 1, size))
+        system = system.selectExpr("*", f"try_divide(b{i}{rest}, a{i}_{i}) AS w{i}")
+    return system.selectExpr(*other, *[f"w{i}" for i in range(size)])
 
 
 def fit_ridge(train: DataFrame, keys: list[str] = KEYS, penalty: float = RIDGE) -> DataFrame:
     """One row per series: keys, intercept, coefficients, importances, and `error` where it has no solution.
 
-    A series without a solution doesn't stop the others; `solved` leaves it out.
+    Built-in expressions over the moments, so one plan fits all series without a Python worker. A series without a
+    solution doesn't stop the others; `solved` leaves it out. Importances are shares of the absolute standardised weights.
     """
-    stats = moments(train, keys)
-    kinds = dict(stats.dtypes)
-    columns = [f"`{k}` {kinds[k]}" for k in keys]
-    columns += ["intercept double", "coefficients array<double>", "importances array<double>", "error string"]
-    return stats.mapInPandas(_ridge_solver(len(FEATURES), penalty), ", ".join(columns))
+    size, names = len(FEATURES), [f"`{k}`" for k in keys]
+    rows = solved_symmetric(standardised_system(moments(train, keys), keys, penalty), size)
+    finite = " AND ".join([*(f"m{i} IS NOT NULL" for i in range(size + 1)), *(f"t{i} IS NOT NULL" for i in range(size))])
+    there = " AND ".join(f"w{i} IS NOT NULL AND NOT isnan(w{i})" for i in range(size))
+    error = f"CASE WHEN complete < n OR NOT ({finite}) THEN 'moments are not finite' WHEN NOT ({there}) THEN 'singular system' END AS error"
+    strength = " + ".join(f"abs(w{i})" for i in range(size)) + " AS strength"
+    per_unit = [f"CASE WHEN t{i} > 0 THEN w{i} * n / t{i} * {UNITS[c]} / {UNITS[LABEL]} ELSE 0.0D END AS k{i}" for i, c in enumerate(FEATURES)]
+    rows = rows.selectExpr(*names, error, strength, *[f"w{i}" for i in range(size)], *per_unit, *[f"m{i}" for i in range(size + 1)])
+    intercept = f"m{size}" + "".join(f" - k{i} * m{i}" for i in range(size))
+    shares = ", ".join(f"CASE WHEN strength > 0 THEN abs(w{i}) / strength ELSE 0.0D END" for i in range(size))
+    per_unit = ", ".join(f"k{i}" for i in range(size))
+    values = {"intercept": intercept, "coefficients": f"array({per_unit})", "importances": f"array({shares})"}
+    model = ", ".join(f"'{name}', CASE WHEN error IS NULL THEN {value} END" for name, value in values.items())
+    # behind a generator, as Spark would move a filter on a model below the elimination and copy it out for each pivot
+    return rows.selectExpr(*names, f"inline(array(named_struct({model}, 'error', error)))")
 
 
 def solved(fitted: DataFrame) -> DataFrame:
@@ -169,8 +179,10 @@ def feature_importances(models: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 
 def model_evaluation(test: DataFrame, models: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Stored-form metrics of the test rows."""
-    return clip_metrics(evaluate(predict_ridge(test, models, keys), keys)).drop("n")
+    """Stored-form metrics of the test rows, predictions taken to a hundredth of a cent so that all sums are exact."""
+    rows = predict_ridge(test, models, keys)
+    whole = F.floor(F.col("predicted") * 10000 + 0.5).cast("decimal(17,0)") * F.lit(Decimal("0.0001"))
+    return clip_metrics(evaluate(rows.withColumn("predicted", whole.cast("decimal(17,4)")), keys)).drop("n")
 
 
 def training_summary(guards: DataFrame, models: DataFrame, keys: list[str] = KEYS) -> DataFrame:

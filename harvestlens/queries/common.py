@@ -117,8 +117,9 @@ def errors_sql(keys: str, source: str) -> str:
     """n, mape, rmse, r2_score of (modal_price, predicted) per key, sums in whole cents."""
     return f"""
 SELECT {keys}, count(*) AS n,
-  coalesce(avg(CASE WHEN modal_price <> 0 THEN
-    abs(CAST(modal_price - predicted AS DOUBLE) / CAST(modal_price AS DOUBLE)) END) * 100, 0) AS mape,
+  coalesce(CAST(sum(CASE WHEN modal_price <> 0 THEN
+    CAST(abs(CAST(modal_price - predicted AS DOUBLE) / CAST(modal_price AS DOUBLE)) AS DECIMAL(28,9)) END) AS DOUBLE)
+    / count(*) FILTER (WHERE modal_price <> 0) * 100, 0) AS mape,
   sqrt(CAST(sum((y - p) * (y - p)) AS DOUBLE) / 10000.0 / count(*)) AS rmse,
   CASE WHEN count(*) * sum(y * y) = sum(y) * sum(y) THEN 0 ELSE
     1.0 - count(*) * CAST(sum((y - p) * (y - p)) AS DOUBLE)

@@ -9,7 +9,7 @@ from harvestlens.queries.common import (
     PERSISTENCE, SERIES, baseline_eval_sql, clipped_sql, plain, rounded, typed,
 )
 from harvestlens.queries.features import features_sql
-from harvestlens.queries.models import trained
+from harvestlens.queries.models import RIDGE_EVALUATED, ridge_prediction, trained
 from harvestlens.session import write_and_read
 from harvestlens.sources.tables import TradeTables
 
@@ -232,6 +232,70 @@ _LABELS = (
     " WHEN 'weekday_num' THEN 'Weekly Seasonality' ELSE 'Monthly Seasonality' END"
 )
 
+_STATE = "state_id, commodity"
+
+
+def _model_steps():
+    """CTEs up to `banded`: three forecast steps of the state series by their models, in whole cents."""
+    sums = "list_sum({0})"
+    features = {
+        "lag_1": "CAST(c[14] AS DOUBLE) / 100", "lag_7": "CAST(c[8] AS DOUBLE) / 100", "lag_14": "CAST(c[1] AS DOUBLE) / 100",
+        "roll_mean_7": f"CAST({sums.format('c[8:14]')} AS DOUBLE) / 700", "roll_mean_14": f"CAST({sums.format('c')} AS DOUBLE) / 1400",
+        "roll_std_7": f"sqrt(CAST(7 * {sums.format('list_transform(c[8:14], lambda x: CAST(x AS HUGEINT) * x)')}"
+        f" - {sums.format('c[8:14]')} * {sums.format('c[8:14]')} AS DOUBLE) / 42) / 100",
+        "weekday_num": "CAST(isodow(last_date + {0}) - 1 AS DOUBLE)", "month": "CAST(month(last_date + {0}) AS DOUBLE)",
+    }
+    parts = [f"""newest AS (SELECT *, row_number() OVER (PARTITION BY {_STATE} ORDER BY arrival_date DESC) AS newness FROM series),
+buffers AS (SELECT {_STATE}, max(arrival_date) AS last_date, list(CAST(modal_price * 100 AS BIGINT) ORDER BY arrival_date) AS c
+  FROM newest WHERE newness <= 14 GROUP BY ALL HAVING count(*) = 14),
+step_0 AS (SELECT buffers.*, models.* EXCLUDE (state_id, commodity), c[14] AS p0 FROM buffers JOIN models USING ({_STATE}))"""]
+    for step in (1, 2, 3):
+        predicted = ridge_prediction(lambda name: f"({features[name].format(step)})")  # noqa: B023
+        whole = f"CAST(round(greatest(0.0, {rounded(predicted)}) * 100) AS BIGINT)"
+        parts.append(f"guess_{step} AS (SELECT *, {whole} AS p{step} FROM step_{step - 1})")
+        parts.append(f"step_{step} AS (SELECT * REPLACE (list_append(c[2:14], p{step}) AS c) FROM guess_{step})")
+    parts.append(f"""steps AS (SELECT {_STATE}, last_date, CAST(p0 AS DOUBLE) / 100 AS last_price,
+  unnest([1, 2, 3]) AS step, CAST(unnest([p1, p2, p3]) AS DOUBLE) / 100 AS predicted FROM step_3),
+measures AS (SELECT {_STATE}, CAST(mape AS DOUBLE) AS mape, CAST(rmse AS DOUBLE) AS rmse, CAST(r2_score AS DOUBLE) AS r2_score FROM model_metrics),
+banded AS (SELECT *, last_date + CAST(step AS INTEGER) AS date, greatest(0.0, {rounded('predicted - ' + _REACH)}) AS lower,
+  {rounded('predicted + ' + _REACH)} AS upper FROM steps JOIN measures USING ({_STATE}))""")
+    return f"{RIDGE_EVALUATED}, " + ", ".join(parts)
+
+
+def _json_number(value):
+    """A number as JSON the way Java prints it, for ten-thousandths below one."""
+    return f"CASE WHEN {value} > 0 AND {value} < 0.001 THEN CAST(round({value} * 10000) AS BIGINT) || '.0E-4' ELSE CAST({value} AS VARCHAR) END"
+
+
+def _json_object(**fields):
+    return "'{' || " + " || ',' || ".join(f"'\"{name}\":' || {value}" for name, value in fields.items()) + " || '}'"
+
+
+def _text(value):
+    return f"'\"' || {value} || '\"'"
+
+
+def _day(value):
+    return _text(f"strftime({value}, '%Y-%m-%d')")
+
+
+_DOCUMENT_SQL = f"""{_model_steps()},
+final AS (SELECT *, CASE WHEN last_price > 0 THEN {_CHANGE} ELSE 0.0 END AS pct FROM banded WHERE step = 3),
+decided AS (SELECT *, CASE WHEN pct > 3 THEN 'HOLD' WHEN pct < -3 THEN 'SELL' ELSE 'STABLE' END AS action FROM final),
+points AS (SELECT {_STATE}, string_agg({_json_object(date=_day('date'), predicted_modal_price=_json_number('predicted'),
+  lower_bound=_json_number('lower'), upper_bound=_json_number('upper'))}, ',' ORDER BY step) AS points FROM banded GROUP BY {_STATE}),
+shares AS ({" UNION ALL ".join(f"SELECT {_STATE}, '{c}' AS feature, CAST(share_{c} AS DECIMAL(10,5)) AS score FROM models" for c in FEATURES)}),
+listed AS (SELECT {_STATE}, feature, score, {rounded('CAST(score AS DOUBLE)', 4)} AS importance FROM shares),
+drivers AS (SELECT {_STATE}, string_agg({_json_object(feature=_text('feature'), importance=_json_number('importance'))}, ',' ORDER BY score DESC, feature) AS drivers
+  FROM listed GROUP BY {_STATE}),
+texts(action, description, class) AS (VALUES {", ".join(f"('{name}', '{text}', '{kind}')" for name, (text, kind) in RECOMMENDATIONS.items())})
+SELECT CAST(state_id AS BIGINT) AS state_id, commodity, {_json_object(
+    state_id='state_id', commodity=_text('commodity'), latest_actual=_json_object(date=_day('last_date'), price=_json_number('last_price')),
+    forecast="'[' || points || ']'", metrics=_json_object(mape=_json_number('mape'), rmse=_json_number('rmse'), r2_score=_json_number('r2_score')),
+    featureDrivers="'[' || drivers || ']'",
+    recommendation=_json_object(action=_text('action'), description=_text('description'), pct_change=_json_number('pct'), **{'class': _text('class')}),
+)} AS document FROM decided JOIN points USING ({_STATE}) JOIN drivers USING ({_STATE}) JOIN texts USING (action)"""
+
 SQL = {
     "model_for_name": f"""WITH {PERSISTENCE},
 sold AS (SELECT DISTINCT market_id, commodity_id, commodity FROM named),
@@ -264,6 +328,10 @@ SELECT CAST(market_id AS BIGINT) AS market_id, commodity,
   CAST(isodow(day) - 1 AS BIGINT) AS weekday_num, CAST(month(day) AS BIGINT) AS month FROM spread""",
     "recursive_forecast": f"WITH {SERIES}, {_STEPS} "
     + typed("market_id:l commodity:s last_date:t last_price:d step:l date:t predicted:d", "forecasts"),
+    "recursive_forecast_models": _model_steps() + " " + typed(
+        "state_id:l commodity:s last_date:t last_price:d step:l date:t predicted:d mape:d rmse:d r2_score:d lower:d upper:d", "banded"
+    ),
+    "forecast_document": _DOCUMENT_SQL,
     "confidence_band": f"WITH {SERIES}, {_BANDED} " + typed(
         "market_id:l commodity:s last_date:t last_price:d step:l date:t predicted:d mape:d rmse:d r2_score:d lower:d upper:d",
         "banded",

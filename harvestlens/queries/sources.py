@@ -1,15 +1,20 @@
 """Scans, sources and sinks."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from harvestlens.operators import audit, cleaning, evaluation, models
+from harvestlens.constants import FEATURES
+from harvestlens.operators import audit, cleaning, evaluation, features, models
 from harvestlens.plans import documents, training
 from harvestlens.queries.common import (
-    CLEAN, NAME_MAP, PERSISTENCE, RAW, SEED, SERIES, STAR, baseline_eval_sql, canonical, clipped_sql,
+    CLEAN, NAME_MAP, PERSISTENCE, RAW, SEED, SERIES, STAR, STATE_SERIES, baseline_eval_sql, canonical, clipped_sql,
     errors_sql, lagged_sql, mean, plain, rounded, titled, typed,
 )
-from harvestlens.session import scratch_path
+from harvestlens.queries.features import features_sql, guards_sql
+from harvestlens.queries.models import ridge_sql
+from harvestlens.session import scratch_path, write_and_read
 from harvestlens.sources import daily_files, lookups, star_store
+from harvestlens.sources.star_store import StarStore
 from harvestlens.sources.tables import TradeTables
 
 
@@ -138,14 +143,26 @@ def seed_state_dim(spark, sf_dir):
 
 
 def model_store(spark, sf_dir):
-    """Models saved and loaded, with the market series that have none (coefficients NULL)."""
-    keys = ["state_id", "commodity"]
-    series = TradeTables(spark, sf_dir).state_series()
-    path = scratch_path(spark, "models")
-    training.save_models(training.train_series(series, keys).fitted, path)
-    loaded = spark.read.parquet(path)
-    missing = models.missing_models(series, loaded, keys)
-    return plain(loaded.unionByName(missing, allowMissingColumns=True))
+    """Models stored and loaded: all series with a strong penalty, then states 0 and 1 again with the usual one.
+
+    A commodity has its place among the sorted names as id; every series is asked for and, in each state, an id that is not
+    sold, which has no model (NULLs).
+    """
+    tables = TradeTables(spark, sf_dir)
+    series = write_and_read(tables.state_series(), "series")
+    names = series.select("commodity").distinct().withColumn("commodity_id", F.row_number().over(W.orderBy("commodity")))
+    ids = lambda rows: rows.join(names, "commodity").drop("commodity").withColumnRenamed("state_id", "market_id")
+    learned = training.train_series(series, ["state_id", "commodity"]).train
+    store = StarStore(spark, scratch_path(spark, "models"))
+    for penalty, part in ((models.RIDGE * 10, F.lit(True)), (models.RIDGE, F.col("state_id") < 2)):
+        fitted = models.solved(models.fit_ridge(learned.filter(part), ["state_id", "commodity"], penalty))
+        store.upsert("series_models", ids(fitted), features.KEYS)
+    asked = ids(series.select("state_id", "commodity").distinct()).select(*features.KEYS)
+    asked = asked.unionByName(asked.select("market_id", F.lit(0).alias("commodity_id")))
+    loaded = store.read_latest("series_models")
+    weights = [F.round(F.col("coefficients")[i], 6).alias(f"per_{c}") for i, c in enumerate(FEATURES)]
+    found = loaded.select(*features.KEYS, F.round("intercept", 6).alias("intercept"), *weights)
+    return plain(found.unionByName(models.missing_models(asked, loaded), allowMissingColumns=True))
 
 
 def overview_document(spark, sf_dir):
@@ -216,6 +233,15 @@ def _audit_sql():
 _KEYS = "market_id, commodity"
 
 SQL = {
+    "model_store": f"""WITH {STATE_SERIES}, {features_sql("state_id, commodity", 'series', causal=True)}, {guards_sql("state_id, commodity", 'series', 'guards')},
+learned AS (SELECT * FROM split SEMI JOIN (SELECT * FROM guards WHERE status = 'ok') USING (state_id, commodity) WHERE NOT is_test),
+{ridge_sql("state_id, commodity", "learned", "strong", models.RIDGE * 10)}, {ridge_sql("state_id, commodity", "learned", "usual")},
+numbers AS (SELECT commodity, row_number() OVER (ORDER BY commodity) AS commodity_id FROM (SELECT DISTINCT commodity FROM series)),
+stored AS (SELECT * FROM usual WHERE state_id < 2 UNION ALL SELECT * FROM strong WHERE state_id >= 2),
+asked AS (SELECT DISTINCT state_id, commodity FROM series UNION ALL SELECT DISTINCT state_id, NULL FROM series)
+SELECT CAST(state_id AS BIGINT) AS market_id, CAST(coalesce(commodity_id, 0) AS BIGINT) AS commodity_id, round(intercept, 6) AS intercept,
+  {", ".join(f"round(per_{c}, 6) AS per_{c}" for c in FEATURES)}
+FROM asked LEFT JOIN numbers USING (commodity) LEFT JOIN stored USING (state_id, commodity)""",
     "scan_daily_quotes": f"WITH {STAR}, {RAW} "
     + typed(_RAW_COLUMNS + " file_day:t", "(SELECT *, CAST(day AS DATE) AS file_day FROM raw)"),
     "date_spine": f"WITH {STAR}, {_SPINE} "

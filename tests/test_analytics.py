@@ -318,20 +318,30 @@ def test_shown_confidence(spark):
     assert got == {(1, 1): 70, (1, 2): 88, (1, 3): 85, (2, 1): 85}
 
 
-def test_a_series_without_solution_gets_an_error():
-    """One series with an endless sum leaves the other's model as it is."""
-    import numpy as np
-    import pandas as pd
-
-    rng = np.random.default_rng(7)
-    rows = rng.normal(size=(40, 9))
-    upper = np.triu_indices(9)
-    one = {"market_id": 1, "n": 40, "sums": rows.sum(axis=0), "products": (rows.T @ rows)[upper]}
-    bad = one | {"market_id": 2, "sums": np.where(np.arange(9) == 3, np.inf, one["sums"])}
-    alone = pd.concat(models._ridge_solver(8, 1.5)(iter([pd.DataFrame([one])])))
-    both = pd.concat(models._ridge_solver(8, 1.5)(iter([pd.DataFrame([one, bad])])))
-    assert both["error"].tolist() == [None, "moments are not finite"]
-    assert np.allclose(both["coefficients"].iloc[0], alone["coefficients"].iloc[0])
+def test_a_series_without_solution_gets_an_error(spark):
+    """A price that is missing, or a value beyond 18 digits, leave the other series' model as it is."""
+    train = training.train_series(series_of(spark, 200, 220)).train
+    one, other = train.filter("market_id = 0"), train.filter("market_id = 1")
+    missing = other.withColumn("modal_price", F.when(F.col("lag_1") > 110, F.col("modal_price")))
+    endless = other.withColumn("market_id", F.lit(2)).withColumn("roll_mean_14", F.col("roll_mean_14") * 1e13)
+    alone = models.fit_ridge(one).first()
+    fitted = {r.market_id: r for r in models.fit_ridge(one.unionByName(missing).unionByName(endless)).collect()}
+    assert fitted[0] == alone and alone.error is None
+    for market in (1, 2):
+        assert fitted[market].error == "moments are not finite" and fitted[market].coefficients is None
+    assert [r.market_id for r in models.solved(models.fit_ridge(one.unionByName(missing))).collect()] == [0]
+
+
+def test_without_a_penalty_equal_features_have_no_solution(spark):
+    train = training.train_series(series_of(spark, 200)).train.withColumn("lag_7", F.col("lag_1")).withColumn("lag_14", F.col("lag_1"))
+    assert models.fit_ridge(train, penalty=0.0).first().error in ("singular system", None)
+    assert models.fit_ridge(train).first().error is None
+
+
+def test_order_and_partitions_of_rows_change_no_digit(spark):
+    train = training.train_series(series_of(spark, 200, 260)).train
+    fits = [sorted(models.fit_ridge(rows).collect()) for rows in (train, train.orderBy(F.rand(3)).repartition(7))]
+    assert fits[0] == fits[1]
 
 
 def test_overview_documents_equal_one_by_one(spark):
