@@ -1,7 +1,7 @@
 """The star schema as Parquet tables below one folder.
 
-Dimensions only ever grow, so loads append to them. Facts are appended by month, or
-replaced day by day where a day is loaded again from the quotes kept as they came. The
+Dimensions only ever grow, so loads append to them. Facts are kept by month and sorted by day; where a
+day is loaded again from the quotes kept as they came, the files that hold its rows are replaced. One writer at a time. The
 model tables are upserted: each upsert writes a new generation next to the last finished one.
 """
 
@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestlens.schemas import STAR_TABLES
-from harvestlens.session import passing_tables
 
 
 @dataclass
@@ -68,40 +67,79 @@ class StarStore:
         )
 
     def land(self, quotes: DataFrame) -> str:
-        """Keep typed quotes as they came, by month of arrival; returns the load's name.
+        """Keep typed quotes as they came, by month of arrival and load; returns the load's name.
 
         AQE sizes the files by month and splits a busy month over several tasks.
         """
         load = uuid.uuid4().hex
         day = F.col("arrival_date")
-        dated = quotes.withColumns({"year": F.year(day), "month": F.month(day)})
-        columns = [c for c in STAR_TABLES["landed_quotes"].fieldNames() if c != "load"]
+        dated = quotes.withColumns({"year": F.year(day), "month": F.month(day), "load": F.lit(load)})
+        columns = STAR_TABLES["landed_quotes"].fieldNames()
         (
             dated.select(*columns).hint("rebalance", "year", "month")
-            .write.partitionBy("year", "month").parquet(f"{self.path('landed_quotes')}/load={load}")
+            .write.mode("append").partitionBy("year", "month", "load").parquet(self.path("landed_quotes"))
         )
         return load
 
-    def replace_days(self, table: str, rows: DataFrame, days: DataFrame) -> None:
-        """Replace the rows of `days` (arrival_date) in a table kept by year and month.
+    def folders_of(self, load: str) -> list[str]:
+        """The month folders (year=.../month=...) that a landed load has rows in; no folder of another load is listed."""
+        path, files = self._folder("landed_quotes")
+        found = files.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(path, f"*/*/load={load}"))
+        return sorted("/".join(str(entry.getPath()).split("/")[-3:-1]) for entry in found or [])
 
-        The months of the days are rewritten, other months are not read. The new months are
-        first written aside; Spark then swaps whole folders. A month that would be left
-        without any row keeps its old rows.
+    def read_folders(self, table: str, folders: list[str]) -> DataFrame:
+        """The rows of a table in some of its folders; only these are listed."""
+        schema, there = STAR_TABLES[table], [f for f in folders if self.exists(f"{table}/{f}")]
+        if not there:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
+        return reader.parquet(*[f"{self.path(table)}/{f}" for f in there])
+
+    def replace_days(self, table: str, rows: DataFrame, days: DataFrame, folders: list[str]) -> None:
+        """Replace the rows of `days` (arrival_date), which lie in the given month folders, in a table kept by year and month.
+
+        Only files that hold a row of these days are read and rewritten; all others stay as they are, and of a
+        day without new rows nothing is left. The new files are written aside first, with the list of those that they
+        replace: from then on `finish_replacing` can complete the change, also after a crash.
         """
-        ids = days.select(F.unix_date("arrival_date").alias("date_id"))
-        kept = in_months(self.read(table), days).join(ids, "date_id", "left_anti")
-        names = STAR_TABLES[table].fieldNames()
+        self.finish_replacing(table)
+        names, ids = STAR_TABLES[table].fieldNames(), days.select(F.unix_date("arrival_date").alias("date_id"))
+        old, kept = [], self.spark.createDataFrame([], STAR_TABLES[table])
+        if any(self.exists(f"{table}/{f}") for f in folders):
+            stored = self.read_folders(table, folders).select("date_id", F.col("_metadata.file_path").alias("file"))
+            old = [r.file for r in stored.join(ids, "date_id", "left_semi").select("file").distinct().collect()]
+        if old:
+            reader = self.spark.read.schema(STAR_TABLES[table]).option("basePath", self.path(table))
+            kept = reader.parquet(*old).join(ids, "date_id", "left_anti")
         day = F.date_from_unix_date("date_id")
         fresh = rows.withColumns({"year": F.year(day), "month": F.month(day)})
         order = ["year", "month", "date_id", *[c for c in ("market_id", "commodity_id") if c in names]]
-        with passing_tables(self.spark, table) as keep:
-            merged = keep(kept.select(*names).unionByName(fresh.select(*names)), "merged")
-            (
-                merged.repartitionByRange(*order).sortWithinPartitions(*order)
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("year", "month").parquet(self.path(table))
-            )
+        aside = f"_replacing/{table}/{uuid.uuid4().hex}"
+        self.spark.createDataFrame([(f,) for f in old], "file string").coalesce(1).write.parquet(self.path(f"{aside}/old"))
+        (
+            kept.select(*names).unionByName(fresh.select(*names))
+            .repartitionByRange(*order).sortWithinPartitions(*order)
+            .write.partitionBy("year", "month").parquet(self.path(f"{aside}/rows"))
+        )
+        self.finish_replacing(table)
+
+    def finish_replacing(self, table: str) -> None:
+        """Complete replacements whose rows are all written aside, drop those that are not; each step can be repeated."""
+        root, files = self._folder(f"_replacing/{table}")
+        Path = self.spark._jvm.org.apache.hadoop.fs.Path
+        for entry in files.listStatus(root) if files.exists(root) else []:
+            aside = entry.getPath()
+            if files.exists(Path(aside, "rows/_SUCCESS")):
+                for r in self.spark.read.parquet(str(Path(aside, "old"))).collect():
+                    files.delete(Path(self.spark._jvm.java.net.URI(r.file)), False)
+                written = files.listFiles(Path(aside, "rows"), True)
+                while written.hasNext():
+                    source = written.next().getPath()
+                    if source.getName().endswith(".parquet"):
+                        target = Path(f"{self.path(table)}/" + "/".join(str(source).split("/")[-3:]))
+                        files.mkdirs(target.getParent())
+                        files.rename(source, target)
+            files.delete(aside, True)
 
     def _generations(self, table: str) -> list[int]:
         """Finished generations, oldest first."""
@@ -135,6 +173,7 @@ class StarStore:
         )
 
     def star(self) -> Star:
+        self.finish_replacing("fact_market_prices")
         return Star(
             state_dim=self.read("state_dim"),
             market_dim=self.read("market_dim"),
@@ -161,24 +200,6 @@ def _month_number(year: Column, month: Column) -> Column:
     return year * 12 + month
 
 
-def _month_of(days: DataFrame, extreme) -> Column:
-    """The month number of the first (F.min) or last (F.max) of `days`, as a bare scalar subquery."""
-    one = days.select(extreme("arrival_date").alias("day"))
-    return one.select(_month_number(F.year("day"), F.month("day"))).scalar()
-
-
-def in_months(rows: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows of a table kept by year and month that lie in the months of `days` (arrival_date).
-
-    Other folders between the first and the last month are dropped by the join, all
-    further ones are not opened.
-    """
-    number = _month_number(F.col("year"), F.col("month"))
-    months = days.select(F.year("arrival_date").alias("year"), F.month("arrival_date").alias("month")).distinct()
-    near = rows.filter((number >= _month_of(days, F.min)) & (number <= _month_of(days, F.max)))
-    return near.join(months, ["year", "month"], "left_semi").select(*rows.columns)
-
-
 def between_days(rows: DataFrame, low: DataFrame, high: DataFrame | None = None) -> DataFrame:
     """Rows dated from `low` to `high`, each a one-row frame with one date.
 

@@ -1,6 +1,7 @@
 import datetime
 from collections import Counter
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from harvestlens.sources.star_store import StarStore, bulk_upsert
 from harvestlens.streaming.ingest import stream_daily_ingest
 from test_cleaning import write_csv
 
+EPOCH = datetime.date(1970, 1, 1)
 ROWS = [
     ("Orissa", "m1", "Paddy(Dhan)", "01/01/2024", 9, 10, 11),
     ("Orissa", "m1", "Paddy(Dhan)", "01/01/2024", 8, 10, 12),
@@ -193,6 +195,64 @@ def test_a_reload_builds_days_a_crash_left_out(spark, quotes_of, no_names, tmp_p
     assert sum(loaded(store).values()) == 4
 
 
+def fact_files(store):
+    """Day of month and write time of every fact file."""
+    stored = store.read("fact_market_prices").select("date_id", F.col("_metadata.file_path").alias("file")).distinct().collect()
+    found = {}
+    for r in stored:
+        path = Path(r.file.removeprefix("file:"))
+        days = found.setdefault(path.name, (path.stat().st_mtime_ns, set()))[1]
+        days.add((EPOCH + datetime.timedelta(r.date_id)).day)
+    return found
+
+
+def test_a_reload_replaces_its_days_only_and_empties_days(spark, quotes_of, no_names, tmp_path):
+    """A late file moves the fence of a day beyond its only quote: the fact goes, and files of other days stay as they are."""
+    store = StarStore(spark, str(tmp_path / "store"))
+    for day in ("05/01/2024", "06/01/2024", "01/02/2024"):
+        ingest.load_quotes(store, quotes_of([("Goa", "m1", "Wheat", day, 10, 10, 10)]), no_names, reload=True)
+    before = fact_files(store)
+    wrong_order = [("Goa", f"m{i}", "Wheat", "05/01/2024", 1009, 1000 + i, 1010) for i in range(9)]
+    got = ingest.load_quotes(store, quotes_of(wrong_order), no_names, reload=True)
+    log = {r.reason: r.rows for r in got["log"].collect()}
+    assert log["read"] == 10 and "inserted" not in log and log["outlier"] == 1
+    assert sorted(r.arrival_date.day for r in loaded_days(store)) == [1, 6]
+    assert fact_files(store) == {name: there for name, there in before.items() if there[1] != {5}}
+    alone = [(s, m.replace("m", "n"), c, "01/02/2024", *p) for s, m, c, _, *p in wrong_order]
+    ingest.load_quotes(store, quotes_of(alone), no_names, reload=True)
+    assert [r.arrival_date.day for r in loaded_days(store)] == [6]  # a month without any fact
+    assert store.star().fact.count() == 1
+
+
+def loaded_days(store):
+    return store.read("fact_market_prices").select(F.date_from_unix_date("date_id").alias("arrival_date")).distinct().collect()
+
+
+def test_a_replacement_survives_a_crash(spark, quotes_of, no_names, tmp_path, monkeypatch):
+    """What was written aside completely is put in place by the next use; what was not changes nothing."""
+    store = StarStore(spark, str(tmp_path / "store"))
+    ingest.load_quotes(store, quotes_of([("Goa", "m1", "Wheat", "05/01/2024", 10, 10, 10)]), no_names)
+    torn = tmp_path / "store" / "_replacing" / "fact_market_prices" / "torn" / "rows"
+    torn.mkdir(parents=True)
+    with monkeypatch.context() as patch:
+        patch.setattr(StarStore, "finish_replacing", lambda self, table: None)
+        late = [("Goa", m, "Wheat", "05/01/2024", 11, 11, 11) for m in ("m2", "m3")]
+        ingest.load_quotes(store, quotes_of(late), no_names, reload=True)
+        assert store.read("fact_market_prices").count() == 1
+    assert store.star().fact.count() == 3 and not torn.exists()
+    assert store.star().fact.count() == 3
+
+
+def test_a_reload_lists_the_months_of_its_days_only(spark, quotes_of, no_names, tmp_path):
+    store = StarStore(spark, str(tmp_path / "store"))
+    for m in range(1, 5):
+        load = ingest.load_quotes(store, quotes_of([("Goa", "m1", "Wheat", f"05/{m:02d}/2024", 10, 10, 10)]), no_names, reload=True)
+    assert load["log"].count() == 2
+    (newest,) = [r.load for r in store.read("load_log").filter("arrival_date = date'2024-04-05'").select("load").distinct().collect()]
+    assert store.folders_of(newest) == ["year=2024/month=4"]
+    assert store.read_folders("fact_market_prices", ["year=2024/month=4", "year=1999/month=1"]).count() == 1
+
+
 def test_overview_opens_the_last_month_only(spark, quotes_of, no_names, tmp_path):
     """The stored fact is pruned by year and month, and the day limit reaches the scan."""
     store = StarStore(spark, str(tmp_path / "store"))
