@@ -54,7 +54,7 @@ def seed_hashes(hashes: np.ndarray, first: np.ndarray, mask: str) -> tuple[np.nd
 
 
 def seed_index(ids: np.ndarray, texts: pa.Array, overlap: Overlap) -> SeedIndex:
-    """The index of some benchmark items."""
+    """The index of some benchmark items; ids: what tells each of them."""
     hashes, first = hashed_words(texts)
     seeds = []
     for mask in overlap.masks:
@@ -111,25 +111,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: Overlap = Overl
     and items are hashes of the words that a mask keeps; where they meet, the item is laid over the document without gaps
     and a run of words must have `overlap.words` words (or the whole item, where that is shorter but as long
     as the shortest mask) and `overlap.percent` of them equal. Returns, per document and item, doc_id, item_id, doc_start,
-    item_start (words from 0), n_words and n_equal of the longest such run (ties: more equal words, then the first), and
-    the document's columns `keep`. A run is only seen if it shares a seed with the item: of a 13-word item with 2 words
+    item_start (words from 0), n_words and n_equal of the longest such run (ties: more equal words, then the first),
+    item_hash (64 bits of the item's text) and the document's columns `keep`. A run is only seen if it shares a seed with the item: of a 13-word item with 2 words
     substituted, 76 of the 78 patterns do.
 
     The different items are taken in blocks of about `block_bytes` of text, each sent to all tasks; a larger benchmark makes
     more blocks, and every block meets all documents. Null or empty texts and items shorter than the shortest
-    mask hold and give nothing. Null ids and repeated rows are rows of their own; items that share an id are one
-    item. Other columns are ignored; an empty table on either side gives an empty table.
+    mask hold and give nothing. Null ids and repeated rows of docs are rows of their own. An item is a different pair of id, null or
+    not, and text: equal rows of the benchmark are one item, and texts that share an id are items of their own, told apart by
+    item_hash, so that no block size changes a row. Other columns are ignored; an empty table on either side gives an empty table.
     """
     shortest = min(map(len, overlap.masks))
-    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long"), "text").distinct()
+    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long"), "text").distinct().withColumn("item_hash", F.xxhash64("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = size // block_bytes + 1
     spark, out = docs.sparkSession, None
-    returns = arrays.schema_with("doc_id long, item_id long, doc_start long, item_start long, n_words long, n_equal long", docs, keep)
+    returns = arrays.schema_with("doc_id long, item_id long, doc_start long, item_start long, n_words long, n_equal long, item_hash long", docs, keep)
 
     for block in range(n_blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).orderBy("item_id", "text").collect()
-        index = spark.sparkContext.broadcast(seed_index(np.array([r.item_id for r in own], object), pa.array([r.text for r in own], pa.string()), overlap))
+        names = np.empty(len(own), object)
+        names[:] = [(r.item_id, r.item_hash) for r in own]
+        index = spark.sparkContext.broadcast(seed_index(names, pa.array([r.text for r in own], pa.string()), overlap))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             seeds = index.value
@@ -143,11 +146,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: Overlap = Overl
                         need = overlap._replace(words=max(shortest, min(overlap.words, len(words))))
                         if got := best_overlap(words[low:high] == text[at + low : at + high], need):
                             start, n, same = got
-                            key, rank = (row, seeds.ids[item]), (-n, -same, at + low + start, low + start)
+                            key, rank = (row, item), (-n, -same, at + low + start, low + start)
                             best[key] = min(best.get(key, rank), rank)
-                    found = [(ids[row], item, r[2], r[3], -r[0], -r[1]) for (row, item), r in best.items()]
+                    found = [(ids[row], seeds.ids[item][0], r[2], r[3], -r[0], -r[1], seeds.ids[item][1]) for (row, item), r in best.items()]
                     own = pa.array([row for row, _ in best], pa.int64())
-                    yield pa.RecordBatch.from_arrays([*(pa.array([f[i] for f in found], pa.int64()) for i in range(6)), *(chunk.column(c).take(own) for c in keep)], returns.names)
+                    yield pa.RecordBatch.from_arrays([*(pa.array([f[i] for f in found], pa.int64()) for i in range(7)), *(chunk.column(c).take(own) for c in keep)], returns.names)
 
         part = docs.select(F.col("doc_id").cast("long"), "text", *keep).mapInArrow(run, returns)
         out = part if out is None else out.unionByName(part)

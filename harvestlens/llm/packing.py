@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import base64
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,22 +71,23 @@ def pack_examples(examples: DataFrame, block_of: list[str], n_blocks: int, limit
     schema = examples.schema
     names = schema.names
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(names, kind="stable", ignore_index=True)
-        tokens, loss = rows["n_tokens"].to_numpy(np.int64), rows["n_loss"].to_numpy(np.int64)
+    def run(block: pa.Table) -> pa.Table:
+        number = block.column("block")[0].as_py()
+        rows = block.select(names).sort_by([(c, "ascending") for c in names])
+        tokens, loss = (rows.column(c).to_numpy().astype(np.int64) for c in ("n_tokens", "n_loss"))
         full = tokens >= limits.tokens
-        sequence, offset = np.empty(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        sequence, offset = np.empty(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
         sequence[full] = np.arange(full.sum())
         rest = np.flatnonzero(~full)
-        for number, held in enumerate(dot_product_bins(tokens[rest], loss[rest], limits), int(full.sum())):
+        for bin_number, held in enumerate(dot_product_bins(tokens[rest], loss[rest], limits), int(full.sum())):
             own = rest[held]
-            sequence[own] = number
+            sequence[own] = bin_number
             offset[own] = np.cumsum(tokens[own]) - tokens[own]
-        return rows[names].assign(sequence_id=(int(key[0]) << 32) + sequence, offset=offset)
+        return rows.append_column("sequence_id", pa.array((number << 32) + sequence)).append_column("offset", pa.array(offset))
 
     dealt = examples.withColumn("block", F.pmod(F.xxhash64(*block_of), F.lit(n_blocks)))
     returns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return dealt.groupBy("block").applyInPandas(run, f"{returns}, sequence_id long, offset long")
+    return dealt.groupBy("block").applyInArrow(run, f"{returns}, sequence_id long, offset long")
 
 
 @lru_cache(maxsize=2)
@@ -123,26 +124,32 @@ def encoder(path: str):
 def token_pieces(docs: DataFrame, path: str, length: int, end_id: int = 0) -> DataFrame:
     """Pieces of `length` ids of every document's ids and `end_id`; the last piece may be shorter.
 
-    Returns doc_id, start, n_tokens, n_loss (without the end id), ids_crc32 and doc_tokens.
+    Returns doc_id, start, n_tokens, n_loss (without the end id), ids_crc32, doc_tokens and deal, a number that
+    spreads documents evenly, also where they share an id, null or not: equal rows are told apart by their partition and by
+    how many of them a task has seen before, so a task that runs again gives the same rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode, seen = encoder(path), Counter()
         for batch in batches:
             for chunk in arrays.chunks(batch, "text"):
-                out = {c: [] for c in ("doc_id", "start", "n_tokens", "n_loss", "ids_crc32", "doc_tokens")}
+                out = {c: [] for c in ("doc_id", "start", "n_tokens", "n_loss", "ids_crc32", "doc_tokens", "deal")}
                 texts = [t or "" for t in chunk.column("text").to_pylist()]
-                for doc_id, ids in zip(chunk.column("doc_id").to_pylist(), encode(texts), strict=True):
-                    ids = np.array([*ids, end_id], "<u4")
+                keys = zip(*(chunk.column(c).to_pylist() for c in ("doc_id", "hash", "part")), strict=True)
+                for (doc_id, text_hash, part), ids in zip(keys, encode(texts), strict=True):
+                    ids, place = np.array([*ids, end_id], "<u4"), (doc_id is None, doc_id or 0, text_hash, part)
+                    deal = hash((*place, seen[place]))
+                    seen[place] += 1
                     for start in range(0, len(ids), length):
                         piece = ids[start : start + length]
                         last = start + length >= len(ids)
-                        for c, x in zip(out, (doc_id, start, len(piece), len(piece) - last, zlib.crc32(piece.tobytes()), len(ids)), strict=True):
+                        for c, x in zip(out, (doc_id, start, len(piece), len(piece) - last, zlib.crc32(piece.tobytes()), len(ids), deal), strict=True):
                             out[c].append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out.values()], list(out))
 
-    returns = "doc_id long, start long, n_tokens long, n_loss long, ids_crc32 long, doc_tokens long"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, returns)
+    returns = "doc_id long, start long, n_tokens long, n_loss long, ids_crc32 long, doc_tokens long, deal long"
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash"), F.spark_partition_id().alias("part"))
+    return rows.mapInArrow(run, returns)
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, limits: Limits = Limits(), block_documents: int = 8192) -> DataFrame:
@@ -154,7 +161,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, limits: Limits = Li
 
     All tokens but the end id bear loss, so `limits.loss` is idle unless it is below `limits.tokens`.
     Null or empty text: one piece, the end id. Null ids and repeated rows are documents of their own. Other columns are
-    ignored; an empty table gives an empty table. A document lies in one block, however long it is.
+    ignored; an empty table gives an empty table. A document lies in one block, however long it is; no id makes a block large.
     """
     if path is None:
         import public_tokenizers
@@ -162,5 +169,5 @@ def pack_documents(docs: DataFrame, path: str | None = None, limits: Limits = Li
         path = public_tokenizers.path("byte_bpe_50k.json")
     n_blocks = docs.count() // block_documents + 1
     pieces = token_pieces(docs, path, min(limits.tokens, limits.loss))
-    packed = pack_examples(pieces, ["doc_id"], n_blocks, limits)
+    packed = pack_examples(pieces, ["deal"], n_blocks, limits)
     return packed.select("doc_id", "start", F.col("n_tokens").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset", "n_loss")

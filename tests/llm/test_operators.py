@@ -81,6 +81,23 @@ def test_packing_round_trip(docs_of, odd_rows):
     assert len(packing.pack_documents(docs_of([(1, "x"), (1, "x"), (None, "y")])).collect()) == 3
 
 
+def test_packing_keeps_ids_that_no_double_holds(docs_of):
+    rows = [(2**60 + 1, "big"), (None, "nothing"), (5, "x"), (-(2**61) - 3, "minus")]
+    found = packing.pack_documents(docs_of(rows)).collect()
+    assert sorted((str(r.doc_id) for r in found)) == sorted(str(i) for i, _ in rows)
+
+
+def test_no_id_makes_a_packing_block_large(docs_of):
+    """A third of the rows share the null id, and another third are one row."""
+    rows = [(None, f"null {i}") for i in range(1200)] + [(7, "the same row")] * 1200 + [(100 + i, f"other {i}") for i in range(1200)]
+    found = packing.pack_documents(docs_of(rows).repartition(3), block_documents=300).collect()
+    assert len(found) == len(rows)
+    blocks = {}
+    for r in found:
+        blocks[r.sequence_id >> 32] = blocks.get(r.sequence_id >> 32, 0) + 1
+    assert max(blocks.values()) <= 2 * len(rows) / 13 and len(blocks) == 13
+
+
 def test_bins_keep_all_limits():
     rng = np.random.default_rng(1)
     tokens = rng.integers(1, 100, 500)
@@ -141,6 +158,14 @@ def test_benchmark_passages_with_substitutions(spark, docs_of, odd_rows):
     assert decontamination.contaminated(docs_of(rows), benchmark.limit(0)).collect() == []
 
 
+def test_texts_that_share_an_item_id_do_not_depend_on_blocks(spark, docs_of):
+    texts = [" ".join(f"s{i}x{k}" for k in range(20 + i)) for i in range(8)]
+    benchmark = spark.createDataFrame([(7, t) for t in texts[:5]] + [(None, t) for t in texts[5:]], "item_id long, text string")
+    docs = docs_of([(1, " ".join(texts)), (1, " ".join(texts)), (2, texts[0]), (None, texts[6])])
+    found = [sorted(map(str, decontamination.contaminated(docs, benchmark, block_bytes=b).collect())) for b in (2 << 20, 40, 300)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 18
+
+
 def longest_run(equal, words, percent):
     """Words and equal words of the longest run that is valid, by trying all."""
     n = len(equal)
