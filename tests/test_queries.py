@@ -8,8 +8,11 @@ import pytest
 import __spark_entry__ as entry_module
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-QUICK = ["round_price", "date_spine", "denormalised_view", "feature_matrix", "price_quartiles_by_commodity", "recursive_forecast"]
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+]
+QUICK = ["round_price", "date_spine", "denormalised_view", "feature_matrix", "price_quartiles_by_commodity", "recursive_forecast", "fit_price_model", "load_accounting"]
 SQL = entry_module.oracle_sql()
 NAMES = list(SQL) if os.environ.get("ORACLE") == "all" else QUICK
 
