@@ -94,11 +94,12 @@ def alignments(index: PositionalIndex, template: int, at: np.ndarray, number: np
     """Word positions where the template can begin.
 
     The file's `rare` highest-IDF words of the template are looked up; each posting says where the template
-    would begin, and a start that all of them name (half of them, for a template of more words than that) is kept.
+    would begin. For a base phrase, which stands whole or not at all, only starts that all its words name are kept; for
+    others every start that one of the words names, since the share of words in place decides there.
     """
     own = index.templates[template]
     there = np.intersect1d(number, own.words)
-    chosen = there[np.lexsort((there, -idf[there]))][:rare]
+    chosen = there[np.lexsort((there, -idf[there]))][: None if own.base else rare]
     starts = []
     for word in chosen.tolist():
         places = at[number == word]
@@ -106,8 +107,7 @@ def alignments(index: PositionalIndex, template: int, at: np.ndarray, number: np
     if not starts:
         return np.zeros(0, np.int64)
     start, votes = np.unique(np.concatenate(starts), return_counts=True)
-    short = len(np.unique(own.words)) <= rare
-    return start[votes >= (len(np.unique(own.words)) if short else max(2, rare // 2))]
+    return start[votes == len(np.unique(own.words))] if own.base else start
 
 
 def phrase_at(words: np.ndarray, phrase: np.ndarray, low: int, high: int) -> bool:
@@ -147,8 +147,9 @@ def scan_licenses(docs: DataFrame, index: PositionalIndex | None = None, rare: i
 
     docs: doc_id, text. Words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the text with A-Z lower-cased. For every template
     the file's `rare` rarest licence words (by document frequency over all documents) are looked up in the positional
-    index, their postings intersected by relative position, and at each start that is left at least the share
-    `least` of the template's words must stand in place and its key phrases must stand nearby. Base phrases are templates too, whole and exact.
+    index, their postings taken to the places where the template would begin, and at one of them at least the share
+    `least` of the template's words must stand in place and its key phrases must stand nearby. A label is only lost where none of
+    these rare words is in place. Base phrases are templates too, whole and exact, by the intersection of all their words' postings.
 
     Returns, per row, doc_id, n_words, n_base, first_word, last_word, base_labels, labels (sorted arrays) and score: the
     largest share, 0 without a label. Null or empty text: no words, no labels. Null ids and repeated rows are rows of

@@ -135,6 +135,39 @@ def test_licences(docs_of, odd_rows):
     assert license_scan.scan_licenses(docs_of([])).collect() == []
 
 
+def test_licence_labels_against_the_rule_at_every_start(docs_of):
+    """Notices with up to 40 % of their words outside the key phrases replaced: what the rule grants, at any start, is found."""
+    from harvestlens.llm.license_texts import TEMPLATES
+
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    words_of = lambda t: word.findall(t.lower())
+    holds = lambda w, k, low, high: any(w[i : i + len(k)] == k for i in range(max(low, 0), min(high, len(w)) - len(k) + 1))
+    rnd, rows = random.Random(12), []
+    for doc_id in range(20 * len(TEMPLATES)):
+        _, text, keys = TEMPLATES[doc_id % len(TEMPLATES)]
+        words = words_of(text)
+        fixed = {i + k for key in map(words_of, keys) for i in range(len(words)) if words[i : i + len(key)] == key for k in range(len(key))}
+        share = rnd.choice([0, 0.1, 0.2, 0.3, 0.4])
+        own = [w if i in fixed or rnd.random() >= share else rnd.choice(["the", "license", "software", "zzz"]) for i, w in enumerate(words)]
+        around = [rnd.choice(["the", "of", "a", "word", "license", "free"]) for _ in range(20)]
+        rows.append((doc_id, " ".join(around[:10] + own + around[10:])))
+    found = {r.doc_id: set(r.labels) - set(r.base_labels) for r in license_scan.scan_licenses(docs_of(rows)).collect()}
+    granted = missed = 0
+    for doc_id, text in rows:
+        words, truth = words_of(text), set()
+        for label, notice, keys in TEMPLATES:
+            own = words_of(notice)
+            for start in range(-len(own), len(words)):
+                same = sum(0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(own))
+                if same >= 0.6 * len(own) and all(holds(words, words_of(k), start - len(own), start + 2 * len(own)) for k in keys):
+                    truth.add(label)
+                    break
+        base = {label for label, phrase in license_scan.BASE if holds(words, phrase.split(), 0, len(words))}
+        assert found[doc_id] <= truth
+        granted, missed = granted + len(truth - base), missed + len(truth - base - found[doc_id])
+    assert granted > 300 and missed <= 0.01 * granted
+
+
 def test_benchmark_passages_with_substitutions(spark, docs_of, odd_rows):
     rnd = random.Random(9)
     fresh = lambda n: [f"t{rnd.randrange(10**5)}" for _ in range(n)]
