@@ -10,6 +10,7 @@ from harvestlens.constants import (
     ELASTICITY, FACTOR_RANGE, HISTORY_ROWS, PRICE_COLUMNS, VOLUME_PER_PRICE,
 )
 from harvestlens.functions.numeric import clamp, ratio_of, round_half_even
+from harvestlens.operators.usage import figures, since_newest
 from harvestlens.sources.star_store import Star
 
 ROW_ORDER = ["date_id", "market_id", "commodity_id"]
@@ -26,14 +27,33 @@ def dynamic_filter(
     district: str | None = None, market_id: int | None = None,
 ) -> DataFrame:
     """Fact rows of any selection. A dimension is joined only if something of it is selected."""
-    fact = star.fact.select(*ROW_ORDER, *PRICE_COLUMNS).filter(all_of({"market_id": market_id}))
+    return _fact_rows(_selected(_fact_rows(star.fact), star, commodity, state_id, district, market_id))
+
+
+def _fact_rows(fact: DataFrame) -> DataFrame:
+    return fact.select(*ROW_ORDER, *PRICE_COLUMNS)
+
+
+def _selected(
+    rows: DataFrame, star: Star, commodity: str | None = None, state_id: int | None = None,
+    district: str | None = None, market_id: int | None = None,
+) -> DataFrame:
+    """Rows with market_id and commodity_id, of the fact or its summary, that belong to a selection."""
+    found = rows.filter(all_of({"market_id": market_id}))
     if state_id is not None or district:
         place = all_of({"state_id": state_id, "district": district or None})
-        fact = fact.join(star.market_dim.filter(place).select("market_id"), "market_id", "left_semi")
+        found = found.join(star.market_dim.filter(place).select("market_id"), "market_id", "left_semi")
     if commodity:
         named = star.commodity_dim.filter(F.col("commodity") == commodity).select("commodity_id")
-        fact = fact.join(named, "commodity_id", "left_semi")
-    return fact.select(*ROW_ORDER, *PRICE_COLUMNS)
+        found = found.join(named, "commodity_id", "left_semi")
+    return found
+
+
+def history_of(star: Star, rows: int = HISTORY_ROWS, **selection) -> DataFrame:
+    """price_history of a selection (as in dynamic_filter); on a stored star only months that hold these rows are opened."""
+    summary = None if star.usage is None else _selected(star.usage, star, **selection)
+    recent = _selected(_fact_rows(since_newest(star, summary, rows, [])), star, **selection)
+    return price_history(_fact_rows(recent), rows)
 
 
 def price_history(selection: DataFrame, rows: int = HISTORY_ROWS) -> DataFrame:
@@ -87,10 +107,9 @@ def with_volume(history: DataFrame, keys: list[str]) -> DataFrame:
 
 def compared(star: Star) -> DataFrame:
     """Unrounded averages, highest and lowest prices per market and commodity id."""
-    by_id = star.fact.groupBy("market_id", "commodity_id").agg(
-        ratio_of(F.sum("modal_price"), F.count(F.lit(1))).alias("average"),
-        F.max("max_price").alias("max_price"),
-        F.min("min_price").alias("min_price"),
+    by_id = figures(star, "market_id", "commodity_id").select(
+        "market_id", "commodity_id", ratio_of(F.col("total"), F.col("n")).alias("average"),
+        F.col("high").alias("max_price"), F.col("low").alias("min_price"),
     )
     return by_id.join(star.commodity_dim, "commodity_id")
 

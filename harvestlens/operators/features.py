@@ -13,6 +13,7 @@ from harvestlens.constants import (
 )
 from harvestlens.functions.dates import weekday_number
 from harvestlens.functions.numeric import sample_std
+from harvestlens.operators.usage import since_newest
 from harvestlens.sources.star_store import Star
 
 KEYS = ["market_id", "commodity_id"]
@@ -21,8 +22,18 @@ LAGS = (1, 7, 14)
 
 def fact_series(star: Star) -> DataFrame:
     """All series of the fact: keys, date, month, price."""
+    return _dated_prices(star.fact)
+
+
+def _dated_prices(fact: DataFrame) -> DataFrame:
     day = F.date_from_unix_date("date_id")
-    return star.fact.select(*KEYS, day.alias("arrival_date"), F.month(day).alias("month"), "modal_price")
+    return fact.select(*KEYS, day.alias("arrival_date"), F.month(day).alias("month"), "modal_price")
+
+
+def recent_series(star: Star, wanted: DataFrame, rows: int) -> DataFrame:
+    """The wanted series (distinct keys) with at least their newest `rows` rows; earlier months of a stored fact are not opened."""
+    asked = None if star.usage is None else star.usage.join(wanted, KEYS, "left_semi")
+    return _dated_prices(since_newest(star, asked, rows, KEYS).join(wanted, KEYS, "left_semi"))
 
 
 def eligible_series(series: DataFrame, keys: list[str] = KEYS, min_rows: int = MIN_SERIES_ROWS) -> DataFrame:

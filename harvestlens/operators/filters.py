@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvestlens.operators.usage import ids_in_use
 from harvestlens.sources.star_store import Star
 
 
@@ -30,15 +31,15 @@ def markets_in_district(star: Star, state_id: int, district: str) -> DataFrame:
 
 
 def commodities_in_market(star: Star, market_id: int) -> DataFrame:
-    """Names with any fact in the market; fact ids are reduced to distinct ones first."""
-    active = star.fact.filter(F.col("market_id") == market_id).select("commodity_id").distinct()
+    """Names with any fact in the market; ids are reduced to distinct ones first."""
+    active = ids_in_use(star).filter(F.col("market_id") == market_id).select("commodity_id").distinct()
     names = star.commodity_dim.join(active, "commodity_id", "left_semi")
     return names.select("commodity").distinct().orderBy("commodity")
 
 
 def commodities_by_market(star: Star) -> DataFrame:
     """commodities_in_market for every market at once."""
-    active = star.fact.select("market_id", "commodity_id").distinct()
+    active = ids_in_use(star).select("market_id", "commodity_id").distinct()
     return active.join(star.commodity_dim, "commodity_id").select("market_id", "commodity").distinct()
 
 

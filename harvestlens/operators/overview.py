@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from harvestlens.constants import DEFAULT_TRUST, MOVER_PCT
 from harvestlens.functions.numeric import exact_avg, ratio_of, round_half_even
+from harvestlens.operators.usage import distinct_ids, figures
 from harvestlens.sources.star_store import Star, between_days
 
 
@@ -79,13 +80,16 @@ def _evaluations(star: Star, state: str | None) -> DataFrame:
     return _in_state(star.model_evaluation, star, state)
 
 
+def _used(star: Star, state: str, count: str) -> DataFrame:
+    """A number of distinct ids with facts in a state, 0 if there are none."""
+    return distinct_ids(star, _state_markets(star, state), "state_id").agg(F.coalesce(F.sum(count), F.lit(0)).alias(count))
+
+
 # -- KPIs: each a one-row frame --------------------------------------------------------
 
 
 def kpi_total_records(star: Star, state: str | None = None) -> DataFrame:
-    if state is None:
-        return star.fact.agg(F.count(F.lit(1)).alias("total_records"))
-    counts = _in_state(star.fact.groupBy("market_id").agg(F.count(F.lit(1)).alias("n")), star, state)
+    counts = figures(star) if state is None else _in_state(figures(star, "market_id"), star, state)
     return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"))
 
 
@@ -93,15 +97,13 @@ def kpi_commodity_count(star: Star, state: str | None = None) -> DataFrame:
     """All (commodity, variety, grade) triples, or the distinct ids with facts in a state."""
     if state is None:
         return star.commodity_dim.agg(F.count(F.lit(1)).alias("total_commodities"))
-    pairs = _in_state(star.fact.select("market_id", "commodity_id").distinct(), star, state)
-    return pairs.agg(F.countDistinct("commodity_id").alias("total_commodities"))
+    return _used(star, state, "total_commodities")
 
 
 def kpi_market_count(star: Star, state: str | None = None) -> DataFrame:
     if state is None:
         return star.market_dim.agg(F.count(F.lit(1)).alias("total_markets"))
-    used = _in_state(star.fact.select("market_id").distinct(), star, state)
-    return used.agg(F.count(F.lit(1)).alias("total_markets"))
+    return _used(star, state, "total_markets")
 
 
 def kpi_state_count(star: Star, state: str | None = None) -> DataFrame:
@@ -221,17 +223,12 @@ def gainers_losers(star: Star, state: str | None = None) -> DataFrame:
 def overview_by_state(star: Star) -> DataFrame:
     """The overview of every state at once, one row per state (zeros where it has no facts).
 
-    One pass over the fact per (market, commodity) and one over the two last dates.
+    One pass over the usage summary and one over the facts of the two last dates.
     """
     latest, previous = _latest_id(star), _previous_id(star)
     markets = _state_markets(star, None)
 
-    pairs = star.fact.groupBy("market_id", "commodity_id").agg(F.count(F.lit(1)).alias("n"))
-    usage = pairs.join(markets, "market_id").groupBy("state_id").agg(
-        F.sum("n").alias("total_records"),
-        F.countDistinct("commodity_id").alias("total_commodities"),
-        F.countDistinct("market_id").alias("total_markets"),
-    )
+    usage = distinct_ids(star, markets, "state_id")
 
     two_days = between_days(star.fact, _last_two(star))
     days = _totals(two_days, "market_id", "commodity_id", "date_id").join(markets, "market_id")
@@ -305,7 +302,7 @@ def top_by_state(star: Star, k: int = 5) -> DataFrame:
 
 def priciest_commodities(star: Star, k: int = 10) -> DataFrame:
     """The k names of the highest average modal price over all dates."""
-    by_id = _totals(star.fact, "commodity_id").join(star.commodity_dim, "commodity_id")
+    by_id = figures(star, "commodity_id").join(star.commodity_dim, "commodity_id")
     averages = by_id.groupBy("commodity").agg(
         ratio_of(F.sum("total"), F.sum("n")).alias("avg_price")
     )
@@ -314,8 +311,7 @@ def priciest_commodities(star: Star, k: int = 10) -> DataFrame:
 
 def monthly_trend(star: Star) -> DataFrame:
     """Average modal price per name and calendar month over all years, as (month, price)."""
-    month = F.month(F.date_from_unix_date("date_id")).alias("month_number")
-    by_id = _totals(star.fact, "commodity_id", month)
+    by_id = figures(star, "commodity_id", "month").withColumnRenamed("month", "month_number")
     name = F.date_format(F.make_date(F.lit(2000), F.col("month_number"), F.lit(1)), "MMM")
     return (
         by_id.join(star.commodity_dim, "commodity_id")

@@ -140,7 +140,7 @@ def explorer_document(
 
     The history has the newest 90 rows. Varieties are compared only if a name and a market are selected.
     """
-    newest = explorer.price_history(explorer.dynamic_filter(star, commodity, state_id, district, market_id))
+    newest = explorer.history_of(star, commodity=commodity, state_id=state_id, district=district, market_id=market_id)
     point = [F.date_format("arrival_date", _ISO).alias("date"), *_cents(PRICE_COLUMNS), F.col("synthetic_volume").alias("arrival_volume")]
     place = F.struct(*explorer.ROW_ORDER).alias("place")
     history = _list(explorer.with_volume(newest, []).withColumn("place", place), "place", *point)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from harvestlens.constants import BUFFER_ROWS, NO_COMMODITY, NO_MODEL, TOO_SHORT
 from harvestlens.operators import forecast, models
-from harvestlens.operators.features import KEYS, fact_series
+from harvestlens.operators.features import KEYS, recent_series
 from harvestlens.operators.forecast import Predictor
 from harvestlens.sources.star_store import Star
 
@@ -31,7 +31,7 @@ def forecast_by_name(star: Star, fitted: DataFrame, market_id: int, commodity: s
     """Forecast of one market and name through its best-scored id; empty if there is none."""
     wanted = forecast.model_for_name(star).filter(f"market_id = {int(market_id)}")
     wanted = wanted.filter(wanted.commodity == commodity).select(*KEYS)
-    series = fact_series(star).join(wanted, KEYS, "left_semi")
+    series = recent_series(star, wanted, BUFFER_ROWS)
     return forecast_series(series, star.model_evaluation, fitted=fitted)
 
 
@@ -40,14 +40,14 @@ def forecast_requests(star: Star, fitted: DataFrame, importances: DataFrame, req
 
     requests: market_id, commodity_id, commodity; a request without an id goes by name, to the id with the best
     score. Returns the market, the id (NULL if the name is not sold there), the name asked for, `refusal` and `document`, of which
-    one is NULL. Repeated requests get one answer. Only the series asked for are read into buffers.
+    one is NULL. Repeated requests get one answer. Only the newest months of the series asked for are read.
     """
     asked = requests.select("market_id", "commodity_id", "commodity").distinct()
     by_name = forecast.model_for_name(star).select("market_id", "commodity", F.col("commodity_id").alias("found"))
     found = asked.join(by_name, ["market_id", "commodity"], "left").withColumn(
         "commodity_id", F.coalesce("commodity_id", "found")
     )
-    series = fact_series(star).join(found.select(*KEYS).distinct(), KEYS, "left_semi")
+    series = recent_series(star, found.select(*KEYS).distinct(), BUFFER_ROWS)
     lengths = forecast.latest_buffer(series).select(*KEYS, "n_rows")
     modelled = fitted.select(*KEYS, F.lit(True).alias("modelled"))
     documents = forecast.forecast_document(

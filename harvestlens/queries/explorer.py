@@ -118,7 +118,7 @@ moved AS (SELECT *, {rounded("price * CAST(1.2 AS DOUBLE) / CAST(10 AS DOUBLE) *
 
 _SELECTION = "(SELECT * FROM named WHERE commodity = 'PROMO' AND state_id = 2)"
 _ROWS = "date_id:l market_id:l commodity_id:l min_price:d max_price:d modal_price:d"
-_COMPARED = f"""
+COMPARED = f"""
 compared AS (SELECT market_id, commodity, variety, grade, {mean('modal_price')} AS average,
   {rounded(mean('modal_price'))} AS avg_price, max(max_price) AS max_price, min(min_price) AS min_price
   FROM named GROUP BY market_id, commodity, variety, grade)"""
@@ -146,13 +146,13 @@ SQL = {
     + typed("market_id:l commodity:s date_id:l commodity_id:l velocity:d elasticity_factor:d", "moved"),
     "synthetic_volume": f"WITH {STAR}, {_moved('market_id, commodity', 'named')} "
     + typed("market_id:l commodity:s date_id:l commodity_id:l modal_price:d synthetic_volume:d", "moved"),
-    "variety_comparison": f"WITH {STAR}, {_COMPARED} " + typed(
+    "variety_comparison": f"WITH {STAR}, {COMPARED} " + typed(
         "variety:s grade:s avg_price:d max_price:d min_price:d",
         "(SELECT * FROM compared WHERE market_id = 7 AND commodity = 'PROMO' ORDER BY average DESC, variety, grade)",
     ),
-    "variety_comparison_by_market": f"WITH {STAR}, {_COMPARED} "
+    "variety_comparison_by_market": f"WITH {STAR}, {COMPARED} "
     + typed("market_id:l commodity:s variety:s grade:s avg_price:d max_price:d min_price:d", "compared"),
-    "explorer_document": f"""WITH {STAR}, {_moved('market_id, commodity', 'named')}, {_COMPARED},
+    "explorer_document": f"""WITH {STAR}, {_moved('market_id, commodity', 'named')}, {COMPARED},
 histories AS (SELECT market_id, commodity, list({{'date': strftime(arrival_date, '%Y-%m-%d'),
     'min_price': {rounded('CAST(min_price AS DOUBLE)')}, 'max_price': {rounded('CAST(max_price AS DOUBLE)')},
     'modal_price': price, 'arrival_volume': synthetic_volume}} ORDER BY date_id, commodity_id) AS history
@@ -163,7 +163,7 @@ varieties AS (SELECT market_id, commodity, list({{'variety': variety, 'grade': g
 SELECT CAST(market_id AS BIGINT) AS market_id, commodity,
   CAST(to_json({{'history': history, 'varietyComparison': comparison}}) AS VARCHAR) AS document
 FROM histories JOIN varieties USING (market_id, commodity)""",
-    "explorer_document_of_selection": f"""WITH {STAR}, {_moved('selection', _SELECTIONS)}, {_COMPARED},
+    "explorer_document_of_selection": f"""WITH {STAR}, {_moved('selection', _SELECTIONS)}, {COMPARED},
 labels AS (SELECT unnest({list(_SELECTED)}) AS selection),
 histories AS (SELECT selection, list({{'date': strftime(arrival_date, '%Y-%m-%d'),
     'min_price': {rounded('CAST(min_price AS DOUBLE)')}, 'max_price': {rounded('CAST(max_price AS DOUBLE)')},

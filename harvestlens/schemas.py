@@ -55,6 +55,17 @@ STORED_FACT = T.StructType(FACT.fields + [
     T.StructField("year", T.IntegerType(), False),
     T.StructField("month", T.IntegerType(), False),
 ])
+# The fact summed per month, market and commodity: number of rows, sum of the modal price, lowest and highest price.
+USAGE_SUMMARY = T.StructType([
+    T.StructField("market_id", T.IntegerType(), False),
+    T.StructField("commodity_id", T.IntegerType(), False),
+    T.StructField("n", T.LongType(), False),
+    T.StructField("total", T.DecimalType(28, 2), False),
+    T.StructField("low", PRICE, False),
+    T.StructField("high", PRICE, False),
+    T.StructField("year", T.IntegerType(), False),
+    T.StructField("month", T.IntegerType(), False),
+])
 # Where a row stands in the files it came from; NULL where the source has no files.
 SEQUENCE = T.StructType([
     T.StructField("file", T.StringType()),
@@ -117,6 +128,7 @@ STAR_TABLES = {
     "market_dim": MARKET_DIM,
     "date_dim": DATE_DIM,
     "fact_market_prices": STORED_FACT,
+    "usage_summary": USAGE_SUMMARY,
     "landed_quotes": LANDED_QUOTES,
     "rejects": REJECTS,
     "load_log": LOAD_LOG,

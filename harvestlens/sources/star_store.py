@@ -1,10 +1,12 @@
 """The star schema as Parquet tables below one folder.
 
 Dimensions only ever grow, so loads append to them. Facts are kept by month and sorted by day; where a
-day is loaded again from the quotes kept as they came, the files that hold its rows are replaced. One writer at a time. The
+day is loaded again from the quotes kept as they came, the files that hold its rows are replaced. Next to the fact stands its
+summary per month, market and commodity, brought up to date with every change. One writer at a time. The
 model tables are upserted: each upsert writes a new generation next to the last finished one.
 """
 
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -12,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestlens.schemas import STAR_TABLES
+from harvestlens.sources.summary import USAGE_KEYS, dated, merged, month_number, summarise
+
+FACT, USAGE = "fact_market_prices", "usage_summary"
 
 
 @dataclass
@@ -25,6 +30,7 @@ class Star:
     fact: DataFrame
     model_evaluation: DataFrame | None = None
     feature_importance: DataFrame | None = None
+    usage: DataFrame | None = None
 
 
 class StarStore:
@@ -55,16 +61,16 @@ class StarStore:
         rows.select(*STAR_TABLES[table].fieldNames()).write.mode("append").parquet(self.path(table))
 
     def append_fact(self, fact: DataFrame) -> None:
-        """Append fact rows to folders by year and month.
+        """Append fact rows to folders by year and month, and add them to the summary.
 
         The range shuffle gives every task neighbouring rows: few files per month, tight
-        min/max statistics on the keys, and a busy month split over several tasks.
+        min/max statistics on the keys, and a busy month split over several tasks. The rows are written aside and
+        moved, so either all of them or none arrive.
         """
-        (
-            fact_layout(fact)
-            .write.mode("append").partitionBy("year", "month")
-            .parquet(self.path("fact_market_prices"))
-        )
+        self.finish_replacing(FACT)
+        self._write_aside(FACT, fact_layout(fact), [])
+        self.finish_replacing(FACT)
+        self.refresh_usage()
 
     def land(self, quotes: DataFrame) -> str:
         """Keep typed quotes as they came, by month of arrival and load; returns the load's name.
@@ -114,33 +120,105 @@ class StarStore:
         day = F.date_from_unix_date("date_id")
         fresh = rows.withColumns({"year": F.year(day), "month": F.month(day)})
         order = ["year", "month", "date_id", *[c for c in ("market_id", "commodity_id") if c in names]]
+        changed = kept.select(*names).unionByName(fresh.select(*names))
+        self._write_aside(table, changed.repartitionByRange(*order).sortWithinPartitions(*order), old)
+        self.finish_replacing(table)
+        if table == FACT:
+            self.refresh_usage()
+
+    def _write_aside(self, table: str, rows: DataFrame, old: list[str]) -> None:
+        """Write laid out rows next to the table, with the list of the files that they replace."""
         aside = f"_replacing/{table}/{uuid.uuid4().hex}"
         self.spark.createDataFrame([(f,) for f in old], "file string").coalesce(1).write.parquet(self.path(f"{aside}/old"))
-        (
-            kept.select(*names).unionByName(fresh.select(*names))
-            .repartitionByRange(*order).sortWithinPartitions(*order)
-            .write.partitionBy("year", "month").parquet(self.path(f"{aside}/rows"))
-        )
-        self.finish_replacing(table)
+        rows.select(*STAR_TABLES[table].fieldNames()).write.partitionBy("year", "month").parquet(self.path(f"{aside}/rows"))
 
     def finish_replacing(self, table: str) -> None:
-        """Complete replacements whose rows are all written aside, drop those that are not; each step can be repeated."""
+        """Complete replacements whose rows are all written aside, drop those that are not; each step can be repeated.
+
+        Months of the fact are marked before their files change. Rows that only come in addition are merged into the summary of
+        their months, which removes the marks; marks left by a replacement or a crash are for `refresh_usage`.
+        """
         root, files = self._folder(f"_replacing/{table}")
         Path = self.spark._jvm.org.apache.hadoop.fs.Path
         for entry in files.listStatus(root) if files.exists(root) else []:
             aside = entry.getPath()
             if files.exists(Path(aside, "rows/_SUCCESS")):
-                for r in self.spark.read.parquet(str(Path(aside, "old"))).collect():
-                    files.delete(Path(self.spark._jvm.java.net.URI(r.file)), False)
-                written = files.listFiles(Path(aside, "rows"), True)
+                old = [r.file for r in self.spark.read.parquet(str(Path(aside, "old"))).collect()]
+                sources, written = [], files.listFiles(Path(aside, "rows"), True)
                 while written.hasNext():
                     source = written.next().getPath()
                     if source.getName().endswith(".parquet"):
-                        target = Path(f"{self.path(table)}/" + "/".join(str(source).split("/")[-3:]))
-                        files.mkdirs(target.getParent())
-                        files.rename(source, target)
+                        sources.append(source)
+                months = sorted({"/".join(f.split("/")[-3:-1]) for f in [*old, *map(str, sources)]})
+                mark = self._mark(months) if table == FACT else None
+                merging = mark and sources and not old
+                if merging:
+                    self._merge_usage(str(Path(aside, "rows")), months)
+                for f in old:
+                    files.delete(Path(self.spark._jvm.java.net.URI(f)), False)
+                for source in sources:
+                    target = Path(f"{self.path(table)}/" + "/".join(str(source).split("/")[-3:]))
+                    files.mkdirs(target.getParent())
+                    files.rename(source, target)
+                if merging:
+                    files.delete(mark, False)
             files.delete(aside, True)
 
+    # -- the usage summary ----------------------------------------------------------------
+
+    def months(self, table: str) -> list[str]:
+        """The month folders (year=.../month=...) of a table."""
+        path, files = self._folder(table)
+        found = files.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(path, "year=*/month=*"))
+        return sorted("/".join(str(entry.getPath()).split("/")[-2:]) for entry in found or [])
+
+    def _marks(self) -> list:
+        path, files = self._folder("_usage_stale")
+        return [entry.getPath() for entry in files.listStatus(path)] if files.exists(path) else []
+
+    def stale_months(self) -> list[str]:
+        """Months whose summary has to be built again from the fact."""
+        marks = [str(path) for path in self._marks()]
+        lines = self.spark.read.text(marks).distinct().collect() if marks else []
+        return sorted(r.value for r in lines if re.fullmatch(r"year=\d+/month=\d+", r.value))
+
+    def _mark(self, months: list[str]):
+        """Mark months; returns the mark if their summaries can be merged with new rows.
+
+        They can't if one of them was marked before, or if the fact is older than the summary: then all its months are marked.
+        """
+        stale, older = self.stale_months(), [] if self.exists(USAGE) else self.months(FACT)
+        mark, files = self._folder(f"_usage_stale/{uuid.uuid4().hex}")
+        file = files.create(mark, True)
+        file.write(bytearray("\n".join({*months, *older}), "utf-8"))
+        file.close()
+        return None if older or {*stale} & {*months} else mark
+
+    def _write_usage(self, summary: DataFrame) -> None:
+        """Replace the summary of the months that occur, sorted by series: one series is in few row groups of a month."""
+        (
+            summary.repartitionByRange(*USAGE_KEYS).sortWithinPartitions(*USAGE_KEYS)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("year", "month").parquet(self.path(USAGE))
+        )
+
+    def _merge_usage(self, added: str, months: list[str]) -> None:
+        delta = summarise(self.spark.read.schema(STAR_TABLES[FACT]).parquet(added))
+        self._write_usage(merged(self.read_folders(USAGE, months).unionByName(delta)))
+
+    def refresh_usage(self) -> None:
+        """Build the summary of marked months again, from the facts of these months only."""
+        if not self.exists(USAGE) and self.exists(FACT):
+            self._mark([])
+        marks, (_, files) = self._marks(), self._folder(USAGE)
+        stale = self.stale_months()
+        for month in stale:
+            files.delete(self._folder(f"{USAGE}/{month}")[0], True)
+        if any(self.exists(f"{FACT}/{month}") for month in stale):
+            self._write_usage(summarise(self.read_folders(FACT, stale)))
+        for mark in marks:
+            files.delete(mark, False)
+
     def _generations(self, table: str) -> list[int]:
         """Finished generations, oldest first."""
         path, files = self._folder(table)
@@ -173,31 +251,24 @@ class StarStore:
         )
 
     def star(self) -> Star:
-        self.finish_replacing("fact_market_prices")
+        self.finish_replacing(FACT)
+        self.refresh_usage()
         return Star(
             state_dim=self.read("state_dim"),
             market_dim=self.read("market_dim"),
             commodity_dim=self.read("commodity_dim"),
             date_dim=self.read("date_dim"),
-            fact=self.read("fact_market_prices"),
+            fact=self.read(FACT),
             model_evaluation=self.read_latest("model_evaluation"),
             feature_importance=self.read_latest("feature_importance"),
+            usage=self.read(USAGE),
         )
 
 
 def fact_layout(fact: DataFrame) -> DataFrame:
     """Fact rows with year and month, laid out by range of (year, month, day, market, commodity)."""
-    day = F.date_from_unix_date("date_id")
     order = ["year", "month", "date_id", "market_id", "commodity_id"]
-    return (
-        fact.withColumns({"year": F.year(day), "month": F.month(day)})
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-    )
-
-
-def _month_number(year: Column, month: Column) -> Column:
-    return year * 12 + month
+    return dated(fact).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def between_days(rows: DataFrame, low: DataFrame, high: DataFrame | None = None) -> DataFrame:
@@ -209,14 +280,14 @@ def between_days(rows: DataFrame, low: DataFrame, high: DataFrame | None = None)
     question are opened.
     """
     by_month = {"year", "month"} <= set(rows.columns)
-    number = _month_number(F.col("year"), F.col("month")) if by_month else None
+    number = month_number(F.col("year"), F.col("month")) if by_month else None
     found = rows
     for day, beyond in ((low, "__ge__"), (high, "__le__")):
         if day is None:
             continue
         one = day.toDF("day")
         if by_month:
-            found = found.filter(getattr(number, beyond)(one.select(_month_number(F.year("day"), F.month("day"))).scalar()))
+            found = found.filter(getattr(number, beyond)(one.select(month_number(F.year("day"), F.month("day"))).scalar()))
         found = found.filter(getattr(F.col("date_id"), beyond)(one.select(F.unix_date("day")).scalar()))
     return found
 

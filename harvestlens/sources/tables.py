@@ -192,6 +192,7 @@ class TradeTables:
         return persistence_eval(fact_series(self))
 
     feature_importance = None
+    usage = None
 
     def last_days(self, days: int) -> "TradeTables":
         """The same star with the fact from `days` before the latest date on.

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime
 from collections import Counter
 from decimal import Decimal
@@ -7,10 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from harvestlens import session
-from harvestlens.operators import audit, dimensions, fact, filters, overview
+from harvestlens.operators import audit, dimensions, explorer, fact, features, filters, forecast, overview
+from harvestlens.operators.usage import distinct_ids
 from harvestlens.plans import ingest
 from harvestlens.sources import daily_files
-from harvestlens.sources.star_store import StarStore, bulk_upsert
+from harvestlens.sources.star_store import Star, StarStore, bulk_upsert
+from harvestlens.sources.summary import summarise
 from harvestlens.streaming.ingest import stream_daily_ingest
 from test_cleaning import write_csv
 
@@ -351,3 +354,122 @@ def test_a_load_accounts_for_every_row_and_leaves_no_scratch(spark, quotes_of, n
     assert last[1, "repeated key"] == 1 and last[1, "inserted"] == 2 and last[1, "repeated row"] == 9 and last[None, "bad date"] == 1
     assert [r.state for r in out["rejects"].collect()] == ["Atlantis"]
     assert used and not any(path.exists() for path in used)
+
+
+def summary_of(store):
+    """The kept summary, and the one that the stored facts give."""
+    star = store.star()
+    return Counter(map(tuple, star.usage.collect())), Counter(map(tuple, summarise(star.fact).collect()))
+
+
+def test_the_usage_summary_follows_every_change(spark, quotes_of, no_names, tmp_path, monkeypatch):
+    """Appends, a repeated load, reloads that change and empty days, a crash before and after the files moved, an older store."""
+    store = StarStore(spark, str(tmp_path / "store"))
+    assert store.star().usage.count() == 0
+    quote = lambda day, price, market="m1": ("Goa", market, "Wheat", day, price, price, price)
+    for day, price in (("05/01/2024", 10), ("06/01/2024", 12), ("07/02/2024", 11)):
+        ingest.load_quotes(store, quotes_of([quote(day, price)]), no_names)
+        kept, anew = summary_of(store)
+        assert kept == anew and store.stale_months() == []
+    (january,) = [r for r in store.star().usage.collect() if r.month == 1]
+    assert (january.n, january.total, january.low, january.high) == (2, Decimal("22.00"), Decimal("10.00"), Decimal("12.00"))
+    february = {p: p.stat().st_mtime_ns for p in (tmp_path / "store/usage_summary/year=2024/month=2").iterdir()}
+    ingest.load_quotes(store, quotes_of([quote("05/01/2024", 9)]), no_names)  # loaded before: late
+    wrong_order = [("Goa", f"m{i}", "Wheat", "06/01/2024", 1009, 1000 + i, 1010) for i in range(9)]
+    ingest.load_quotes(store, quotes_of(wrong_order), no_names, reload=True)
+    kept, anew = summary_of(store)
+    assert kept == anew and sum(r[2] for r in kept) == 2
+    assert {p: p.stat().st_mtime_ns for p in february} == february
+    alone = [(s, m.replace("m", "n"), c, "07/02/2024", *p) for s, m, c, _, *p in wrong_order]
+    ingest.load_quotes(store, quotes_of(alone), no_names, reload=True)
+    kept, anew = summary_of(store)
+    assert kept == anew and {r[7] for r in kept} == {1}
+    with monkeypatch.context() as patch:  # dies before the rows are summed
+        patch.setattr(StarStore, "_merge_usage", lambda self, rows, months: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.load_quotes(store, quotes_of([quote("08/01/2024", 7)]), no_names)
+    kept, anew = summary_of(store)
+    assert kept == anew and sum(r[2] for r in kept) == 2
+    with monkeypatch.context() as patch:  # dies when the files have moved
+        patch.setattr(StarStore, "refresh_usage", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.load_quotes(store, quotes_of([quote("08/01/2024", 6)]), no_names, reload=True)
+    assert store.stale_months() == ["year=2024/month=1"]
+    kept, anew = summary_of(store)
+    assert kept == anew and store.stale_months() == []
+    (tmp_path / "store/usage_summary").rename(tmp_path / "before")  # written by a version without summaries
+    ingest.load_quotes(store, quotes_of([quote("01/03/2024", 7, "m2")]), no_names)
+    kept, anew = summary_of(store)
+    assert kept == anew and {r[7] for r in kept} == {1, 3}
+
+
+def rows_read(table, name):
+    """Files and rows that the scans of a stored table read."""
+    scans = [s for s in scans_of(table) if name in s.relation().location().rootPaths().mkString()]
+    of = lambda metric: sum(s.metrics().apply(metric).value() for s in scans)
+    return of("numFiles") if scans else 0, of("numOutputRows") if scans else 0
+
+
+def many_months(spark, quotes_of, no_names, tmp_path):
+    store = StarStore(spark, str(tmp_path / "store"))
+    days = [f"{d:02d}/{m:02d}/{y}" for y in (2023, 2024) for m in range(1, 13) for d in (10, 11)]
+    markets = [("Goa", "m1", 1), ("Goa", "m2", 2), ("Odisha", "m3", 4)]
+    rows = [(state, m, c, day, p, p, p) for day in days for state, m, p in markets for c in ("Wheat", "Rice")]
+    sold_before = [("Goa", "m1", "Ragi", f"{d:02d}/03/2023", 3, 3, 3) for d in range(1, 9)]
+    ingest.load_quotes(store, quotes_of(rows + sold_before), no_names)
+    return store
+
+
+def test_counts_and_newest_rows_come_without_the_whole_fact(spark, quotes_of, no_names, tmp_path):
+    store = many_months(spark, quotes_of, no_names, tmp_path)
+    star = store.star()
+    bare = dataclasses.replace(star, usage=None)
+    facts = "fact_market_prices"
+    for table in (
+        overview.kpi_total_records(star), overview.kpi_total_records(star, "Goa"), overview.kpi_market_count(star, "Goa"),
+        overview.kpi_commodity_count(star, "Goa"), overview.priciest_commodities(star), overview.monthly_trend(star),
+        filters.commodities_in_market(star, 1), explorer.variety_comparison_by_market(star),
+    ):
+        table.collect()
+        assert rows_read(table, facts) == (0, 0) and rows_read(table, "usage_summary")[0] > 0
+    kpis = overview.overview_kpis(star, "Goa")
+    assert kpis.collect() == overview.overview_kpis(bare, "Goa").collect()
+    assert rows_read(kpis, facts)[1] <= 6  # the latest day, for its average
+    in_order = lambda table: sorted(map(repr, table.collect()))
+    for same in (
+        overview.overview_by_state, overview.monthly_trend, overview.priciest_commodities, filters.commodities_by_market,
+        explorer.variety_comparison_by_market, lambda s: overview.kpi_commodity_count(s, "Nowhere"),
+        lambda s: overview.kpi_market_count(s, "Goa"), lambda s: overview.kpi_total_records(s, "Kerala"),
+    ):
+        assert in_order(same(star)) == in_order(same(bare))
+    for rows, selection, months in (
+        (5, {"market_id": 1, "commodity": "Wheat"}, 3), (4, {"commodity": "Rice", "state_id": 6}, None),
+        (5, {}, 1), (90, {"market_id": 2}, 24), (3, {"commodity": "Ragi"}, 22), (3, {"commodity": "none"}, 0),
+    ):
+        history = explorer.history_of(star, rows, **selection)
+        assert history.collect() == explorer.price_history(explorer.dynamic_filter(bare, **selection), rows).collect()
+        if months is not None:
+            assert rows_read(history, facts)[0] <= months * 3  # a month has at most as many files as days and a cut range
+
+
+def test_forecast_requests_read_the_newest_months(spark, quotes_of, no_names, tmp_path):
+    star = many_months(spark, quotes_of, no_names, tmp_path).star()
+    keys = star.usage.select("market_id", "commodity_id").distinct()
+    series = features.recent_series(star, keys.join(star.commodity_dim.filter("commodity = 'Wheat'"), "commodity_id").select(*keys.columns), 14)
+    assert {r["count"] for r in series.groupBy("market_id").count().collect()} == {14}
+    series.collect()
+    assert rows_read(series, "fact_market_prices")[1] <= 7 * 2 * 6
+    whole = dataclasses.replace(star, usage=None)
+    buffers = lambda s: sorted(map(repr, forecast.latest_buffer(features.recent_series(s, keys, 14)).collect()))
+    assert buffers(star) == buffers(whole)
+
+
+def test_distinct_ids_beyond_one_bitmap(spark):
+    """Ids of several bitmaps, 0 among them, repeated, of a hot market, and of a market that no place has."""
+    schema = "market_id int, commodity_id int, n long, total decimal(28,2), low decimal(12,2), high decimal(12,2), year int, month int"
+    ids = [0, 1, 32767, 32768, 32769, 65536, 65537, 100000]
+    rows = [(m, c, 2, Decimal(1), Decimal(1), Decimal(1), 2024, month) for m in (0, 1, 40000, 9) for c in ids[m % 3:] for month in (1, 2)]
+    star = Star(None, None, None, None, None, usage=spark.createDataFrame(rows, schema))
+    places = spark.createDataFrame([(0, 1), (1, 1), (40000, 2)], "market_id int, state_id int")
+    got = {r.state_id: tuple(r)[1:] for r in distinct_ids(star, places, "state_id").collect()}
+    assert got == {1: (2 * 2 * 15, 8, 2), 2: (2 * 2 * 7, 7, 1)}
