@@ -1,9 +1,12 @@
 """What the star schema's constraints would refuse, as a report of violations."""
 
+from dataclasses import dataclass, field
 from functools import reduce
+from itertools import zip_longest
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _report(table: str, rule: str, violations: DataFrame) -> DataFrame:
@@ -18,49 +21,109 @@ def unique_violations(table: str, df: DataFrame, keys: list[str]) -> DataFrame:
     return _report(table, f"unique({', '.join(keys)})", repeated)
 
 
-def table_violations(
-    table: str, df: DataFrame, keys: list[str], references: dict[str, DataFrame] | None = None, not_null: list[str] | None = None
-) -> DataFrame:
-    """Repeats of a key, orphans of references among the key's columns, and NULLs, from one aggregate on the key.
+TRIPLE, PLACE, SERIES = ["commodity", "variety", "grade"], ["market", "district", "state_id"], ["market_id", "commodity_id"]
+OF_SERIES = {"market_id": "market_dim", "commodity_id": "commodity_dim"}
 
-    Rows are counted per key before any parent is joined; a parent's repeated ids count once.
+
+@dataclass
+class Rules:
+    """Unique keys, references (column: table with that key) and NOT NULL columns of a table."""
+
+    unique: list[list[str]]
+    references: dict[str, str] = field(default_factory=dict)
+    not_null: list[str] = field(default_factory=list)
+
+
+STAR_RULES = {
+    "state_dim": Rules([["state_id"], ["state"]], not_null=["state"]),
+    "commodity_dim": Rules([["commodity_id"], TRIPLE], not_null=TRIPLE),
+    "market_dim": Rules([["market_id"], PLACE], {"state_id": "state_dim"}, ["market", "district"]),
+    "date_dim": Rules([["date_id"], ["arrival_date"]], not_null=["arrival_date", "day", "month", "year", "weekday"]),
+    "fact_market_prices": Rules(
+        [["date_id", *SERIES]], {"date_id": "date_dim"} | OF_SERIES, ["min_price", "max_price", "modal_price"]
+    ),
+    "model_evaluation": Rules([SERIES], OF_SERIES),
+    "feature_importance": Rules([[*SERIES, "feature_name"]], OF_SERIES),
+}
+_NUMBERS, _TEXTS = ["i0", "i1", "i2"], ["s0", "s1", "s2"]
+
+
+def _slots(df: DataFrame, keys: list[str]) -> list[Column]:
+    """A key of up to three numbers (days count as such) and three texts, in typed columns that all keys share."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    texts = [F.col(k) for k in keys if isinstance(kinds[k], T.StringType)]
+    numbers = [
+        F.unix_date(k) if isinstance(kinds[k], T.DateType) else F.col(k) for k in keys if not isinstance(kinds[k], T.StringType)
+    ]
+    filled = [
+        *[(n.cast("long"), name) for n, name in zip_longest(numbers, _NUMBERS, fillvalue=F.lit(None))],
+        *[(t.cast("string"), name) for t, name in zip_longest(texts, _TEXTS, fillvalue=F.lit(None))],
+    ]
+    return [value.alias(name) for value, name in filled]
+
+
+def violations(tables: dict[str, DataFrame], rules: dict[str, Rules]) -> DataFrame:
+    """(table_name, rule, n) for every rule, from one shuffle of all tables' keys.
+
+    Every row becomes one entry per key it has and per key it refers to. Entries are counted by (key's number, key): a key that
+    its own table holds twice is a repeat, one that only other tables hold has orphans. Tasks combine entries before the
+    shuffle, so a key that a third of all rows refer to is one entry per task. NULL is a value of a unique key, and refers to nothing.
+    NULLs in columns that may not have any are entries as well, one number per column.
     """
-    references, not_null = references or {}, not_null or []
-    nulls = {f"not null({c})": F.count_if(F.col(c).isNull()) for c in not_null}
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), *[n.alias(rule) for rule, n in nulls.items()])
-    for key, parent in references.items():
-        counted = counted.join(parent.select(key, F.lit(True).alias(f"{key} exists")).distinct(), key, "left")
-    orphan = {f"references({c})": F.col(c).isNotNull() & F.col(f"`{c} exists`").isNull() for c in references}
-    totals = [F.count_if(F.col("copies") > 1).alias(f"unique({', '.join(keys)})")]
-    totals += [F.coalesce(F.sum(F.when(test, F.col("copies"))), F.lit(0)).alias(rule) for rule, test in orphan.items()]
-    totals += [F.coalesce(F.sum(f"`{rule}`"), F.lit(0)).alias(rule) for rule in nulls]
-    report = counted.agg(*totals)
-    entries = [F.struct(F.lit(c).alias("rule"), F.col(f"`{c}`").alias("n")) for c in report.columns]
-    return report.select(F.lit(table).alias("table_name"), F.explode(F.array(*entries)).alias("entry")).select("table_name", "entry.*")
+    rules = {name: rule for name, rule in rules.items() if name in tables}
+    numbers = {key: i for i, key in enumerate([
+        *[(name, *key) for name, rule in rules.items() for key in rule.unique],
+        *[(name, "not null", c) for name, rule in rules.items() for c in rule.not_null],
+    ])}
+    users = {}  # of a key: the tables that refer to it
+    for name, rule in rules.items():
+        for c, parent in rule.references.items():
+            users.setdefault((parent, c), []).append(name)
+    counts = ["own", *[f"user_{i}" for i in range(max(map(len, users.values())))]]
 
+    def entry(df: DataFrame, number: int, key: list[str], count: str) -> Column:
+        filled = [F.lit(int(c == count)).cast("long").alias(c) for c in counts]
+        return F.struct(F.lit(number).alias("key"), *_slots(df, key), *filled)
 
-def constraint_audit(star) -> DataFrame:
-    """(table_name, rule, n) for every key, reference and NOT NULL of the star; one aggregate per table and key."""
-    market, commodity = {"market_id": star.market_dim}, {"commodity_id": star.commodity_dim}
-    triple, place = ["commodity", "variety", "grade"], ["market", "district", "state_id"]
-    reports = [
-        unique_violations("state_dim", star.state_dim, ["state_id"]),
-        table_violations("state_dim", star.state_dim, ["state"], not_null=["state"]),
-        unique_violations("commodity_dim", star.commodity_dim, ["commodity_id"]),
-        table_violations("commodity_dim", star.commodity_dim, triple, not_null=triple),
-        unique_violations("market_dim", star.market_dim, ["market_id"]),
-        table_violations("market_dim", star.market_dim, place, {"state_id": star.state_dim}, ["market", "district"]),
-        unique_violations("date_dim", star.date_dim, ["date_id"]),
-        table_violations("date_dim", star.date_dim, ["arrival_date"], not_null=["arrival_date", "day", "month", "year", "weekday"]),
-        table_violations(
-            "fact_market_prices", star.fact, ["date_id", "market_id", "commodity_id"],
-            {"date_id": star.date_dim} | market | commodity, ["min_price", "max_price", "modal_price"],
-        ),
+    entries = []
+    for name, rule in rules.items():
+        df = tables[name]
+        all_keys = [entry(df, numbers[name, *key], key, "own") for key in rule.unique]
+        all_keys += [entry(df, numbers[p, c], [c], f"user_{users[p, c].index(name)}") for c, p in rule.references.items()]
+        found = F.array(*all_keys)
+        if rule.not_null:
+            missing = [F.when(F.col(c).isNull(), entry(df, numbers[name, "not null", c], [], "own")) for c in rule.not_null]
+            some_missing = reduce(Column.__or__, [F.col(c).isNull() for c in rule.not_null])
+            found = F.when(some_missing, F.concat(found, F.array(*missing))).otherwise(found)
+        entries.append(df.select(F.inline(found)).filter("key IS NOT NULL"))
+    by_key = reduce(DataFrame.unionByName, entries).groupBy("key", *_NUMBERS, *_TEXTS).agg(*[F.sum(c).alias(c) for c in counts])
+    some = F.coalesce(*[F.col(c).cast("string") for c in _NUMBERS + _TEXTS]).isNotNull()
+    orphans = [F.sum(F.when((F.col("own") == 0) & some, F.col(c)).otherwise(0)).alias(c) for c in counts[1:]]
+    per_key = by_key.groupBy("key").agg(F.sum("own").alias("own"), F.count_if(F.col("own") > 1).alias("repeats"), *orphans)
+
+    report = []
+    for name, rule in rules.items():
+        report += [(name, f"unique({', '.join(key)})", numbers[name, *key], "repeats") for key in rule.unique]
+        report += [
+            (name, f"references({c})", numbers[p, c], f"user_{users[p, c].index(name)}") for c, p in rule.references.items()
+        ]
+        report += [(name, f"not null({c})", numbers[name, "not null", c], "own") for c in rule.not_null]
+    totals = per_key.agg(*[
+        F.coalesce(F.max(F.when(F.col("key") == number, F.col(count))), F.lit(0)).cast("long").alias(f"n{i}")
+        for i, (_, _, number, count) in enumerate(report)
+    ])
+    rows = [
+        F.struct(F.lit(name).alias("table_name"), F.lit(rule).alias("rule"), F.col(f"n{i}").alias("n"))
+        for i, (name, rule, _, _) in enumerate(report)
     ]
-    for name, table, keys in (
-        ("model_evaluation", star.model_evaluation, ["market_id", "commodity_id"]),
-        ("feature_importance", star.feature_importance, ["market_id", "commodity_id", "feature_name"]),
-    ):
-        if table is not None:
-            reports.append(table_violations(name, table, keys, market | commodity))
-    return reduce(DataFrame.unionByName, reports)
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def constraint_audit(star) -> DataFrame:
+    """(table_name, rule, n) for every key, reference and NOT NULL of the star."""
+    tables = {
+        "state_dim": star.state_dim, "commodity_dim": star.commodity_dim, "market_dim": star.market_dim,
+        "date_dim": star.date_dim, "fact_market_prices": star.fact,
+        "model_evaluation": star.model_evaluation, "feature_importance": star.feature_importance,
+    }
+    return violations({name: table for name, table in tables.items() if table is not None}, STAR_RULES)

@@ -14,7 +14,7 @@ from harvestlens.queries.features import features_sql, guards_sql
 from harvestlens.queries.models import ridge_sql
 from harvestlens.session import scratch_path, write_and_read
 from harvestlens.sources import daily_files, lookups, star_store
-from harvestlens.sources.star_store import StarStore
+from harvestlens.sources.star_store import Star, StarStore
 from harvestlens.sources.tables import TradeTables
 
 
@@ -121,7 +121,13 @@ def bulk_upsert(spark, sf_dir):
 
 
 def constraint_audit(spark, sf_dir):
-    return audit.constraint_audit(TradeTables(spark, sf_dir))
+    """Every rule of the star; the fact is built and written once, for itself and for the metrics of its series."""
+    tables = TradeTables(spark, sf_dir)
+    star = Star(
+        tables.state_dim, tables.market_dim, tables.commodity_dim, tables.date_dim, write_and_read(tables.fact, "fact")
+    )
+    star.model_evaluation = evaluation.persistence_eval(features.fact_series(star))
+    return audit.constraint_audit(star)
 
 
 def raw_key_audit(spark, sf_dir):

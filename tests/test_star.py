@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from harvestlens import session
+from harvestlens import schemas, session
 from harvestlens.operators import audit, dimensions, explorer, fact, features, filters, forecast, overview
 from harvestlens.operators.usage import distinct_ids
 from harvestlens.plans import ingest
@@ -473,3 +473,37 @@ def test_distinct_ids_beyond_one_bitmap(spark):
     places = spark.createDataFrame([(0, 1), (1, 1), (40000, 2)], "market_id int, state_id int")
     got = {r.state_id: tuple(r)[1:] for r in distinct_ids(star, places, "state_id").collect()}
     assert got == {1: (2 * 2 * 15, 8, 2), 2: (2 * 2 * 7, 7, 1)}
+
+
+def test_the_audit_is_one_shuffle_and_finds_every_kind_of_fault(spark):
+    """Repeats, orphans and NULLs of each table; NULL keys repeat like values and refer to nothing; empty tables give zeros."""
+    make = lambda table, *rows: spark.createDataFrame(
+        rows, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.STAR_TABLES[table].fields if f.name not in ("year", "month") or table == "date_dim")
+    )
+    day = lambda i: (i, EPOCH + datetime.timedelta(i), 1, 1, 1970, None if i == 2 else "Fri")
+    p = Decimal(1)
+    star = Star(
+        make("state_dim", (1, "a"), (2, "a"), (2, None)),
+        make("market_dim", (1, "m", "d", 1), (2, "m", "d", 1), (3, "m", "d", 9), (4, None, "d", None), (5, "m\x1fd", "", 1), (6, "m", "\x1fd", 1)),
+        make("commodity_dim", (1, "c", "v", "g"), (2, "c", "v", None), (3, "c", "v", None)),
+        make("date_dim", day(1), day(2), day(2)),
+        make("fact_market_prices", *[(1, 1, 1, p, p, p)] * 3, (1, 7, 1, p, p, p), (5, 7, 8, p, None, p), (None, 1, 1, p, p, None), (None, 1, 1, p, p, p)),
+        make("model_evaluation", (1, 1, p, p, p), (1, 9, p, p, p)),
+        make("feature_importance"),
+    )
+    report = audit.constraint_audit(star)
+    rows = report.collect()
+    assert len(rows) == 33 and {(r.table_name, r.rule): r.n for r in rows if r.n} == {
+        ("state_dim", "unique(state_id)"): 1, ("state_dim", "unique(state)"): 1, ("state_dim", "not null(state)"): 1,
+        ("market_dim", "unique(market, district, state_id)"): 1, ("market_dim", "references(state_id)"): 1, ("market_dim", "not null(market)"): 1,
+        ("commodity_dim", "unique(commodity, variety, grade)"): 1, ("commodity_dim", "not null(grade)"): 2,
+        ("date_dim", "unique(date_id)"): 1, ("date_dim", "unique(arrival_date)"): 1, ("date_dim", "not null(weekday)"): 2,
+        ("fact_market_prices", "unique(date_id, market_id, commodity_id)"): 2, ("fact_market_prices", "references(date_id)"): 1,
+        ("fact_market_prices", "references(market_id)"): 2, ("fact_market_prices", "references(commodity_id)"): 1,
+        ("fact_market_prices", "not null(max_price)"): 1, ("fact_market_prices", "not null(modal_price)"): 1,
+        ("model_evaluation", "references(commodity_id)"): 1,
+    }
+    plan = audit.constraint_audit(star)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 3  # the keys; two sums of a row per key's number and task
+    star.model_evaluation = star.feature_importance = None
+    assert audit.constraint_audit(star).count() == 27
