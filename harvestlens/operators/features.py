@@ -14,7 +14,7 @@ from harvestlens.constants import (
 from harvestlens.functions.dates import weekday_number
 from harvestlens.functions.numeric import sample_std
 from harvestlens.operators.usage import since_newest
-from harvestlens.sources.star_store import Star
+from harvestlens.sources.star_store import Star, within_ids
 
 KEYS = ["market_id", "commodity_id"]
 LAGS = (1, 7, 14)
@@ -36,6 +36,11 @@ def recent_series(star: Star, wanted: DataFrame, rows: int) -> DataFrame:
     return _dated_prices(since_newest(star, asked, rows, KEYS).join(wanted, KEYS, "left_semi"))
 
 
+def whole_series(star: Star, wanted: DataFrame) -> DataFrame:
+    """All rows of the wanted series (distinct keys). The limits on their ids reach the scan: of months laid out by series, only pages with them are read."""
+    return _dated_prices(within_ids(star.fact, wanted, *KEYS).join(wanted, KEYS, "left_semi"))
+
+
 def eligible_series(series: DataFrame, keys: list[str] = KEYS, min_rows: int = MIN_SERIES_ROWS) -> DataFrame:
     counts = series.groupBy(*keys).agg(F.count(F.lit(1)).alias("days"))
     return counts.filter(F.col("days") >= min_rows).orderBy(F.desc("days"), *keys)

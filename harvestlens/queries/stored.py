@@ -53,6 +53,16 @@ def star_series_scan(spark, sf_dir):
     return plain(history.select("date_id", "market_id", "commodity_id", "modal_price", "arrival_date"))
 
 
+def star_whole_series(spark, sf_dir):
+    """All rows of a name's series in three markets, from a store whose months are laid out by series (all but the last)."""
+    store = written(spark, sf_dir)
+    store.arrange_by_series()
+    star = store.star()
+    named = star.commodity_dim.filter("commodity = 'PROMO'").select("commodity_id")
+    wanted = star.usage.filter(F.col("market_id").between(3, 5)).join(named, "commodity_id", "left_semi").select(*features.KEYS).distinct()
+    return plain(features.whole_series(star, wanted))
+
+
 def star_variety_comparison(spark, sf_dir):
     """All varieties in all markets, from the summary."""
     return plain(explorer.variety_comparison_by_market(written(spark, sf_dir).star()))
@@ -60,7 +70,7 @@ def star_variety_comparison(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (usage_summary, star_overview_kpis, star_overview_by_state, star_series_scan, star_variety_comparison)
+    for f in (usage_summary, star_overview_kpis, star_overview_by_state, star_series_scan, star_whole_series, star_variety_comparison)
 }
 
 _RELOADED = """fact AS (
@@ -89,6 +99,10 @@ SQL = {
         "date_id:l market_id:l commodity_id:l modal_price:d arrival_date:t",
         "(SELECT * FROM named WHERE commodity = 'PROMO' AND market_id = 3 ORDER BY date_id DESC, commodity_id DESC LIMIT 90)",
     )),
+    "star_whole_series": _stored(f"WITH {STAR} " + typed(
+        "market_id:l commodity_id:l arrival_date:t month:l modal_price:d",
+        "(SELECT *, month(arrival_date) AS month FROM named WHERE commodity = 'PROMO' AND market_id BETWEEN 3 AND 5)",
+    )),
     "star_variety_comparison": _stored(f"WITH {STAR}, {COMPARED} " + typed(
         "market_id:l commodity:s variety:s grade:s avg_price:d max_price:d min_price:d", "compared",
     )),

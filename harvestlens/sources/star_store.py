@@ -1,7 +1,8 @@
 """The star schema as Parquet tables below one folder.
 
 Dimensions only ever grow, so loads append to them. Facts are kept by month and sorted by day; where a
-day is loaded again from the quotes kept as they came, the files that hold its rows are replaced. Next to the fact stands its
+day is loaded again from the quotes kept as they came, the files that hold its rows are replaced. Months that are over can be laid
+out by series, for reads of whole series. Next to the fact stands its
 summary per month, market and commodity, brought up to date with every change. One writer at a time. The
 model tables are upserted: each upsert writes a new generation next to the last finished one.
 """
@@ -17,6 +18,9 @@ from harvestlens.schemas import STAR_TABLES
 from harvestlens.sources.summary import USAGE_KEYS, dated, merged, month_number, summarise
 
 FACT, USAGE = "fact_market_prices", "usage_summary"
+SERIES_ORDER = ["year", "month", "market_id", "commodity_id", "date_id"]
+#: Begins the names of fact files laid out by series.
+BY_SERIES = "by-series-"
 
 
 @dataclass
@@ -126,17 +130,44 @@ class StarStore:
         if table == FACT:
             self.refresh_usage()
 
-    def _write_aside(self, table: str, rows: DataFrame, old: list[str]) -> None:
-        """Write laid out rows next to the table, with the list of the files that they replace."""
-        aside = f"_replacing/{table}/{uuid.uuid4().hex}"
+    def arrange_by_series(self, months: list[str] | None = None, page_rows: int = 20_000) -> list[str]:
+        """Lay months of the fact out by market, commodity and day; returns the month folders that changed.
+
+        By default all months but the last, which loads still add to. A month whose files are all laid out so is left
+        alone; one that got other files since (late quotes, a reload) is done again. Files, row groups and pages then hold few
+        series each, so a read of one series decodes about a page of at most `page_rows` rows of a month, where the layout by day
+        makes it read the whole month. The price: a read of single days of these months, and a reload of such a day, touches the whole
+        month. Rows don't change, so neither does the summary, and a crash is completed by the next use.
+        """
+        self.finish_replacing(FACT)
+        over = sorted(self.months(FACT), key=lambda m: [int(part.split("=")[1]) for part in m.split("/")])[:-1]
+        path, files = self._folder(FACT)
+        changed, old = [], []
+        for month in over if months is None else months:
+            found = files.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(path, f"{month}/*.parquet")) or []
+            here = [entry.getPath() for entry in found]
+            if any(not file.getName().startswith(BY_SERIES) for file in here):
+                changed.append(month)
+                old += [file.toUri().toString() for file in here]
+        if changed:
+            rows = self.read_folders(FACT, changed).repartitionByRange(*SERIES_ORDER).sortWithinPartitions(*SERIES_ORDER)
+            self._write_aside(FACT, rows, old, BY_SERIES, **{"parquet.page.row.count.limit": page_rows})
+            self.finish_replacing(FACT)
+        return changed
+
+    def _write_aside(self, table: str, rows: DataFrame, old: list[str], named: str = "", **options) -> None:
+        """Write laid out rows next to the table, with the list of the files that they replace; `named` begins the new files' names."""
+        aside = f"_replacing/{table}/{named}{uuid.uuid4().hex}"
         self.spark.createDataFrame([(f,) for f in old], "file string").coalesce(1).write.parquet(self.path(f"{aside}/old"))
-        rows.select(*STAR_TABLES[table].fieldNames()).write.partitionBy("year", "month").parquet(self.path(f"{aside}/rows"))
+        laid_out = rows.select(*STAR_TABLES[table].fieldNames())
+        laid_out.write.options(**options).partitionBy("year", "month").parquet(self.path(f"{aside}/rows"))
 
     def finish_replacing(self, table: str) -> None:
         """Complete replacements whose rows are all written aside, drop those that are not; each step can be repeated.
 
         Months of the fact are marked before their files change. Rows that only come in addition are merged into the summary of
-        their months, which removes the marks; marks left by a replacement or a crash are for `refresh_usage`.
+        their months, which removes the marks; marks left by a replacement or a crash are for `refresh_usage`. Rows that are only
+        laid out anew need none.
         """
         root, files = self._folder(f"_replacing/{table}")
         Path = self.spark._jvm.org.apache.hadoop.fs.Path
@@ -150,14 +181,16 @@ class StarStore:
                     if source.getName().endswith(".parquet"):
                         sources.append(source)
                 months = sorted({"/".join(f.split("/")[-3:-1]) for f in [*old, *map(str, sources)]})
-                mark = self._mark(months) if table == FACT else None
+                named = BY_SERIES if aside.getName().startswith(BY_SERIES) else ""
+                mark = self._mark(months) if table == FACT and not named else None
                 merging = mark and sources and not old
                 if merging:
                     self._merge_usage(str(Path(aside, "rows")), months)
                 for f in old:
                     files.delete(Path(self.spark._jvm.java.net.URI(f)), False)
                 for source in sources:
-                    target = Path(f"{self.path(table)}/" + "/".join(str(source).split("/")[-3:]))
+                    folder, name = "/".join(str(source).split("/")[-3:-1]), f"{named}{source.getName()}"
+                    target = Path(f"{self.path(table)}/{folder}/{name}")
                     files.mkdirs(target.getParent())
                     files.rename(source, target)
                 if merging:
@@ -292,6 +325,19 @@ def between_days(rows: DataFrame, low: DataFrame, high: DataFrame | None = None)
     return found
 
 
+def within_ids(rows: DataFrame, wanted: DataFrame, *ids: str) -> DataFrame:
+    """Rows whose ids lie between the smallest and the largest wanted ones.
+
+    The limits are bare scalar subqueries, which reach a Parquet scan. They take the first row of an order: Spark would merge several
+    minima of one frame into one subquery with a struct, whose fields a scan doesn't get.
+    """
+    for c in ids:
+        known = wanted.select(c).filter(F.col(c).isNotNull())
+        low, high = (known.orderBy(order).limit(1).scalar() for order in (F.asc(c), F.desc(c)))
+        rows = rows.filter((F.col(c) >= low) & (F.col(c) <= high))
+    return rows
+
+
 def bulk_upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key is not updated, plus the updates."""
     return target.join(updates.select(*keys), keys, "left_anti").unionByName(updates)

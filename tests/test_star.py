@@ -507,3 +507,47 @@ def test_the_audit_is_one_shuffle_and_finds_every_kind_of_fault(spark):
     assert plan.count("Exchange ") == 3  # the keys; two sums of a row per key's number and task
     star.model_evaluation = star.feature_importance = None
     assert audit.constraint_audit(star).count() == 27
+
+
+def busy_store(spark, tmp_path):
+    """Two months and a day of daily prices of 40 markets and 5 commodities."""
+    store = StarStore(spark, str(tmp_path / "store"))
+    first = (datetime.date(2024, 1, 1) - EPOCH).days
+    days, markets, commodities = (spark.range(*span).toDF(name) for span, name in (
+        ((first, first + 61), "date_id"), ((1, 41), "market_id"), ((1, 6), "commodity_id"),
+    ))
+    price = (F.col("market_id") * 100 + F.col("commodity_id")).cast(schemas.PRICE)
+    rows = days.join(F.broadcast(markets)).join(F.broadcast(commodities)).select(
+        *[F.col(c).cast("int") for c in ("date_id", "market_id", "commodity_id")],
+        *[price.alias(c) for c in ("min_price", "max_price", "modal_price")],
+    )
+    store.append_fact(rows)
+    return store
+
+
+def test_months_laid_out_by_series(spark, tmp_path, monkeypatch):
+    """A series' read decodes about a page of a month; rows, summary and reloads are those of the other layout, crashes are completed."""
+    store = busy_store(spark, tmp_path)
+    wanted = spark.createDataFrame([(7, 3), (7, 4)], "market_id int, commodity_id int")
+    facts = lambda: sorted(map(repr, store.star().fact.collect()))
+    before, summary = facts(), summary_of(store)
+    by_day = features.whole_series(store.star(), wanted)
+    assert len(by_day.collect()) == 122 and rows_read(by_day, "fact_market_prices")[1] > 6000
+    with monkeypatch.context() as patch:  # dies when the files are written aside
+        finish, calls = StarStore.finish_replacing, []
+        patch.setattr(StarStore, "finish_replacing", lambda self, table: calls.append(1) or (finish(self, table) if len(calls) < 2 else 1 / 0))
+        with pytest.raises(ZeroDivisionError):
+            store.arrange_by_series(page_rows=100)
+    assert facts() == before and summary_of(store) == summary
+    assert store.stale_months() == [] and store.arrange_by_series() == []
+    by_series = features.whole_series(store.star(), wanted)
+    assert sorted(map(repr, by_series.collect())) == sorted(map(repr, by_day.collect()))
+    assert rows_read(by_series, "fact_market_prices")[1] <= 2 * 3 * 100 + 200  # the last month, one day, stays as it was
+    late = spark.createDataFrame([((datetime.date(2024, 1, 5) - EPOCH).days, 99, 9, *[Decimal("5.00")] * 3)], "date_id int, market_id int, commodity_id int, " + ", ".join(f"{c} decimal(12,2)" for c in ("min_price", "max_price", "modal_price")))
+    store.replace_days("fact_market_prices", late, spark.createDataFrame([(datetime.date(2024, 1, 5),)], "arrival_date date"), ["year=2024/month=1"])
+    assert len(facts()) == len(before) - 200 + 1
+    kept, anew = summary_of(store)
+    assert kept == anew
+    assert store.arrange_by_series() == ["year=2024/month=1"] and len(facts()) == len(before) - 199
+    assert features.whole_series(store.star(), wanted.limit(0)).count() == 0
+    assert StarStore(spark, str(tmp_path / "none")).arrange_by_series() == []
