@@ -43,13 +43,15 @@ SCHEMAS = {
 class TradeTables:
     """The frames of a star, each built when first asked for.
 
-    With `since`, a date, the fact holds the days from it on; the limit reaches the scan.
+    With `since`, a date, the fact holds the days from it on; the limit reaches the scan. `lines` are lineitem rows to take
+    quotes from in place of the table's, such as a stream of its files.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, since: Column | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, since: Column | None = None, lines: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.since = since
+        self.lines = lines
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
@@ -150,7 +152,7 @@ class TradeTables:
     # -- quotes and fact ----------------------------------------------------------
 
     def lineitem(self) -> DataFrame:
-        rows = self.table("lineitem")
+        rows = self.table("lineitem") if self.lines is None else self.lines
         return rows if self.since is None else rows.filter(F.col("l_shipdate") >= self.since)
 
     def priced(self) -> DataFrame:
