@@ -22,6 +22,7 @@ from harvestlens.constants import FEATURES
 from harvestlens.operators.evaluation import clip_metrics, evaluate
 from harvestlens.operators.features import KEYS
 from harvestlens.operators.forecast import Scorer
+from harvestlens.session import passing_tables
 
 LABEL = "modal_price"
 RIDGE = 1.5
@@ -223,21 +224,48 @@ def relative_rows(rows: DataFrame) -> DataFrame:
     return relative_features(rows).withColumn("target", F.col(LABEL).cast("double") / F.col("level"))
 
 
-def fit_boosted(train: DataFrame, keys: list[str] = KEYS, trees: int = 1000, validation_days: int = 30) -> PipelineModel:
-    """Boosted trees over all series: at most `trees` of them, at a rate of 0.1. The last days of the
-    training rows of each series decide when to stop, so the test rows stay unseen; `trees` only bounds a fit that keeps improving."""
+def best_of(errors: list[float], patience: int) -> tuple[int, bool]:
+    """Trees up to the lowest error seen before `patience` more brought none lower, and whether such a wait is complete."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_boosted(
+    train: DataFrame, keys: list[str] = KEYS, trees: int = 1000, validation_days: int = 30, patience: int = 30, rate: float = 0.1,
+) -> PipelineModel:
+    """Boosted trees over all series, as many as the last days of each series' training rows want; the test rows stay unseen.
+
+    The fit ends when `patience` trees in a row brought no lower squared error on those days, and keeps the trees up to the lowest; `trees`
+    only bounds a fit that keeps improving. The budget doubles until the wait is complete: a fit's first trees are
+    the same for any budget, so the last fit, cut to the best number, is a fit with that budget.
+    """
     last = F.max("arrival_date").over(W.partitionBy(*keys))
     rows = relative_rows(train).withColumn("held_out", F.col("arrival_date") > F.date_sub(last, validation_days))
-    assembler = VectorAssembler(
-        inputCols=[f"x_{c}" for c in _PRICE_FEATURES + _CALENDAR_FEATURES], outputCol="features"
-    )
-    boosted = GBTRegressor(
-        labelCol="target", predictionCol="relative", maxIter=trees, stepSize=0.1, maxDepth=5,
-        subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42,
-        validationIndicatorCol="held_out", validationTol=1e-5,
-    )
     columns = [f"x_{c}" for c in _PRICE_FEATURES + _CALENDAR_FEATURES]
-    return Pipeline(stages=[assembler, boosted]).fit(rows.select(*columns, "target", "held_out"))
+    assembler = VectorAssembler(inputCols=columns, outputCol="features")
+
+    def fitted(learnt: DataFrame, n: int) -> PipelineModel:
+        boosted = GBTRegressor(
+            labelCol="target", predictionCol="relative", maxIter=n, stepSize=rate, maxDepth=5,
+            subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42,
+        )
+        return Pipeline(stages=[assembler, boosted]).fit(learnt)
+
+    with passing_tables(train.sparkSession, "boosted") as keep:
+        kept = keep(rows.select(*columns, "target", "held_out"), "rows")
+        learnt, held_out = kept.filter("not held_out"), assembler.transform(kept.filter("held_out"))
+        budget = min(trees, 2 * patience)
+        while True:
+            model = fitted(learnt, budget)
+            best, done = best_of(model.stages[-1].evaluateEachIteration(held_out, "squared"), patience)
+            if done or budget >= trees:
+                return model if best == budget else fitted(learnt, best)
+            budget = min(trees, 2 * budget)
 
 
 def predict_boosted(rows: DataFrame, model: PipelineModel, keys: list[str] = KEYS) -> DataFrame:

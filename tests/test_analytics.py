@@ -416,4 +416,17 @@ def test_validation_and_not_the_default_number_of_trees_ends_a_fit(spark):
         rows.append((i % 20, datetime.date(2020, 1, 1) + datetime.timedelta(i // 20), *x, 1.0, i % 7, i % 12 + 1, sum(x)))
     columns = "k int, arrival_date date, lag_1 double, lag_7 double, lag_14 double, roll_mean_7 double, roll_std_7 double"
     train = spark.createDataFrame(rows, f"{columns}, roll_mean_14 double, weekday_num int, month int, modal_price double")
-    assert 30 < models.fit_boosted(train, ["k"]).stages[-1].getNumTrees < 1000
+    model = models.fit_boosted(train, ["k"], patience=5, rate=0.3).stages[-1]
+    assert 10 <= model.getNumTrees < 1000
+    # more trees do not help: the next five bring no lower error on the held-out days
+    longer = models.fit_boosted(train, ["k"], patience=5, rate=0.3, trees=model.getNumTrees + 5).stages[-1]
+    assert longer.getNumTrees == model.getNumTrees and longer.toDebugString.split("\n")[1:] == model.toDebugString.split("\n")[1:]
+    assert models.fit_boosted(train, ["k"], patience=5, rate=0.3, trees=3).stages[-1].getNumTrees == 3
+
+
+def test_patience_waits_for_a_lower_error():
+    assert models.best_of([5.0, 4.0, 4.5, 3.9, 4.0, 4.1], 2) == (4, True)
+    assert models.best_of([5.0, 4.0, 4.5, 4.4, 3.0], 2) == (2, True)
+    assert models.best_of([5.0, 4.0, 3.0], 2) == (3, False)
+    assert models.best_of([5.0, 5.0, 5.0], 2) == (1, True)
+    assert models.best_of([5.0], 30) == (1, False)
