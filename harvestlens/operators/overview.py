@@ -14,6 +14,9 @@ from harvestlens.functions.numeric import exact_avg, ratio_of, round_half_even
 from harvestlens.operators.usage import distinct_ids, figures
 from harvestlens.sources.star_store import Star, between_days
 
+#: Stands for all states together where states are joined by id: ids are not negative, and NULL meets nothing in a join.
+ALL_STATES = -1
+
 
 def latest_date(star: Star) -> DataFrame:
     """Latest date of date_dim, whether or not it has facts."""
@@ -225,15 +228,31 @@ def overview_by_state(star: Star) -> DataFrame:
 
     One pass over the usage summary and one over the facts of the two last dates.
     """
+    return _overview(star, [["state_id"]]).drop("total_states")
+
+
+def overview_by_scope(star: Star) -> DataFrame:
+    """overview_by_state, and a row for all states together (state_id NULL) with the figures of `overview_kpis` and `gainers_losers`.
+
+    Prices, movers and models of both come from the same passes, by grouping sets over totals that are summed per market
+    before; facts and models of markets without a state count in the row of all only.
+    """
+    return _overview(star, [["state_id"], []])
+
+
+def _overview(star: Star, scopes: list[list[str]]) -> DataFrame:
     latest, previous = _latest_id(star), _previous_id(star)
-    markets = _state_markets(star, None)
+    markets, whole = _state_markets(star, None), [] in scopes
+    all_states = F.grouping("state_id").alias("all_states")
+    scope = F.when(F.col("all_states") == 1, F.lit(ALL_STATES)).otherwise(F.col("state_id")).alias("scope")
 
-    usage = distinct_ids(star, markets, "state_id")
+    usage = distinct_ids(star, markets, "state_id").withColumnRenamed("state_id", "scope")
 
     two_days = between_days(star.fact, _last_two(star))
-    days = _totals(two_days, "market_id", "commodity_id", "date_id").join(markets, "market_id")
+    days = _totals(two_days, "market_id", "commodity_id", "date_id").join(markets, "market_id", "left")
     of_day = lambda day, c: F.sum(F.when(F.col("date_id") == day, F.col(c)))
-    by_commodity = days.groupBy("state_id", "commodity_id").agg(
+    by_commodity = days.groupingSets([[*s, "commodity_id"] for s in scopes], "state_id", "commodity_id").agg(
+        all_states,
         of_day(latest, "total").alias("total"),
         of_day(latest, "n").alias("n"),
         of_day(previous, "total").alias("previous_total"),
@@ -242,25 +261,35 @@ def overview_by_state(star: Star) -> DataFrame:
     now = ratio_of(F.col("total"), F.col("n"))
     before = ratio_of(F.col("previous_total"), F.col("previous_n"))
     change = F.when(before > 0, (now - before) / before * 100)
-    prices = by_commodity.withColumn("change", change).groupBy("state_id").agg(
+    prices = by_commodity.withColumn("change", change).groupBy(scope).agg(
         round_half_even(ratio_of(F.sum("total"), F.sum("n")), 2).alias("avg_price"),
         F.count_if(F.col("change") > MOVER_PCT).alias("gainers"),
         F.count_if(F.col("change") < -MOVER_PCT).alias("losers"),
     )
 
-    models = star.model_evaluation.join(markets, "market_id").groupBy("state_id").agg(
-        F.count(F.lit(1)).alias("total_models"), exact_avg(F.col("mape")).alias("mape")
+    scored = star.model_evaluation.join(markets, "market_id", "left").groupingSets(scopes, "state_id").agg(
+        all_states, F.count(F.lit(1)).alias("total_models"), exact_avg(F.col("mape")).alias("mape")
     )
+    models = scored.select(scope, "total_models", "mape")
     counts = ["total_records", "total_commodities", "total_markets", "total_models", "gainers", "losers"]
+    rows = star.state_dim.select("state_id", "state", F.lit(1).cast("bigint").alias("total_states"))
+    totals = {}
+    if whole:
+        none = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("state_id", "state")]
+        rows = rows.unionByName(kpi_state_count(star).select(*none, "total_states"))
+        of_all = {"total_records": kpi_total_records, "total_commodities": kpi_commodity_count, "total_markets": kpi_market_count}
+        totals = {c: F.when(F.col("scope") == ALL_STATES, kpi(star).scalar()) for c, kpi in of_all.items()}
     return (
-        star.state_dim.join(usage, "state_id", "left")
-        .join(prices, "state_id", "left")
-        .join(models, "state_id", "left")
+        rows.withColumn("scope", F.coalesce("state_id", F.lit(ALL_STATES)))
+        .join(usage, "scope", "left")
+        .join(prices, "scope", "left")
+        .join(models, "scope", "left")
         .select(
             "state_id",
             "state",
+            "total_states",
             F.coalesce("avg_price", F.lit(0.0)).alias("avg_price"),
-            *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+            *[F.coalesce(*([totals[c]] if c in totals else []), c, F.lit(0)).alias(c) for c in counts],
             trust(F.col("mape")).alias("forecast_trust"),
         )
     )

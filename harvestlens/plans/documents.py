@@ -70,7 +70,7 @@ def overview_documents(star: Star) -> DataFrame:
 
     Facts are summed once per figure for all states; a document's lists have the bounds they have alone.
     """
-    scope = F.coalesce("state_id", F.lit(-1))  # ids are not negative; NULL meets nothing in a join
+    scope = F.coalesce("state_id", F.lit(overview.ALL_STATES))
     point = F.struct("arrival_date", F.date_format("arrival_date", _ISO).alias("date"), "price")
     trends = overview.trend_by_state(star).groupBy(scope.alias("scope")).agg(
         F.transform(F.sort_array(F.collect_list(point)), lambda p: p.dropFields("arrival_date")).alias("trend")
@@ -79,12 +79,7 @@ def overview_documents(star: Star) -> DataFrame:
     tops = overview.top_by_state(star).groupBy(scope.alias("scope")).agg(
         F.transform(F.sort_array(F.collect_list(entry)), lambda e: e.dropFields("rank")).alias("top")
     )
-    one_state = overview.overview_by_state(star).withColumn("total_states", F.lit(1).cast("bigint"))
-    movers = overview.gainers_losers(star)
-    national = overview.overview_kpis(star).drop("latest_date").withColumns({
-        c: movers.select(c).scalar() for c in ("gainers", "losers")
-    })
-    figures = one_state.unionByName(national, allowMissingColumns=True).withColumn("scope", scope)
+    figures = overview.overview_by_scope(star).withColumn("scope", scope)
     no_points, no_names = "array<struct<date:string,price:double>>", "array<struct<commodity:string,avg_price:double,report_count:bigint>>"
     document = F.struct(
         _kpis(overview.latest_date(star).scalar()),

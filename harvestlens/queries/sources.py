@@ -171,13 +171,22 @@ def model_store(spark, sf_dir):
     return plain(found.unionByName(models.missing_models(asked, loaded), allowMissingColumns=True))
 
 
+def written_star(spark, sf_dir):
+    """The star with fact and dates written once, which every part of a document then reads."""
+    tables = TradeTables(spark, sf_dir)
+    fact, dates = write_and_read(tables.fact, "fact"), write_and_read(tables.date_dim, "dates")
+    star = Star(tables.state_dim, tables.market_dim, tables.commodity_dim, dates, fact)
+    star.model_evaluation = write_and_read(evaluation.persistence_eval(features.fact_series(star)), "evaluations")
+    return star
+
+
 def overview_document(spark, sf_dir):
-    return documents.overview_document(TradeTables(spark, sf_dir))
+    return documents.overview_document(written_star(spark, sf_dir))
 
 
 def overview_documents(spark, sf_dir):
     """One document per state and a national one (state NULL)."""
-    return documents.overview_documents(TradeTables(spark, sf_dir))
+    return documents.overview_documents(written_star(spark, sf_dir))
 
 
 QUERIES = {

@@ -81,6 +81,20 @@ def test_states_at_once_equal_one_by_one(spark):
         assert row.asDict() | kpis.asDict() | movers.asDict() == kpis.asDict() | movers.asDict() | row.asDict()
 
 
+def test_the_row_of_all_states_counts_what_has_no_state(spark):
+    """The national row equals the national figures, also with facts and models of an unknown market, one date, or nothing at all."""
+    unknown = [(103, 99, 1, 40), (110, 99, 1, 80), (110, 99, 2, 80)]
+    for facts in (FACTS, FACTS + unknown, [(100, 1, 1, 10)], []):
+        star = star_of(spark, facts, dates=[103], evaluations=[(1, 1, 10.0, 0.5), (99, 3, 20.25, 0.1)])
+        rows = overview.overview_by_scope(star).collect()
+        (whole,) = [r.asDict() for r in rows if r.state_id is None]
+        expected = overview.overview_kpis(star).first().asDict() | overview.gainers_losers(star).first().asDict()
+        assert {c: whole[c] for c in expected if c != "latest_date"} == {c: v for c, v in expected.items() if c != "latest_date"}
+        states = [{c: v for c, v in r.asDict().items() if c != "total_states"} for r in rows if r.state_id is not None]
+        in_order = lambda found: sorted(found, key=lambda r: r["state_id"])
+        assert in_order(states) == in_order([r.asDict() for r in overview.overview_by_state(star).collect()])
+
+
 def test_a_latest_date_without_facts(spark):
     star = star_of(spark, FACTS, dates=[110])
     assert overview.latest_avg_price(star).first().avg_price == 0.0
