@@ -35,10 +35,14 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
+    """Documents that hold no benchmark passage.
+
+    What is found is written first: a small table is then sent to the documents, and their texts are not shuffled.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hashed = docs.withColumn("h", F.xxhash64("text"))
     held = decontamination.contaminated(hashed, benchmark, keep=["h"]).select(F.col("doc_id").alias("id"), "h").distinct()
+    held = write_and_read(held, "pipeline-held")
     return docs.join(held, docs.doc_id.eqNullSafe(held.id) & (F.xxhash64(docs.text) == held.h), "left_anti").select(*COLUMNS)
 
 

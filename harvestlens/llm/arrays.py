@@ -29,6 +29,10 @@ def byte_class(excluded: str) -> np.ndarray:
 NOT_BLANK = byte_class(" \t\n\v\f\r")
 
 
+#: Bytes of text that a worker of a memory-bound step takes at once: a byte of text becomes several numbers of 8 bytes.
+SMALL = 1 << 19
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -137,7 +137,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: Overlap = Overl
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             seeds = index.value
             for batch in batches:
-                for chunk in arrays.chunks(batch, "text"):
+                for chunk in arrays.chunks(batch, "text", arrays.SMALL):
                     hashes, first = hashed_words(chunk.column("text"))
                     ids, best = chunk.column("doc_id").to_pylist(), {}
                     for row, item, at in hits(seeds, hashes, first, overlap).tolist():

@@ -42,9 +42,9 @@ def remove_repeated_lines(docs: DataFrame, size: int = 3, keep: list[str] = [])
     by_doc = later.groupBy("doc", "v").agg(F.collect_list("pos").alias("covered"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for chunk in (c for batch in batches for c in arrays.chunks(batch, "text", arrays.SMALL)):
             total, removed, texts = [], [], []
-            for text, covered in zip(batch.column("text").to_pylist(), batch.column("covered").to_pylist(), strict=True):
+            for text, covered in zip(chunk.column("text").to_pylist(), chunk.column("covered").to_pylist(), strict=True):
                 lines = [] if text is None else text.split("\n")
                 stay = np.ones(len(lines), bool)
                 for k in range(size if covered else 0):
@@ -53,7 +53,7 @@ def remove_repeated_lines(docs: DataFrame, size: int = 3, keep: list[str] = [])
                 removed.append(len(lines) - int(stay.sum()))
                 texts.append("\n".join(x for x, y in zip(lines, stay.tolist(), strict=True) if y))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("v"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string()), *(batch.column(c) for c in keep)],
+                [chunk.column("doc"), chunk.column("v"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string()), *(chunk.column(c) for c in keep)],
                 ["doc", "v", "n_lines", "n_removed", "kept", *keep],
             )
 

@@ -58,7 +58,7 @@ def described(docs: DataFrame, like: Similarity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in arrays.chunks(batch, "text"):
+            for chunk in arrays.chunks(batch, "text", arrays.SMALL):
                 sets = shingle_sets(chunk.column("text"), like.shingle)
                 digests = np.array([np.frombuffer(hashlib.md5(s.tobytes()).digest(), np.int64) for s in sets]).reshape(-1, 2)
                 signatures = pa.array([signature(s, like.coordinates).tobytes() for s in sets], pa.binary())

@@ -95,8 +95,9 @@ def packed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            body = [press.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("v"), pa.array(body, pa.binary())], ["doc", "v", "body"])
+            for chunk in arrays.chunks(batch, "text", arrays.SMALL):
+                body = [press.compress((t or "").encode()) for t in chunk.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([chunk.column("doc"), chunk.column("v"), pa.array(body, pa.binary())], ["doc", "v", "body"])
 
     return docs.mapInArrow(run, f"{PLACE}, body binary")
 

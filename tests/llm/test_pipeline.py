@@ -44,3 +44,10 @@ def test_one_row_of_a_group_stays_whatever_its_ids(spark, docs_of):
     words = [(i, t.removesuffix(" end")) for i, t in got if t]
     assert sorted(words) == [(0, other), (0, fourth), (1, text), (1, third)]
     assert [i for i, t in got if not t] == [0, 0, 7, 7]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the tables")
+def test_texts_are_not_shuffled_to_drop_what_holds_a_benchmark_passage(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plan = corpus_pipeline.without_benchmark(spark, docs, SF_DIR)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
