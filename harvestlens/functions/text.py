@@ -12,6 +12,10 @@ BLANKS = (
 
 _UNCASED_RUN = r"([^\p{Lu}\p{Ll}\p{Lt}]+)"
 _BREAK = "\x00 "
+# Letters and blanks, then printable ASCII without letters: words begin at blanks only.
+_PLAIN = r"^[A-Za-z ]*+(?:[!-@\[-`{-~][ -@\[-`{-~]*+)?+\z"
+# The same with no blank at either end.
+_PLAIN_STRIPPED = r"^(?! )[A-Za-z ]*+(?:[!-@\[-`{-~][ -@\[-`{-~]*+)?+(?<! )\z"
 
 
 def strip(text: Column) -> Column:
@@ -22,14 +26,14 @@ def title_case(text: Column) -> Column:
     """Capitalise after every uncased character ("lady's" -> "Lady'S").
 
     initcap starts words at blanks only, so each uncased run gets a marked blank behind it
-    first, which is taken out again afterwards.
+    first, which is taken out again afterwards. Plain texts need none.
     """
     broken = F.regexp_replace(text, _UNCASED_RUN, f"$1{_BREAK}")
-    return F.replace(F.initcap(broken), F.lit(_BREAK), F.lit(""))
+    return F.when(text.rlike(_PLAIN), F.initcap(text)).otherwise(F.replace(F.initcap(broken), F.lit(_BREAK), F.lit("")))
 
 
 def clean_text(text: Column) -> Column:
-    return title_case(strip(text))
+    return F.when(text.rlike(_PLAIN_STRIPPED), F.initcap(text)).otherwise(title_case(strip(text)))
 
 
 def base_name(text: Column) -> Column:

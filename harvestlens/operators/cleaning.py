@@ -41,7 +41,12 @@ def type_quotes(quotes: DataFrame) -> DataFrame:
     """
     typed = {"arrival_date": dates.parse_day_first(F.col("arrival_date"))}
     typed |= {c: F.col(c).try_cast(RAW_PRICE) for c in PRICE_COLUMNS}
-    row = F.struct(*[typed.get(c, F.col(c)).alias(c) for c in quotes.columns])
+    return below_filters(quotes.select(*[typed.get(c, F.col(c)).alias(c) for c in quotes.columns]))
+
+
+def below_filters(quotes: DataFrame) -> DataFrame:
+    """The rows out of an array of one, a generator, below which Spark moves no later filter."""
+    row = F.struct(*[F.col(c).alias(c) for c in quotes.columns])
     return quotes.select(F.explode(F.array(row)).alias("quote")).select("quote.*")
 
 
@@ -70,9 +75,15 @@ def price_quartiles(quotes: DataFrame, group: list[str] = BATCH) -> DataFrame:
     return group_quartiles(quotes, group, "modal_price")
 
 
+def fences_of(quotes: DataFrame, group: list[str]) -> DataFrame:
+    """The modal price's fences per batch. Those of days, a row per calendar day, are sent to the quotes, which stay where they are."""
+    fences = iqr_fences(price_quartiles(quotes, group), group)
+    return F.broadcast(fences) if group == BATCH else fences
+
+
 def iqr_outlier_filter(quotes: DataFrame, group: list[str] = BATCH) -> DataFrame:
     """Keep rows whose three prices all lie within the modal price's fences, inclusive."""
-    fences = iqr_fences(price_quartiles(quotes, group), group)
+    fences = fences_of(quotes, group)
     inside = [F.col(c).between(F.col("lower_fence"), F.col("upper_fence")) for c in PRICE_COLUMNS]
     kept = quotes.join(fences, group).filter(inside[0] & inside[1] & inside[2])
     return kept.select(*quotes.columns)
@@ -134,8 +145,11 @@ def skip_loaded_days(quotes: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def clean_values(quotes: DataFrame, keep_first: str | None = None) -> DataFrame:
-    """Duplicates, NULLs, signs and outliers: the steps on typed, dated quotes."""
-    return iqr_outlier_filter(nonneg_prices(dropna_any(dedup_rows(quotes, keep_first))))
+    """Duplicates, NULLs, signs and outliers: the steps on typed, dated quotes.
+
+    Later filters stay above, so the quotes and their fences come from the same shuffle of the quotes.
+    """
+    return below_filters(iqr_outlier_filter(nonneg_prices(dropna_any(dedup_rows(quotes, keep_first)))))
 
 
 def fault_of_values() -> Column:
@@ -153,7 +167,7 @@ def judge_quotes(quotes: DataFrame, name_map: DataFrame, states: DataFrame, grou
     Fences come from the rows without a fault, as in `clean_values`. Quotes of states outside `states` are at fault too; the others get their
     state_id.
     """
-    fences = iqr_fences(price_quartiles(quotes.filter("fault IS NULL"), group), group)
+    fences = fences_of(quotes.filter("fault IS NULL"), group)
     inside = reduce(Column.__and__, [F.col(c).between(F.col("lower_fence"), F.col("upper_fence")) for c in PRICE_COLUMNS])
     fenced = quotes.join(fences, group, "left").withColumn("fault", F.coalesce("fault", F.when(~inside, "outlier")))
     named = canonical_state(clean_text(translate_commodity(base_commodity(fenced.select(*quotes.columns)), name_map)))

@@ -147,7 +147,7 @@ class TradeTables:
         return self.table("part").filter(F.col("p_type") < "N").select(F.to_json(pair).alias("value"))
 
     def name_map(self) -> DataFrame:
-        return self.name_map_json().select(name_pairs(F.col("value"))).distinct()
+        return self.name_map_json().distinct().select(name_pairs(F.col("value"))).distinct()
 
     # -- quotes and fact ----------------------------------------------------------
 
