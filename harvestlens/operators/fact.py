@@ -15,10 +15,14 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[str], columns: l
     """`columns` of the first row of each key by `order`.
 
     A minimum over structs, so every task sends at most one row per key to the shuffle:
-    a key that holds a third of all rows costs no more than any other.
+    a key that holds a third of all rows costs no more than any other. Such a minimum sorts the rows of
+    every task; the key's hash goes first, as it tells most keys apart without a look into the rows. What the order
+    has behind the last of `columns` cannot change them and is left out.
     """
     ranked = [*order, *[c for c in columns if c not in order]]
-    first = rows.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("first"))
+    while ranked[-1] not in columns:
+        ranked.pop()
+    first = rows.groupBy(F.xxhash64(*keys).alias("key_hash"), *keys).agg(F.min(F.struct(*ranked)).alias("first"))
     return first.select(*keys, *[F.col(f"first.{c}").alias(c) for c in columns])
 
 

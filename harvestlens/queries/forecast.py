@@ -9,7 +9,7 @@ from harvestlens.queries.common import (
     PERSISTENCE, SERIES, baseline_eval_sql, clipped_sql, plain, rounded, typed,
 )
 from harvestlens.queries.features import features_sql
-from harvestlens.queries.models import RIDGE_EVALUATED, ridge_prediction, trained
+from harvestlens.queries.models import RIDGE_EVALUATED, ridge_prediction, state_series, trained_on
 from harvestlens.session import write_and_read
 from harvestlens.sources.tables import TradeTables
 
@@ -93,8 +93,8 @@ def recursive_forecast(spark, sf_dir):
 
 def recursive_forecast_models(spark, sf_dir):
     """Forecasts of the state series by their ridge models."""
-    training = trained(spark, sf_dir)
-    rows = TradeTables(spark, sf_dir).state_series()
+    rows = state_series(spark, sf_dir)
+    training = trained_on(rows)
     return plain(forecast_series(rows, training.evaluations(STATE_KEYS), fitted=training.fitted, keys=STATE_KEYS))
 
 
@@ -108,8 +108,8 @@ def recommendation(spark, sf_dir):
 
 def forecast_document(spark, sf_dir):
     """Documents of the state series from their models."""
-    training = trained(spark, sf_dir)
-    rows = TradeTables(spark, sf_dir).state_series()
+    rows = state_series(spark, sf_dir)
+    training = trained_on(rows)
     steps = write_and_read(
         forecast_series(rows, training.evaluations(STATE_KEYS), fitted=training.fitted, keys=STATE_KEYS), "forecast"
     )
@@ -160,8 +160,8 @@ def forecast_request(spark, sf_dir):
 
 def recursive_forecast_boosted(spark, sf_dir):
     """Forecasts of the state series by the pooled boosted trees."""
-    training = trained(spark, sf_dir)
-    rows = TradeTables(spark, sf_dir).state_series()
+    rows = state_series(spark, sf_dir)
+    training = trained_on(rows)
     model = models.fit_boosted(training.train, STATE_KEYS)
     return plain(forecast_series(rows, training.evaluations(STATE_KEYS), keys=STATE_KEYS, boosted=model))
 

@@ -42,14 +42,22 @@ def baseline_eval(spark, sf_dir):
     return plain(evaluation.clip_metrics(metrics))
 
 
-def trained(spark, sf_dir):
-    """Ridge models of all state series, series and models written once."""
-    series = write_and_read(TradeTables(spark, sf_dir).state_series(), "series")
+def state_series(spark, sf_dir):
+    """All state series, written once."""
+    return write_and_read(TradeTables(spark, sf_dir).state_series(), "series")
+
+
+def trained_on(series):
+    """Ridge models of all series, written once."""
     training = train_series(series, STATE_KEYS)
     training.models = write_and_read(training.models, "models")
     return training
 
 
+def trained(spark, sf_dir):
+    return trained_on(state_series(spark, sf_dir))
+
+
 def model_columns(fitted):
     """Models with a column per coefficient, to six places."""
     weights = [F.round(F.col("coefficients")[i], 6).alias(f"per_{c}") for i, c in enumerate(FEATURES)]
@@ -116,8 +124,8 @@ def training_summary_by_market(spark, sf_dir):
 
 def save_evaluations(spark, sf_dir):
     """Baseline metrics of all state series, replaced by the models' where there is one."""
-    training = trained(spark, sf_dir)
-    series = TradeTables(spark, sf_dir).state_series()
+    series = state_series(spark, sf_dir)
+    training = trained_on(series)
     stored = evaluation.clip_metrics(evaluation.baseline_eval(series, STATE_KEYS)).drop("n")
     return plain(bulk_upsert(stored, training.evaluations(STATE_KEYS), STATE_KEYS))
 
