@@ -22,6 +22,7 @@ def written(spark, sf_dir):
     fact = write_and_read(tables.fact.withColumns({c: F.col(c).cast(PRICE) for c in PRICE_COLUMNS}), "fact")
     for half in (0, 1):
         store.append_fact(fact.filter(F.col("date_id") % 2 == half))
+    tables.fact = fact  # the metrics read the rows written above; their prices already had the stored type
     store.upsert("model_evaluation", tables.model_evaluation.drop("n"), features.KEYS)
     last = F.trunc(fact.select(F.date_from_unix_date(F.max("date_id"))).scalar(), "month")
     again = fact.filter(F.date_from_unix_date("date_id") >= last)

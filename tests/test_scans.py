@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from harvestlens.operators import fact
 from harvestlens.queries import forecast as forecast_queries
+from harvestlens.queries import stored
+from harvestlens.sources.star_store import StarStore
 from harvestlens.sources.tables import QUOTE_ORDER, SCHEMAS
 
 
@@ -54,6 +56,14 @@ def test_what_cannot_change_the_first_row_is_not_read(spark):
     assert aggregates and not any("min_price" in line for line in aggregates)
 
 
+def test_metrics_of_a_written_star_come_from_the_written_fact(spark, trade_dir, monkeypatch):
+    read, upsert = [], StarStore.upsert
+    monkeypatch.setattr(StarStore, "upsert", lambda store, table, rows, keys: (read.extend(rows.inputFiles()), upsert(store, table, rows, keys)))
+    star = stored.written(spark, trade_dir).star()
+    assert read and not any("lineitem" in name for name in read)
+    assert star.model_evaluation.count() > 0
+
+
 def test_a_forecast_reads_the_series_its_models_learnt_from(spark, trade_dir, monkeypatch):
     seen = []
 
