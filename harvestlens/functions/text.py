@@ -12,10 +12,10 @@ BLANKS = (
 
 _UNCASED_RUN = r"([^\p{Lu}\p{Ll}\p{Lt}]+)"
 _BREAK = "\x00 "
-# Letters and blanks, then printable ASCII without letters: words begin at blanks only.
-_PLAIN = r"^[A-Za-z ]*+(?:[!-@\[-`{-~][ -@\[-`{-~]*+)?+\z"
+# Printable ASCII in which a blank stands between other characters and the next letter: words begin at blanks only.
+_PLAIN = r"^[A-Za-z ]*+(?:[!-@\[-`{-~]++(?: [A-Za-z ]*+)?+)*+\z"
 # The same with no blank at either end.
-_PLAIN_STRIPPED = r"^(?! )[A-Za-z ]*+(?:[!-@\[-`{-~][ -@\[-`{-~]*+)?+(?<! )\z"
+_PLAIN_STRIPPED = r"^(?! )[A-Za-z ]*+(?:[!-@\[-`{-~]++(?: [A-Za-z ]*+)?+)*+(?<! )\z"
 
 
 def strip(text: Column) -> Column:

@@ -109,3 +109,24 @@ def test_dates_with_a_time_of_day(spark):
     rows = spark.createDataFrame([("2026-06-10T00:00:00",), ("10/06/2026 00:00",), ("10-06-2026 7:05:09.5Z",), ("10/06/2026 x",)], "t string")
     found = [str(r[0]) for r in rows.select(dates.parse_day_first(F.col("t"))).collect()]
     assert found == ["2026-06-10"] * 3 + ["None"]
+
+
+def test_usual_dates_are_taken_apart_by_place(spark):
+    from datetime import date
+
+    texts = ["05/11/2024", "05-11-2024", "05/11-2024", "31/02/2025", " 05/11/2024 ", "5/11/2024", "2024-11-05", "05/11/20245", "05/11/2024\n", None]
+    wanted = [date(2024, 11, 5)] * 3 + [None] + [date(2024, 11, 5)] * 3 + [None] * 3
+    assert values(spark, texts, dates.parse_day_first(F.col("x"))) == wanted
+    plan = spark.createDataFrame([("05/11/2024",)], "x string").select(dates.parse_day_first(F.col("x")))._jdf.queryExecution().optimizedPlan().toString()
+    assert dates._TEN_DAY_FIRST in plan
+
+
+def test_names_whose_words_begin_at_blanks_need_no_marks(spark):
+    plain = ["jammu & kashmir", "NCT of delhi (1)", "a-  - B", "", "1 a", "ab & " * 60000 + "z"]
+    other = ["lady's", "a-b", "(x) y", " x", "x ", "a  &b", "1a"]
+    matched = values(spark, plain + other, F.col("x").rlike(text._PLAIN_STRIPPED))
+    assert matched == [True] * len(plain) + [False] * len(other)
+    assert values(spark, plain + other, text.clean_text(F.col("x"))) == [x.strip().title() for x in plain + other]
+    rng = random.Random(8)
+    many = ["".join(rng.choice("aB zQ -&'(1") for _ in range(rng.randrange(9))) for _ in range(3000)]
+    assert values(spark, many, text.clean_text(F.col("x"))) == [x.strip().title() for x in many]
