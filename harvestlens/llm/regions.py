@@ -65,10 +65,11 @@ def identified(docs: DataFrame, keep: list[str] = []) -> tuple[DataFrame, DataFr
     return rows, own if once else own.dropDuplicates(["doc", "v"])
 
 
-def applied(docs: DataFrame, windows: Windows, symbols: Callable, dtype, find: Callable, apply: Callable, returns: str) -> DataFrame:
+def applied(docs: DataFrame, windows: Windows, symbols: Callable, dtype, find: Callable, apply: Callable, returns: str, kinds: list[pa.DataType]) -> DataFrame:
     """Per row of docs: doc_id and what `apply(text, starts, stops)` makes of its text and its merged repeated spans.
 
-    apply takes lists of bytes and of arrays for some rows and gives a list of tuples, as `returns` says.
+    apply takes lists of bytes and of arrays for some rows and gives a list of tuples, as `returns` says to Spark and `kinds` to Arrow:
+    all batches of a task must be of one schema, and from rows that are all without a span Arrow would tell none for the spans.
     """
     rows, different = identified(docs)
     bodies, spans = repeated(different, windows, symbols, dtype, find)
@@ -81,7 +82,7 @@ def applied(docs: DataFrame, windows: Windows, symbols: Callable, dtype, find: C
                 bodies = [unpacked(b) for b in part.column("body").to_pylist()]
                 cut = [arrays.merged(np.array(a or [], np.int64), np.array(b or [], np.int64)) for a, b in zip(part.column("starts").to_pylist(), part.column("stops").to_pylist(), strict=True)]
                 out = zip(*apply(bodies, cut), strict=True)
-                yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("v"), *(pa.array(x) for x in out)], ["doc", "v", *names])
+                yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("v"), *(pa.array(x, kind) for x, kind in zip(out, kinds, strict=True))], ["doc", "v", *names])
 
     done = bodies.join(spans, ["doc", "v"], "left").mapInArrow(run, f"{PLACE}, {returns}")
     if rows is not different:

@@ -138,4 +138,5 @@ def remove_repeated_passages(docs: DataFrame, length: int = 20, gram: int = 8, m
             out.append((len(begin), len(begin) - int(keep.sum()), kept.decode()))
         return out
 
-    return regions.applied(docs, regions.Windows(length, gram, most), word_symbols, np.uint64, find_repeats, apply, "n_words long, n_removed long, kept string")
+    kinds = [pa.int64(), pa.int64(), pa.string()]
+    return regions.applied(docs, regions.Windows(length, gram, most), word_symbols, np.uint64, find_repeats, apply, "n_words long, n_removed long, kept string", kinds)

@@ -129,4 +129,6 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, gram: int = 40, mo
         return out
 
     returns = "n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept binary"
-    return regions.applied(docs, regions.Windows(length, gram, most), byte_symbols, np.uint8, find_repeats, apply, returns)
+    spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    kinds = [pa.int64(), pa.int64(), spans, pa.binary()]
+    return regions.applied(docs, regions.Windows(length, gram, most), byte_symbols, np.uint8, find_repeats, apply, returns, kinds)

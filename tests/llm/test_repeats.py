@@ -195,6 +195,17 @@ def test_a_common_passage_is_split_before_it_is_indexed(spark, docs_of):
     assert found == {0: 0} | dict.fromkeys(range(1, 60), 25)
 
 
+def test_a_task_takes_rows_without_spans_before_and_after_others(docs_of):
+    """A task hands on 500 rows at a time; of these, all, some or none may have spans."""
+    rnd = random.Random(9)
+    long = "".join(rnd.choice("abcdefgh ") for _ in range(300))
+    rows = [(i, f"text {i}") for i in range(1, 1300)] + [(2000, long), (2001, f"{long} and more")]
+    found = {r.doc_id: r for r in suffix_dedup.remove_repeated_bytes(docs_of(rows).coalesce(1)).collect()}
+    assert len(found) == len(rows)
+    assert {d: [tuple(s) for s in r.spans] for d, r in found.items() if r.spans} == {2001: [(0, 300)]}
+    assert found[2001].kept == b" and more" and found[7].kept == b"text 7"
+
+
 def test_anchors_of_equal_windows_agree():
     import numpy as np
 
