@@ -2,13 +2,16 @@
 
 import datetime
 import glob
+import time
 
 from pyspark.sql import functions as F
 
 from harvestlens.constants import QUOTE_COLUMNS
 from harvestlens.functions import dates, text
 from harvestlens.operators import cleaning
+from harvestlens.plans import ingest
 from harvestlens.sources import daily_files
+from harvestlens.sources.star_store import StarStore
 
 
 def plan_of(df):
@@ -68,6 +71,52 @@ def test_several_files_a_day_come_from_more_tasks_than_files_a_day(spark, tmp_pa
         assert low.file_day != high.file_day or float(low.Min_Price) <= float(high.Min_Price)
 
 
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {name for folder in folders for name in glob.glob(f"{folder}/**/shuffle_*.data", recursive=True)}
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def test_shuffle_files_of_day_files_go_when_these_are_written(spark, tmp_path):
+    before, setting = shuffle_files(spark), spark.conf.get(CLEANUP, None)
+    quotes = raw_rows(spark, 60).withColumn("folder_day", F.lit(datetime.date(2024, 1, 1)))
+    daily_files.write_daily_quotes(quotes, "folder_day", str(tmp_path / "days"), daily_files.PRICES, 3)
+    for _ in range(50):  # they are deleted behind the query's back
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(CLEANUP, None) == setting
+
+
+def test_a_load_drops_the_shuffle_files_of_its_steps(spark, tmp_path, no_names, monkeypatch):
+    found, before = {}, spark.conf.get(CLEANUP, None)
+    for name in ("land", "append", "append_fact", "replace_days"):
+        step = getattr(StarStore, name)
+        monkeypatch.setattr(StarStore, name, lambda store, *a, step=step, name=name: (found.setdefault(name, spark.conf.get(CLEANUP)), step(store, *a))[1])
+    for reload in (False, True):
+        ingest.load_quotes(StarStore(spark, str(tmp_path / "star")), raw_rows(spark, 60), no_names, reload)
+    assert len(found) == 4 and {*found.values()} == {"true"}
+    assert spark.conf.get(CLEANUP, None) == before
+
+
+def test_day_files_can_be_gzipped(spark, tmp_path):
+    """The same rows in the same order of the files, and fewer bytes."""
+    quotes = raw_rows(spark, 400).withColumn("folder_day", F.date_add(F.lit(datetime.date(2024, 1, 30)), F.col("Min_Price").cast("int") % 3))
+    found = {}
+    for kind in (None, "gzip"):
+        path = str(tmp_path / str(kind))
+        daily_files.write_daily_quotes(quotes, "folder_day", path, daily_files.PRICES, 2, compression=kind)
+        names = glob.glob(f"{path}/**/part-*", recursive=True)
+        rows = daily_files.read_quote_files(spark, path, file_order=True).orderBy("file_day", "sequence").drop("sequence").collect()
+        found[kind] = (len(names), sum(len(open(name, "rb").read()) for name in names), rows)
+        assert all(name.endswith(".csv.gz" if kind else ".csv") for name in names)
+    assert found[None][2] == found["gzip"][2] and len(found["gzip"][2]) == 400
+    assert found["gzip"][0] == found[None][0] and found["gzip"][1] * 2 < found[None][1]
+
+
 def test_pages_are_compressed(spark, tmp_path):
     path = str(tmp_path / "pages")
     quotes = raw_rows(spark, 30).withColumn("day", F.lit(datetime.date(2024, 1, 1)))

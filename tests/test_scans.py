@@ -1,6 +1,7 @@
 """What the queries over the trade tables read, write and move, on tables of a few rows."""
 
 import datetime
+import glob
 from decimal import Decimal
 
 import pytest
@@ -10,10 +11,13 @@ from harvestlens.functions import quantiles
 from harvestlens.operators import fact
 from harvestlens.queries import cleaning as cleaning_queries
 from harvestlens.queries import forecast as forecast_queries
+from harvestlens.queries import sources as source_queries
 from harvestlens.queries import star as star_queries
 from harvestlens.queries import stored
+from harvestlens.queries import streaming as streaming_queries
+from harvestlens.sources import daily_files
 from harvestlens.sources.star_store import StarStore
-from harvestlens.sources.tables import QUOTE_ORDER, SCHEMAS
+from harvestlens.sources.tables import QUOTE_ORDER, SCHEMAS, TradeTables
 
 
 def plan_of(df):
@@ -128,3 +132,19 @@ def test_quartiles_of_few_groups_shuffle_the_values_near_a_quartile(spark):
     assert 0 < near < 12001 / 4
     keys = [line for line in plan_of(few).splitlines() if "Exchange hashpartitioning" in line and "p#" in line]
     assert keys and all("range_start" in line for line in keys)
+
+
+def test_the_stream_lands_gzipped_files(spark, trade_dir, monkeypatch, tmp_path):
+    class Landed(Exception):
+        pass
+
+    def stop(*args, **options):
+        raise Landed
+
+    monkeypatch.setattr(streaming_queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(streaming_queries.ingest, "stream_daily_ingest", stop)
+    with pytest.raises(Landed):
+        streaming_queries.stream_daily_ingest_small_batches(spark, trade_dir)
+    names = glob.glob(f"{tmp_path}/landing/**/part-*", recursive=True)
+    assert names and all(name.endswith(".csv.gz") for name in names)
+    assert daily_files.read_quote_files(spark, str(tmp_path / "landing")).count() == TradeTables(spark, trade_dir).raw_quotes().count()
