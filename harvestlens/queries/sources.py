@@ -19,12 +19,12 @@ from harvestlens.sources.tables import TradeTables
 
 
 def scan_daily_quotes(spark, sf_dir):
-    """Days before 1998 in the primary folder, all days in the fallback; one folder per day."""
+    """Days before 1998 in the primary folder, all days in the fallback; one folder per day, the files gzipped, both trees from one pass."""
     raw = TradeTables(spark, sf_dir).raw_quotes().withColumnRenamed("day", "folder_day")
-    primary, fallback = scratch_path(spark, "primary"), scratch_path(spark, "fallback")
-    daily_files.write_daily_quotes(raw.filter(F.col("folder_day") < F.lit("1998-01-01").cast("date")), "folder_day", primary)
-    daily_files.write_daily_quotes(raw, "folder_day", fallback)
-    scanned = daily_files.scan_daily_quotes(spark, primary, fallback)
+    path, early = scratch_path(spark, "daily"), F.col("folder_day") < F.lit("1998-01-01").cast("date")
+    roots = {"primary": early, "fallback": F.lit(True)}
+    daily_files.write_daily_quotes(raw, "folder_day", path, roots=roots, compression="gzip")
+    scanned = daily_files.scan_daily_quotes(spark, *[daily_files.root_folder(path, name) for name in roots])
     return plain(cleaning.rename_quotes(scanned))
 
 

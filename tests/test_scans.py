@@ -148,3 +148,45 @@ def test_the_stream_lands_gzipped_files(spark, trade_dir, monkeypatch, tmp_path)
     names = glob.glob(f"{tmp_path}/landing/**/part-*", recursive=True)
     assert names and all(name.endswith(".csv.gz") for name in names)
     assert daily_files.read_quote_files(spark, str(tmp_path / "landing")).count() == TradeTables(spark, trade_dir).raw_quotes().count()
+
+
+@pytest.fixture
+def days_files(spark, monkeypatch, tmp_path):
+    """Where scan_daily_quotes keeps its files, and the quotes that were made for them."""
+    made, raw_quotes = spark.sparkContext.accumulator(0), TradeTables.raw_quotes
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    def raw(tables):
+        quotes = raw_quotes(tables)
+        quotes = quotes.withColumn("day", F.when(F.col("Min_Price") != "95.0000", F.date_sub("day", 23 * 365 + 20)))
+        return quotes.mapInArrow(counted, quotes.schema)
+
+    monkeypatch.setattr(source_queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(TradeTables, "raw_quotes", raw)
+    return tmp_path, made
+
+
+def test_both_folders_of_the_scan_come_from_one_pass(spark, trade_dir, days_files):
+    """The quotes are made once, the files are gzipped, and days without a file of their own or without a date come from the fallback."""
+    folder, made = days_files
+    found = source_queries.scan_daily_quotes(spark, trade_dir)
+    quotes = TradeTables(spark, trade_dir).raw_quotes()
+    assert made.value == 246
+    days = {r.day and str(r.day): r["count"] for r in quotes.groupBy("day").count().collect()}
+    assert None in days and any(d and d < "1998" for d in days) and any(d and d > "1998" for d in days)
+    assert {r.file_day: r["count"] for r in found.groupBy("file_day").count().collect()} == days
+    names = glob.glob(f"{folder}/**/part-*", recursive=True)
+    assert len(names) > 40 and all(name.endswith(".csv.gz") for name in names)
+
+
+@pytest.mark.parametrize("held", [False, True])
+def test_a_tree_without_quotes_is_there(spark, tmp_path, held):
+    quotes = spark.createDataFrame([("a",) * 10] if held else [], ", ".join(f"{c} string" for c in daily_files.QUOTE_COLUMNS))
+    roots = {"one": F.lit(True), "two": F.lit(None).cast("boolean"), "three": F.lit(False)}
+    daily_files.write_daily_quotes(quotes.withColumn("day", F.lit(datetime.date(2024, 2, 29))), "day", str(tmp_path / "days"), roots=roots)
+    counts = [daily_files.read_quote_files(spark, daily_files.root_folder(str(tmp_path / "days"), name)).count() for name in roots]
+    assert counts == [int(held), 0, 0]
